@@ -1,0 +1,202 @@
+"""Execution checks by the standard library's in-memory SQLite, inside Spark tasks.
+
+Spark decides which rows meet in a task; the Python part only opens a database that no
+other process sees, runs statements and reports errors.
+"""
+
+from __future__ import annotations
+
+import sqlite3
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sqlloom.functions.responses import index_statements, table_statements
+from sqlloom.functions.sqltext import clean_dialect, split_statements
+
+# Steps of the SQLite virtual machine before a statement counts as endless.
+MAX_STEPS = 5_000_000
+# Candidates of one schema per task group; larger schemas are spread over several.
+GROUP_ROWS = 2_000
+# The list of spread schemas that is broadcast stays below this many rows.
+MAX_SPREAD_SCHEMAS = 10_000
+
+# Files stay closed to the statements; settings in a schema text are skipped without an error.
+_DENIED = {sqlite3.SQLITE_ATTACH: sqlite3.SQLITE_DENY, sqlite3.SQLITE_DETACH: sqlite3.SQLITE_DENY,
+           sqlite3.SQLITE_PRAGMA: sqlite3.SQLITE_IGNORE}
+
+
+def _open(ddl: str | None):
+    """A database with the schema in it: (connection, None) or (None, error)."""
+    db = sqlite3.connect(":memory:", isolation_level=None)
+    try:
+        db.execute("PRAGMA foreign_keys=ON")
+        db.set_authorizer(lambda action, *_: _DENIED.get(action, sqlite3.SQLITE_OK))
+        _bound(db)
+        db.executescript(ddl or "")
+        return db, None
+    except (sqlite3.Error, sqlite3.Warning, ValueError) as e:
+        db.close()
+        return None, str(e)
+
+
+def _bound(db) -> None:
+    steps = iter(range(MAX_STEPS // 10_000))
+    db.set_progress_handler(lambda: 0 if next(steps, None) is not None else 1, 10_000)
+
+
+def _error_of(db, statements) -> str | None:
+    """Error of the first failing statement; whatever they changed is undone."""
+    try:
+        _bound(db)
+        db.execute("SAVEPOINT candidate")
+        try:
+            for s in statements:
+                if s.strip():
+                    db.execute(s)
+            return None
+        finally:
+            _bound(db)
+            db.execute("ROLLBACK TO candidate")
+            db.execute("RELEASE candidate")
+    except (sqlite3.Error, sqlite3.Warning, ValueError) as e:
+        return str(e)
+
+
+def _check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by schema and group, the schema row before its candidates."""
+    here, db, broken, ddl = None, None, None, None
+    for frame in frames:
+        ids, errors = [], []
+        for schema, group, text, item, round_no, statements, transactional in frame.itertuples(index=False, name=None):
+            if here != (schema, group):
+                if db is not None:
+                    db.close()
+                here, ddl = (schema, group), None
+                db, broken = None, "schema not found"
+            if text is not None:
+                ddl = text
+                db, broken = _open(ddl)
+                continue
+            if db is None:
+                error = broken
+            elif transactional:
+                # Statements that control transactions cannot be undone: use a database of their own.
+                own, error = _open(ddl)
+                if own is not None:
+                    try:
+                        for s in statements:
+                            if s.strip():
+                                own.execute(s)
+                    except (sqlite3.Error, sqlite3.Warning, ValueError) as e:
+                        error = str(e)
+                    own.close()
+            else:
+                error = _error_of(db, statements)
+            ids.append((schema, item, round_no))
+            errors.append(error)
+        yield pd.DataFrame(
+            {
+                "schema_file": [i[0] for i in ids], "item_id": [i[1] for i in ids],
+                "round_no": [i[2] for i in ids], "exec_error": errors,
+            }
+        )
+    if db is not None:
+        db.close()
+
+
+def execution_errors(candidates: DataFrame, schemas: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(schema_file, item_id, round_no, exec_error): null means the candidate runs on its schema.
+
+    ``candidates`` is (schema_file, item_id, round_no, sql), ``schemas`` is (schema_file,
+    schema_sql).  Candidates and schema texts are sent to the same task and sorted, so a
+    schema is built once per task group and its text travels once per group, not once
+    per candidate.  Schemas with more than ``group_rows`` candidates are spread over
+    several groups.
+    """
+    counts = candidates.groupBy("schema_file").agg(F.count(F.lit(1)).alias("_n"))
+    total = candidates.count()
+    group_rows = max(group_rows, -(-total // MAX_SPREAD_SCHEMAS))
+    # At most total / group_rows schemas can be larger than group_rows.
+    large = counts.where(F.col("_n") > group_rows).select(
+        "schema_file", F.ceil(F.col("_n") / group_rows).cast("int").alias("_groups")
+    )
+    groups = F.coalesce("_groups", F.lit(1))
+    control = F.coalesce(
+        F.regexp_like("sql", F.lit(r"(?iU)(?:\A|;)\s*(?:BEGIN|COMMIT|END|ROLLBACK|SAVEPOINT|RELEASE|VACUUM)\b")), F.lit(False)
+    )
+    left = candidates.join(F.broadcast(large), "schema_file", "left").select(
+        "schema_file", F.pmod(F.xxhash64("item_id", "round_no"), groups).cast("int").alias("grp"),
+        F.lit(None).cast("string").alias("ddl"), "item_id", "round_no",
+        split_statements("sql").alias("statements"), control.alias("transactional"),
+    )
+    item_type, round_type = (candidates.schema[c].dataType for c in ("item_id", "round_no"))
+    used = schemas.join(counts.select("schema_file"), "schema_file", "left_semi")
+    right = used.join(F.broadcast(large), "schema_file", "left").select(
+        "schema_file", F.explode(F.sequence(F.lit(0), groups - 1)).alias("grp"),
+        clean_dialect(F.coalesce("schema_sql", F.lit(""))).alias("ddl"),
+        F.lit(0).cast(item_type).alias("item_id"), F.lit(0).cast(round_type).alias("round_no"),
+        F.array().cast("array<string>").alias("statements"), F.lit(False).alias("transactional"),
+    )
+    together = (
+        right.unionByName(left)
+        .repartition("schema_file", "grp")
+        .sortWithinPartitions("schema_file", "grp", F.col("ddl").isNull())
+    )
+    key = candidates.schema["schema_file"].dataType.simpleString()
+    return together.mapInPandas(
+        _check,
+        f"schema_file {key}, item_id {item_type.simpleString()}, round_no {round_type.simpleString()}, exec_error string",
+    )
+
+
+def schema_errors(schemas: DataFrame, key: str = "schema_file", text: str = "schema_sql") -> DataFrame:
+    """(key, ddl_error): null when every statement of the schema text runs, in order."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            errors = []
+            for ddl in frame[text]:
+                db, error = _open(ddl)
+                if db is not None:
+                    db.close()
+                errors.append(error)
+            yield pd.DataFrame({key: frame[key], "ddl_error": errors}).astype({"ddl_error": object})
+
+    kind = schemas.schema[key].dataType.simpleString()
+    return schemas.select(key, text).mapInPandas(run, f"{key} {kind}, ddl_error string")
+
+
+def additions(states: DataFrame, key: str, old: str, new: str) -> DataFrame:
+    """(key, old_error, kept, n_kept): the new tables, then indexes, that load on top of the old schema.
+
+    Statements that fail are left out.  When the old schema itself fails, ``old_error``
+    is set and nothing is kept.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for schema, ddl, tables, indexes in frame.itertuples(index=False, name=None):
+                db, error = _open(ddl)
+                kept = []
+                if db is not None:
+                    for s in [*(tables if tables is not None else ()), *(indexes if indexes is not None else ())]:
+                        try:
+                            _bound(db)
+                            db.executescript(s)
+                            kept.append(s)
+                        except (sqlite3.Error, sqlite3.Warning, ValueError):
+                            pass
+                    db.close()
+                rows.append((schema, error, "\n\n".join(kept), len(kept)))
+            yield pd.DataFrame(rows, columns=[key, "old_error", "kept", "n_kept"])
+
+    kind = states.schema[key].dataType.simpleString()
+    return states.select(
+        key, F.col(old).alias("_old"), table_statements(new).alias("_tables"), index_statements(new).alias("_indexes")
+    ).mapInPandas(run, f"{key} {kind}, old_error string, kept string, n_kept int")
+
+
