@@ -1,105 +1,155 @@
-"""Prompt texts built from columns.  Only the slots are contract; the wording is ours."""
+"""Prompt texts built from columns.
+
+A prompt is a template with named slots.  Only the slots are contract; the wording is
+ours and callers may pass their own template.
+"""
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sqlloom.functions.text import col, strip
 
-QUESTION_SYSTEM = "You write realistic questions that a database user might ask. Reply with one plaintext block only."
-GROWTH_SYSTEM = "You design SQLite databases. Reply with SQLite DDL only."
-SQL_SYSTEM = "You translate questions to SQLite. Reply with one statement in one sql block."
-JUDGE_SYSTEM = "You compare SQL candidates for one task. Reply with the best one, unchanged, in one sql block."
-PARAPHRASE_SYSTEM = "You reword questions without changing what they ask. Reply with one plaintext block only."
+QUESTION = """You write realistic questions that a database user might ask. Reply with one plaintext block only.
+
+Write {count} different questions for this schema:
+{schema}
+
+{samples}Every question must need exactly {joins} JOIN(s), unless the schema has too few tables.
+Mix filters, sorting, grouping and aggregates. Do not repeat the samples.
+
+{tone}
+
+Answer in this form, one question per line:
+```plaintext
+<First Question>
+<2nd Question>
+```"""
+SAMPLES = """Sample questions for style, each needing exactly {joins} JOIN(s):
+{lines}
+
+"""
+TONE_SPECIFIC = "Name tables and columns of the schema and use values that could be stored in it."
+TONE_GENERAL = "Keep the wording general; do not name tables, columns or values."
+QUESTION_RETRY = """{prompt}
+
+# Format reminder, retry {attempt}
+Reply with a single ```plaintext``` block, one question per line, and nothing else."""
+
+GROWTH = """You design SQLite databases. Reply with SQLite DDL only.
+
+Add exactly {n_new} new tables to this schema. Write only the new CREATE TABLE and CREATE INDEX
+statements, in the style of the schema and with valid references, inside one ```sqlite``` block.
+Leave existing tables alone.
+
+Schema:
+{schema}
+"""
+REPAIR = """You design SQLite databases. Reply with SQLite DDL only.
+
+Your last statements failed in SQLite: {error}
+Write the {n_new} new tables again, as valid SQLite DDL in one ```sqlite``` block.
+Leave existing tables alone.
+
+Schema:
+{schema}
+"""
+
+SQL = """You translate questions to SQLite. Reply with one statement in one sql block.
+
+Question: {question}
+
+Use only the tables and columns below. Prefer readable SQL; joins, subqueries and WITH are fine.
+
+Schema:
+{schema}
+"""
+JUDGE = """You compare SQL candidates for one task. Reply with the best one, unchanged, in one sql block.
 
+Task: {question}
 
-def _text(*parts) -> Column:
-    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+Schema:
+{schema}
 
+{candidates}
+"""
+CANDIDATE = """[candidate {number}]
+```sql
+{sql}
+```"""
 
-def question_prompt(schema_sql, examples, example_joins, target_joins, specific, count: int) -> Column:
+PARAPHRASE = """You reword questions without changing what they ask. Reply with one plaintext block only.
+
+Question:
+{question}
+
+Query that answers it:
+```sql
+{query}
+```
+
+Give {count} other wordings that ask for the same result, one per line, in a ```plaintext``` block
+without numbering or remarks."""
+PARAPHRASE_RETRY = """{prompt}
+
+# Format reminder, retry {attempt}
+Reply with a single ```plaintext``` block holding only the new wordings, one per line."""
+
+
+def render(template: str, **slots) -> Column:
+    """The template with its slots filled by columns (by name or expression) or plain values."""
+    parts = []
+    for text, slot, _, _ in Formatter().parse(template):
+        if text:
+            parts.append(F.lit(text))
+        if slot:
+            value = slots[slot]
+            parts.append(value.cast("string") if isinstance(value, Column) else F.lit(str(value)))
+    return F.concat(*parts)
+
+
+def question_prompt(schema, examples, example_joins, target_joins, specific, count: int, template=QUESTION) -> Column:
     """Ask for questions on a schema.
 
-    ``examples`` is an array of sample questions (may be empty), ``specific`` chooses
-    between naming tables and staying vague.
+    ``examples`` is an array of sample questions (may be empty); ``specific`` chooses
+    between naming tables and staying general.
     """
-    shown = F.when(
-        F.size(examples) > 0,
-        _text(
-            "Sample questions for style, each needing exactly ", col(example_joins).cast("string"), " JOIN(s):\n",
-            F.array_join(F.transform(examples, lambda e: F.concat(F.lit("- "), e)), "\n"), "\n\n",
-        ),
-    ).otherwise(F.lit(""))
-    tone = F.when(
-        col(specific), F.lit("Name tables and columns of the schema and use values that could be stored in it.\n\n")
-    ).otherwise(F.lit("Keep the wording general; do not name tables, columns or values.\n\n"))
-    return _text(
-        QUESTION_SYSTEM, "\n\n", f"Write {count} different questions for this schema:\n", strip(schema_sql), "\n\n",
-        shown, "Every question must need exactly ", col(target_joins).cast("string"),
-        " JOIN(s), unless the schema has too few tables.\n",
-        "Mix filters, sorting, grouping and aggregates. Do not repeat the samples.\n\n", tone,
-        "Answer in this form, one question per line:\n```plaintext\n<First Question>\n<2nd Question>\n```",
-    )
+    listed = F.array_join(F.transform(examples, lambda e: F.concat(F.lit("- "), e)), "\n")
+    samples = F.when(F.size(examples) > 0, render(SAMPLES, joins=col(example_joins), lines=listed)).otherwise(F.lit(""))
+    tone = F.when(col(specific), F.lit(TONE_SPECIFIC)).otherwise(F.lit(TONE_GENERAL))
+    return render(template, count=count, schema=strip(schema), samples=samples, joins=col(target_joins), tone=tone)
 
 
-def question_retry(prompt, attempt) -> Column:
-    return _text(
-        col(prompt), "\n\n# Format reminder, retry ", col(attempt).cast("string"),
-        "\nReply with a single ```plaintext``` block, one question per line, and nothing else.",
-    )
+def question_retry(prompt, attempt: int) -> Column:
+    return render(QUESTION_RETRY, prompt=col(prompt), attempt=attempt)
 
 
-def growth_prompt(schema_sql, n_new) -> Column:
-    return _text(
-        GROWTH_SYSTEM, "\n\nAdd exactly ", col(n_new).cast("string"), " new tables to this schema.\n",
-        "Write only the new CREATE TABLE and CREATE INDEX statements, in the style of the schema, with valid\n",
-        "references, inside one ```sqlite``` block. Leave existing tables alone.\n\nSchema:\n", col(schema_sql), "\n",
-    )
+def growth_prompt(schema, n_new, template=GROWTH) -> Column:
+    return render(template, n_new=col(n_new), schema=col(schema))
 
 
-def repair_prompt(schema_sql, n_new, last_error) -> Column:
-    return _text(
-        GROWTH_SYSTEM, "\n\nYour last statements failed in SQLite: ", F.coalesce(col(last_error), F.lit("")), "\n",
-        "Write the ", col(n_new).cast("string"), " new tables again, as valid SQLite DDL in one ```sqlite``` block.\n",
-        "Leave existing tables alone.\n\nSchema:\n", col(schema_sql), "\n",
-    )
+def repair_prompt(schema, n_new, last_error, template=REPAIR) -> Column:
+    return render(template, error=F.coalesce(col(last_error), F.lit("")), n_new=col(n_new), schema=col(schema))
 
 
-def sql_prompt(question, compressed_schema) -> Column:
-    return _text(
-        SQL_SYSTEM, "\n\nQuestion: ", col(question), "\n\n",
-        "Use only the tables and columns below. Prefer readable SQL; joins, subqueries and WITH are fine.\n\n",
-        "Schema:\n", col(compressed_schema), "\n",
-    )
+def sql_prompt(question, compressed_schema, template=SQL) -> Column:
+    return render(template, question=col(question), schema=col(compressed_schema))
 
 
-def judge_prompt(question, compressed_schema, candidates) -> Column:
+def judge_prompt(question, compressed_schema, candidates, template=JUDGE) -> Column:
     """``candidates`` is an array of SQL texts in candidate order."""
-    listed = F.array_join(
-        F.transform(
-            candidates,
-            lambda c, i: F.concat(
-                F.lit("[candidate "), (i + 1).cast("string"), F.lit("]\n```sql\n"), strip(c), F.lit("\n```")
-            ),
-        ),
-        "\n",
-    )
-    return _text(
-        JUDGE_SYSTEM, "\n\nTask: ", col(question), "\n\nSchema:\n", col(compressed_schema), "\n\n", listed, "\n",
+    listed = F.transform(candidates, lambda c, i: render(CANDIDATE, number=i + 1, sql=strip(c)))
+    return render(
+        template, question=col(question), schema=col(compressed_schema), candidates=F.array_join(listed, "\n")
     )
 
 
-def paraphrase_prompt(question, query, count: int) -> Column:
-    return _text(
-        PARAPHRASE_SYSTEM, "\n\nQuestion:\n", strip(question), "\n\nQuery that answers it:\n```sql\n", strip(query),
-        f"\n```\n\nGive {count} other wordings that ask for the same result, one per line, in a\n",
-        "```plaintext``` block without numbering or remarks.",
-    )
+def paraphrase_prompt(question, query, count: int, template=PARAPHRASE) -> Column:
+    return render(template, question=strip(question), query=strip(query), count=count)
 
 
-def paraphrase_retry(prompt, attempt) -> Column:
-    return _text(
-        col(prompt), "\n\n# Format reminder, retry ", col(attempt).cast("string"),
-        "\nReply with a single ```plaintext``` block holding only the new wordings, one per line.",
-    )
+def paraphrase_retry(prompt, attempt: int) -> Column:
+    return render(PARAPHRASE_RETRY, prompt=col(prompt), attempt=attempt)

@@ -70,7 +70,7 @@ def make_paraphrases(
     for attempt in range(retries + 1):
         asked = base.join(open_items, key, "left_semi")
         if attempt:
-            asked = asked.withColumn("prompt", prompts.paraphrase_retry("prompt", F.lit(attempt)))
+            asked = asked.withColumn("prompt", prompts.paraphrase_retry("prompt", attempt))
         answers = infer(asked, make_model, batch_size=batch_size, options=options, partitions=partitions, key=key)
         path = f"{folder}/answers/{attempt}"
         answered = written(

@@ -51,7 +51,7 @@ def make_questions(
     for attempt in range(retries + 1):
         asked = base.join(open_items, "schema_file", "left_semi")
         if attempt:
-            asked = asked.withColumn("prompt", prompts.question_retry("prompt", F.lit(attempt)))
+            asked = asked.withColumn("prompt", prompts.question_retry("prompt", attempt))
         answers = infer(asked, make_model, batch_size=batch_size, options=options, partitions=partitions, key="schema_file")
         path = f"{folder}/answers/{attempt}"
         stamped = answers.select(

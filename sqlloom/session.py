@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) ->
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **extra,
     }
