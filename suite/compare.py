@@ -33,12 +33,16 @@ def _rows(names: list[str], rows) -> list[tuple]:
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+SIZES: dict[str, int] = {}
+
+
 def difference(spark, name: str, sf_dir: str, con=None) -> str | None:
     """None when both sides agree, else what differs."""
     from suite import ORACLES, QUERIES
 
     df = QUERIES[name](spark, sf_dir)
     mine = _rows(df.columns, df.collect())
+    SIZES[name] = len(mine)
     if name not in ORACLES:
         return None
     result = (con or duck(sf_dir)).execute(ORACLES[name])
@@ -67,7 +71,7 @@ def main() -> None:
         except Exception as e:  # noqa: BLE001 - report and go on
             found = f"{type(e).__name__}: {str(e)[:1500]}"
         bad += found is not None
-        print(f"{name:28s} {time.time() - start:6.2f}s {'ok' if found is None else 'DIFFERS ' + found}", flush=True)
+        print(f"{name:28s} {time.time() - start:6.2f}s {SIZES.get(name, 0):7d} rows {'ok' if found is None else 'DIFFERS ' + found}", flush=True)
     print(f"{bad} differ")
 
 
