@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions import fixed_values as fv
-from sqlloom.functions.text import WS, col, is_blank, non_empty, strip, unix_lines
+from sqlloom.functions.text import WS, col, computed, line_feeds, non_empty, normalize, strip
 
-# White space other than the line feed, so that patterns stay within one line.
-_GAP = r"[\s\x1C-\x1F&&[^\n]]"
-_DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨]"
+# Characters that Python's str.isdigit accepts.
+_DIGITS = "".join(chr(c) for c in range(0x20000) if chr(c).isdigit())
 
 
 def _all(x, pattern: str) -> Column:
@@ -21,8 +23,7 @@ def _all(x, pattern: str) -> Column:
 
 def _last(x, pattern: str) -> Column:
     """Text of the last match, trimmed; null when there is no match."""
-    found = _all(x, pattern)
-    return strip(F.get(found, F.size(found) - 1))
+    return strip(F.try_element_at(_all(x, pattern), F.lit(-1)))
 
 
 def tagged_blocks(x, tag: str) -> Column:
@@ -102,39 +103,39 @@ def ddl_from_response(x) -> Column:
 def _block_or_text(x) -> Column:
     x = F.coalesce(col(x), F.lit(""))
     blocks = _all(x, r"(?isU)```plaintext\s*\n(.*?)```")
-    return F.coalesce(F.get(blocks, F.size(blocks) - 1), x)
+    return F.coalesce(F.try_element_at(blocks, F.lit(-1)), x)
 
 
-def _cleaned_lines(x, numbering: str) -> Column:
-    """Non-empty lines without bullets, dashes and numbering, as one text with ``\\n`` between."""
-    text = unix_lines(strip(_block_or_text(x)))
-    text = F.regexp_replace(text, rf"(?Umd){_GAP}*+[-•]*+{_GAP}*+$", "")
-    text = F.regexp_replace(text, rf"(?Umd)^{_GAP}*+[-•]*+{_GAP}*+{numbering}{_GAP}*+", "")
-    return F.regexp_replace(text, r"\A\n+|(?<!\n)\n++\z|(?<=\n)\n+", "")
-
-
-def _as_lines(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n"))
-
-
-def question_text(x) -> Column:
-    return _cleaned_lines(x, r"[0-9]*+\.*+\)*+-*+")
+def _cleaned(x, numbering: Callable[[Column], Column]) -> Column:
+    """Non-empty lines of the last plaintext block, or of the text, without bullets and numbering."""
+    lines = F.split(line_feeds(_block_or_text(x)), "\n")
+    cleaned = F.transform(lines, lambda line: strip(numbering(strip(F.trim(strip(line), F.lit("-•"))))))
+    return F.filter(cleaned, lambda line: line != "")
 
 
 def question_lines(x) -> Column:
     """Lines of a question response; digits, dots, brackets and dashes are dropped once, in that order."""
-    return _as_lines(question_text(x))
+
+    def once(line: Column) -> Column:
+        for characters in ("0123456789", ".", ")", "-"):
+            line = F.ltrim(line, F.lit(characters))
+        return line
+
+    return _cleaned(x, once)
 
 
 def paraphrase_lines(x) -> Column:
     """Lines of a paraphrase response; any mix of leading digits, dots and brackets is dropped."""
-    return _as_lines(_cleaned_lines(x, rf"(?:(?:{_DIGIT}|[.)]){_GAP}*+)*+"))
+    return _cleaned(x, lambda line: F.ltrim(line, F.lit(_DIGITS + ".)" + WS)))
 
 
 def has_template_text(lines) -> Column:
     """Whether any line holds one of the placeholder strings."""
-    pattern = "|".join(re.escape(t) for t in fv.TEMPLATE_STRINGS)
-    return F.regexp_like(F.array_join(lines, "\n"), F.lit(pattern))
+
+    def marked(line: Column) -> Column:
+        return reduce(or_, [F.contains(line, F.lit(t)) for t in fv.TEMPLATE_STRINGS])
+
+    return F.exists(lines, marked)
 
 
 def without_self_reference(lines) -> Column:
@@ -142,15 +143,14 @@ def without_self_reference(lines) -> Column:
     return F.filter(lines, lambda s: ~F.contains(F.lower(s), F.lit("paraphrase")))
 
 
-def distinct_paraphrases(lines, original, n: int) -> Column:
-    """First n lines whose normal form differs from the original and from earlier lines.
+def with_new_wordings(df: DataFrame, lines: str, original: str, n: int, name: str) -> DataFrame:
+    """Add the first n lines whose normal form differs from the original and from earlier lines.
 
     Works inside the row: distinct normal forms in first-seen order, the original's
     form taken out, then each form's first line.
     """
-    from sqlloom.functions.text import normalize
-
-    forms = F.transform(lines, normalize)
-    own = normalize(F.coalesce(col(original), F.lit("")))
-    new_forms = F.slice(F.filter(F.array_distinct(forms), lambda f: (f != own) & ~is_blank(f)), 1, n)
-    return F.transform(new_forms, lambda f: F.element_at(lines, F.array_position(forms, f).cast("int")))
+    forms = computed(df, _forms=F.transform(lines, normalize))
+    own = normalize(F.coalesce(original, F.lit("")))
+    kept = computed(forms, _kept=F.slice(F.array_remove(F.array_distinct("_forms"), own), 1, n))
+    line = F.transform("_kept", lambda f: F.get(F.col(lines), F.array_position("_forms", f).cast("int") - 1))
+    return kept.withColumn(name, line).drop("_forms", "_kept")

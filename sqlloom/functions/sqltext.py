@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sqlloom.functions import fixed_values as fv
-from sqlloom.functions.text import col, collapse, strip, unix_lines
+from sqlloom.functions.text import col, collapse, is_blank, strip, unix_lines
 
 _QUOTED = r"'[^']*+(?:'|\z)|\"[^\"]*+(?:\"|\z)"
 _STATEMENT = rf"((?:[^;'\"]++|{_QUOTED})*+)(?:;|\z)"
@@ -80,7 +80,7 @@ def split_statements(sql) -> Column:
 
 def statement_count(sql) -> Column:
     """Statements that are not blank."""
-    return F.size(F.filter(split_statements(sql), lambda s: F.regexp_like(s, F.lit(r"(?U)[^\s\x1C-\x1F]"))))
+    return F.size(F.filter(split_statements(sql), lambda s: ~is_blank(s)))
 
 
 def is_single_statement(sql) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions.responses import has_template_text, question_lines
+from sqlloom.functions.text import computed
 
 
 def aligned(requests: DataFrame, responses: DataFrame, keys=("item_id", "attempt")) -> DataFrame:
@@ -15,7 +16,8 @@ def aligned(requests: DataFrame, responses: DataFrame, keys=("item_id", "attempt
 
 def parsed_questions(responses: DataFrame) -> DataFrame:
     """(item_id, attempt, lines, valid): valid means lines, none of them a placeholder."""
-    return responses.select("item_id", "attempt", question_lines("raw").alias("lines")).select(
+    read = responses.select("item_id", "attempt", "raw")
+    return computed(read, lines=question_lines("raw")).select(
         "item_id", "attempt", "lines", ((F.size("lines") > 0) & ~has_template_text("lines")).alias("valid")
     )
 

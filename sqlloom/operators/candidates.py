@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sqlloom.functions import fixed_values as fv
 from sqlloom.functions.responses import sql_from_response
 from sqlloom.functions.sqltext import is_single_statement, loose_form, normalize_sql, with_semicolon
+from sqlloom.functions.text import computed
 
 NO_SQL = "no SQL in the response"
 NOT_SINGLE = "not a single statement"
@@ -17,14 +18,14 @@ DUPLICATE = "duplicate of an earlier candidate"
 
 def extracted_candidates(responses: DataFrame) -> DataFrame:
     """(item_id, round_no, sql, norm, reason) for every response (item_id, round_no, raw)."""
-    return (
-        responses.select("item_id", "round_no", sql_from_response("raw").alias("_sql"))
-        .select("item_id", "round_no", with_semicolon("_sql").alias("sql"))
-        .select(
-            "item_id", "round_no", "sql", normalize_sql("sql").alias("norm"),
-            F.when(F.col("sql").isNull(), NO_SQL).when(~is_single_statement("sql"), NOT_SINGLE).alias("reason"),
-        )
+    read = computed(responses.select("item_id", "round_no", "raw"), _sql=sql_from_response("raw"))
+    closed = computed(read, sql=with_semicolon("_sql"))
+    gated = computed(
+        closed,
+        norm=normalize_sql("sql"),
+        reason=F.when(F.col("sql").isNull(), NO_SQL).when(~is_single_statement("sql"), NOT_SINGLE),
     )
+    return gated.select("item_id", "round_no", "sql", "norm", "reason")
 
 
 def distinct_candidates(gated: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def voted(items: DataFrame, candidates: DataFrame, verdicts: DataFrame) -> DataF
     Both matches are joins on item and text, and the winner is picked by an aggregate
     that combines before the shuffle, so an item with very many candidates is no burden.
     """
-    choice = verdicts.select("item_id", sql_from_response("raw").alias("_choice")).where("_choice is not null")
+    choice = computed(verdicts.select("item_id", "raw"), _choice=sql_from_response("raw")).where("_choice is not null")
     exact = choice.select("item_id", normalize_sql("_choice").alias("norm"), F.lit(True).alias("_exact"))
     loose = choice.select("item_id", loose_form("_choice").alias("_loose"), F.lit(True).alias("_is_loose"))
     matched = (

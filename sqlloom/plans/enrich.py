@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 
 from sqlloom.functions import ddl as D
 from sqlloom.functions import sqltext as S
-from sqlloom.functions.text import token_count
+from sqlloom.functions.text import computed, token_count
 from sqlloom.operators.gates import drop_reason, good_question_length, unify_fields
 from sqlloom.operators.ranking import scattered
 
 
 def classified(records: DataFrame) -> DataFrame:
     """Unified records with a cleaned query and ``reason``: null for records worth keeping."""
-    return (
-        unify_fields(records)
-        .withColumn("query", S.clean_flat_comments("query"))
-        .withColumn("reason", drop_reason("query"))
-    )
+    cleaned = computed(unify_fields(records), query=S.clean_flat_comments("query"))
+    return cleaned.withColumn("reason", drop_reason("query"))
 
 
 def with_counts(records: DataFrame, with_commands: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sqlloom.functions import ddl as D
 from sqlloom.functions import prompts
 from sqlloom.functions.responses import create_table_span, ddl_from_response
-from sqlloom.functions.text import rstrip, strip
+from sqlloom.functions.text import computed, rstrip, strip
 from sqlloom.operators import sampling
 from sqlloom.operators.inference import infer
 from sqlloom.operators.sqlite_gate import additions
@@ -47,9 +47,8 @@ def prompts_for(states: DataFrame, seed, round_no: int) -> DataFrame:
 
 def next_states(states: DataFrame, answers: DataFrame, retries: int) -> DataFrame:
     """States after one round; a round that adds nothing counts as a failed attempt."""
-    old = states.where("status = 'open'").join(
-        answers.select("schema_file", ddl_from_response("response").alias("ddl"), "error"), "schema_file"
-    )
+    read = computed(answers.select("schema_file", "response", "error"), ddl=ddl_from_response("response"))
+    old = states.where("status = 'open'").join(read.select("schema_file", "ddl", "error"), "schema_file")
     base = rstrip("schema_sql")
     tried = additions(
         old.select("schema_file", base.alias("old"), F.coalesce("ddl", F.lit("")).alias("ddl")), "schema_file", "old", "ddl"
@@ -60,9 +59,10 @@ def next_states(states: DataFrame, answers: DataFrame, retries: int) -> DataFram
     failure = F.coalesce(
         "error", "old_error", F.when(F.coalesce("ddl", F.lit("")) == "", NO_SQL), F.lit(NO_GAIN)
     )
-    tables = D.table_count(text)
+    merged = computed(merged, _gained=gained, _text=text, _tables=D.table_count(text))
+    gained, tables = F.col("_gained"), F.col("_tables")
     return merged.select(
-        "schema_file", text.alias("schema_sql"), tables.alias("num_tables"), "target",
+        "schema_file", F.col("_text").alias("schema_sql"), tables.alias("num_tables"), "target",
         F.when(gained, 1).otherwise(F.col("attempt") + 1).alias("attempt"),
         F.when(~gained, failure).alias("last_error"),
         F.when(gained, F.lit("")).otherwise(F.coalesce(create_table_span("ddl"), "ddl", F.lit(""))).alias("rejected"),

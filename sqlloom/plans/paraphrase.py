@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions import prompts
-from sqlloom.functions.responses import distinct_paraphrases, paraphrase_lines, without_self_reference
-from sqlloom.functions.text import token_count
+from sqlloom.functions.responses import paraphrase_lines, with_new_wordings, without_self_reference
+from sqlloom.functions.text import computed, token_count
 from sqlloom.operators.inference import infer
 from sqlloom.session import run_folder, written
 
@@ -20,7 +20,8 @@ def paraphrase_prompts(records: DataFrame, count: int, key: str) -> DataFrame:
 
 def usable_lines(responses: DataFrame, key: str) -> DataFrame:
     """(key, attempt, lines) of every response, without lines that mention paraphrasing."""
-    return responses.select(key, "attempt", without_self_reference(paraphrase_lines("raw")).alias("lines"))
+    told = computed(responses.select(key, "attempt", "raw"), lines=without_self_reference(paraphrase_lines("raw")))
+    return told.drop("raw")
 
 
 def first_usable(parsed: DataFrame, key: str) -> DataFrame:
@@ -40,8 +41,8 @@ def paraphrased(records: DataFrame, lines: DataFrame, key: str, n: int, model_na
         own.alias("question"), query.alias("query"), schema.alias("schema"), (own + query + schema).alias("total")
     )
     return (
-        records.join(lines, key)
-        .withColumn("_new", F.explode(distinct_paraphrases(F.col("lines"), "question", n)))
+        with_new_wordings(records.join(lines, key), "lines", "question", n, "_new")
+        .withColumn("_new", F.explode("_new"))
         .drop("lines")
         .withColumns(
             {

@@ -105,6 +105,16 @@ def load(spark: SparkSession, spec: str, kind: str | None = None) -> DataFrame:
     return read_csv(spark, path) if kind == "csv" else spark.read.format(kind).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that is stored in fewer pieces than there are cores.
+
+    Text expressions cost far more than moving a small table once.  A table in many
+    files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_document(spark: SparkSession, source: str | dict | DataFrame) -> DataFrame:
     """(tables) rows of an analysis document given as an object, a JSON text or a path."""
     import json

@@ -1,7 +1,7 @@
 """Registered queries over the given tables, each with the DuckDB query it is checked against."""
 
 # Importing the modules registers their queries.
-from suite import response_queries, rows, sampling_queries, schema_queries  # noqa: F401
+from suite import job_queries, response_queries, rows, sampling_queries, schema_queries  # noqa: F401
 from suite.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

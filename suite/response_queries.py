@@ -65,10 +65,10 @@ def first_valid_attempt(fx):
     return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
-@query(PARSED + " SELECT DISTINCT item_id FROM fx_responses WHERE item_id NOT IN (SELECT item_id FROM accepted)")
+@query(PARSED + " SELECT DISTINCT item_id FROM fx_responses WHERE item_id NOT IN (SELECT item_id FROM parsed WHERE valid AND attempt = 0)")
 def pending_items(fx):
     items = fx.fx_responses.select("item_id").distinct()
-    return W.pending(items, W.first_valid(parsed_attempts(fx), 2))
+    return W.pending(items, W.first_valid(parsed_attempts(fx), 0))
 
 
 @query("SELECT q.item_id, q.attempt, 'ask ' || q.item_id || '/' || q.attempt AS prompt, r.raw FROM (SELECT item_id, attempt FROM fx_responses) q JOIN fx_responses r USING (item_id, attempt)")
@@ -111,9 +111,8 @@ def _lines(fx):
 
 @query(REPHRASED + " SELECT rec_id, line AS question, r AS place FROM kept WHERE r <= 2")
 def paraphrase_keep(fx):
-    joined = fx.fx_triplets.join(_lines(fx), "rec_id")
-    kept = R.distinct_paraphrases(F.col("lines"), "prompt", 2)
-    return joined.select("rec_id", F.posexplode(kept).alias("place", "question")).withColumn("place", (F.col("place") + 1).cast("bigint"))
+    kept = R.with_new_wordings(fx.fx_triplets.join(_lines(fx), "rec_id"), "lines", "prompt", 2, "kept")
+    return kept.select("rec_id", F.posexplode("kept").alias("place", "question")).withColumn("place", (F.col("place") + 1).cast("bigint"))
 
 
 @query(CLASSIFIED + REPHRASED + f""", done AS (SELECT rec_id, question, query FROM classified
