@@ -123,6 +123,6 @@ BLOCK_COMMENT = r"(?s)/\*.*?\*/"
 # Fenced blocks in model responses.
 SQL_FENCE = r"(?isU)```sql\b\s*(.*?)\s*```"
 ANY_FENCE = r"(?sU)```+\s*(.*?)\s*```+"
-SQL_FENCE_OPEN = r"(?isU)```sql\b\s*(.*)\z"
+SQL_FENCE_OPEN = r"(?isU)```sql\b.*"
 SQLITE_FENCE = r"(?isU)```sqlite\s*(.*?)\s*```"
 NAMED_FENCE = r"(?sU)```[\w-]*\s*(.*?)\s*```"

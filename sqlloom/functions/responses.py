@@ -41,25 +41,30 @@ def first_text(x) -> Column:
     return F.coalesce(F.get(x, F.lit(0)), F.lit(""))
 
 
-def sql_from_response(x) -> Column:
-    """SQL of a response, or null.
+def with_sql(df: DataFrame, raw: str, name: str = "sql") -> DataFrame:
+    """Add the SQL of a response, or null.
 
     Taken from the last closed sql block, else the last closed block of any kind, else
     an open sql block up to its first semicolon, else the text between the last
-    semicolon and the last colon before it.
+    semicolon and the last colon before it.  Each pattern runs once per row.
     """
-    x = F.coalesce(col(x), F.lit(""))
-    rest = F.regexp_extract(x, fv.SQL_FENCE_OPEN, 1)
-    to_first_semicolon = strip(
-        F.when(F.locate(";", rest) > 0, F.concat(F.substring_index(rest, ";", 1), F.lit(";"))).otherwise(rest)
-    )
-    tail = F.substring_index(x, ";", -1)
-    head = F.left(x, F.length(x) - F.length(tail))
-    after_colon = F.when(F.locate(":", head) > 0, strip(F.substring_index(head, ":", -1)))
-    last_resort = F.when(F.regexp_like(x, F.lit(fv.SQL_FENCE_OPEN)), to_first_semicolon).otherwise(after_colon)
-    return F.coalesce(
-        non_empty(_last(x, fv.SQL_FENCE)), non_empty(_last(x, fv.ANY_FENCE)), non_empty(last_resort)
+    x = F.coalesce(raw, F.lit(""))
+    found = computed(
+        df,
+        _in_sql=_last(raw, fv.SQL_FENCE),
+        _in_any=_last(raw, fv.ANY_FENCE),
+        _in_open=F.regexp_substr(x, F.lit(fv.SQL_FENCE_OPEN)),
+        _in_head=F.left(x, F.length(x) - F.length(F.substring_index(x, ";", -1))),
     )
+    # From the fence on; its tag and the white space after it are cut off here.
+    rest = strip(F.substring("_in_open", 7, 2**31 - 1))
+    to_first_semicolon = F.when(
+        F.locate(";", rest) > 0, F.concat(F.substring_index(rest, ";", 1), F.lit(";"))
+    ).otherwise(rest)
+    after_colon = F.when(F.locate(":", "_in_head") > 0, strip(F.substring_index("_in_head", ":", -1)))
+    last_resort = F.when(F.col("_in_open").isNotNull(), to_first_semicolon).otherwise(after_colon)
+    sql = F.coalesce(non_empty("_in_sql"), non_empty("_in_any"), non_empty(last_resort))
+    return found.withColumn(name, sql).drop("_in_sql", "_in_any", "_in_open", "_in_head")
 
 
 def table_and_index_statements(x) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions import fixed_values as fv
-from sqlloom.functions.responses import sql_from_response
+from sqlloom.functions.responses import with_sql
 from sqlloom.functions.sqltext import is_single_statement, loose_form, normalize_sql, with_semicolon
 from sqlloom.functions.text import computed
 
@@ -18,7 +18,7 @@ DUPLICATE = "duplicate of an earlier candidate"
 
 def extracted_candidates(responses: DataFrame) -> DataFrame:
     """(item_id, round_no, sql, norm, reason) for every response (item_id, round_no, raw)."""
-    read = computed(responses.select("item_id", "round_no", "raw"), _sql=sql_from_response("raw"))
+    read = with_sql(responses.select("item_id", "round_no", "raw"), "raw", "_sql")
     closed = computed(read, sql=with_semicolon("_sql"))
     gated = computed(
         closed,
@@ -68,7 +68,8 @@ def voted(items: DataFrame, candidates: DataFrame, verdicts: DataFrame) -> DataF
     Both matches are joins on item and text, and the winner is picked by an aggregate
     that combines before the shuffle, so an item with very many candidates is no burden.
     """
-    choice = computed(verdicts.select("item_id", "raw"), _choice=sql_from_response("raw")).where("_choice is not null")
+    choice = with_sql(verdicts.select("item_id", "raw"), "raw", "_choice")
+    choice = computed(choice.drop("raw"), _choice=F.col("_choice")).where("_choice is not null")
     exact = choice.select("item_id", normalize_sql("_choice").alias("norm"), F.lit(True).alias("_exact"))
     loose = choice.select("item_id", loose_form("_choice").alias("_loose"), F.lit(True).alias("_is_loose"))
     matched = (

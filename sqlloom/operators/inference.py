@@ -14,6 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Tasks per core for model calls: enough to even out, and to lose little when one fails.
+TASKS_PER_CORE = 2
+
 Model = Callable[[list[str], dict], Sequence]
 
 
@@ -29,12 +32,14 @@ def infer(
     """Add (response, error).
 
     A failing call costs its batch one attempt: the rows come back with a null response
-    and the error text.  With ``partitions`` and ``key`` the prompts are first spread by
-    key, which is repeatable when a task is run again.  Write the result before reading
-    it twice, or the model is called twice.
+    and the error text.  With a ``key`` the prompts are first spread over ``partitions``
+    tasks by that key, which is repeatable when a task is run again; the number is fixed
+    because prompts are short and answers are not, so sizes say nothing about the work.
+    Write the result before reading it twice, or the model is called twice.
     """
-    if partitions and key:
-        df = df.repartition(partitions, key)
+    if key:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        df = df.repartition(partitions or TASKS_PER_CORE * cores, key)
     options = dict(options or {})
     schema = T.StructType(
         [f for f in df.schema.fields if f.name != prompt]
@@ -44,17 +49,20 @@ def infer(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make_model()
         for frame in frames:
-            for start in range(0, len(frame), batch_size):
-                part = frame.iloc[start : start + batch_size]
-                prompts = part[prompt].tolist()
+            prompts = frame[prompt].tolist()
+            answers, errors = [], []
+            for start in range(0, len(prompts), batch_size):
+                part = prompts[start : start + batch_size]
                 try:
-                    answers = [_one_text(a) for a in model(prompts, options)]
-                    if len(answers) != len(prompts):
-                        raise ValueError(f"{len(answers)} answers to {len(prompts)} prompts")
+                    texts = [_one_text(a) for a in model(part, options)]
+                    if len(texts) != len(part):
+                        raise ValueError(f"{len(texts)} answers to {len(part)} prompts")
                     error = None
                 except Exception as e:  # noqa: BLE001 - any failure of the user's model
-                    answers, error = [None] * len(prompts), f"{type(e).__name__}: {e}"
-                yield part.drop(columns=[prompt]).assign(response=answers, error=error)
+                    texts, error = [None] * len(part), f"{type(e).__name__}: {e}"
+                answers += texts
+                errors += [error] * len(part)
+            yield frame.drop(columns=[prompt]).assign(response=answers, error=errors)
 
     return df.mapInPandas(run, schema)
 

@@ -114,7 +114,7 @@ def execution_errors(candidates: DataFrame, schemas: DataFrame, group_rows: int
     schema_sql).  Candidates and schema texts are sent to the same task and sorted, so a
     schema is built once per task group and its text travels once per group, not once
     per candidate.  Schemas with more than ``group_rows`` candidates are spread over
-    several groups.
+    several groups.  Candidates are read twice: give a written table.
     """
     counts = candidates.groupBy("schema_file").agg(F.count(F.lit(1)).alias("_n"))
     total = candidates.count()

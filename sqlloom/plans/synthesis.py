@@ -34,10 +34,15 @@ def vote_prompts(items: DataFrame, compressed: DataFrame, candidates: DataFrame,
     )
 
 
-def gated_candidates(responses: DataFrame, items: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Extracted candidates whose ``reason`` also tells whether they run on their schema."""
-    extracted = C.extracted_candidates(responses)
-    runnable = extracted.where("reason is null").join(items.select("item_id", "schema_file"), "item_id")
+def gated_candidates(responses: DataFrame, items: DataFrame, schemas: DataFrame, folder: str) -> DataFrame:
+    """Extracted candidates whose ``reason`` also tells whether they run on their schema.
+
+    The extraction is written below ``folder``: the execution check reads it several times.
+    """
+    extracted = written(
+        C.extracted_candidates(responses).join(items.select("item_id", "schema_file"), "item_id"), f"{folder}/extracted"
+    )
+    runnable = extracted.where("reason is null")
     errors = execution_errors(runnable.select("schema_file", "item_id", "round_no", "sql"), schemas)
     failed = errors.where("exec_error is not null").select("item_id", "round_no", F.lit(C.NOT_EXECUTABLE).alias("_failed"))
     return extracted.join(failed, ["item_id", "round_no"], "left").select(
@@ -68,7 +73,7 @@ def make_sql(
         f"{folder}/answers",
     )
     responses = answers.select("item_id", "round_no", F.col("response").alias("raw"))
-    gated = written(gated_candidates(responses, items, schemas), f"{folder}/gated")
+    gated = written(gated_candidates(responses, items, schemas, folder), f"{folder}/gated")
     usable = written(C.with_fallback(items, C.distinct_candidates(gated)), f"{folder}/usable")
     verdicts = written(
         infer(

@@ -19,7 +19,7 @@ from sqlloom.plans import growth as G
 from sqlloom.plans import paraphrase as PP
 from sqlloom.plans import questions as Q
 from sqlloom.plans import synthesis as S
-from sqlloom.session import run_folder
+from sqlloom.session import run_folder, written
 from sqlloom.sources.sinks import write_jsonl
 from sqlloom.streaming.enrich_stream import stream_enrich
 from suite.registry import query
@@ -28,7 +28,7 @@ from suite.rows import CLASSIFIED
 from suite.sampling_queries import COUNTS, PMF, UNIFORM, VALID, density_sql
 from suite.schema_queries import assembled
 
-GROWTH_MODE, GROWTH_MAX = 8, 60
+GROWTH_MODE, GROWTH_MAX = 40, 150
 
 
 def _echo():
@@ -68,14 +68,15 @@ RUNS = """CASE WHEN item_id % 97 % 31 = 5 THEN false WHEN norm LIKE '% from t' O
 def exec_gate(fx):
     items, schemas = _gate_inputs(fx)
     good = C.extracted_candidates(fx.fx_candidates).where("reason is null").join(items, "item_id")
-    checked = execution_errors(good.select("schema_file", "item_id", "round_no", "sql"), schemas)
+    stored = written(good.select("schema_file", "item_id", "round_no", "sql"), f"{run_folder(fx.spark, 'gate')}/good")
+    checked = execution_errors(stored, schemas)
     return checked.select("item_id", "round_no", F.col("exec_error").isNull().alias("runs"))
 
 
 @query(GATED + f""" SELECT item_id, round_no, coalesce(reason, CASE WHEN NOT ({RUNS}) THEN 'not executable against the schema' END) AS reason FROM gated""")
 def exec_gate_reasons(fx):
     items, schemas = _gate_inputs(fx)
-    return S.gated_candidates(fx.fx_candidates, items, schemas).select("item_id", "round_no", "reason")
+    return S.gated_candidates(fx.fx_candidates, items, schemas, run_folder(fx.spark, "gate")).select("item_id", "round_no", "reason")
 
 
 @query("""SELECT table_no, table_no % 4 <> 1 AS loads FROM fx_tables""")
