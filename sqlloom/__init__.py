@@ -1,3 +1,10 @@
 """Text-to-SQL corpus curation as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in tasks travel with the job: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
