@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sqlloom.functions import fixed_values as fv
 from sqlloom.functions.ddl import has_if_not_exists, statement_name
-from sqlloom.functions.text import col, flatten, is_blank, non_empty, strip
+from sqlloom.functions.text import col, computed, flatten, is_blank, non_empty, strip
 from sqlloom.operators.ranking import first_per_key
 
 
@@ -83,16 +83,20 @@ def without_name_conflicts(new: DataFrame, existing: DataFrame) -> DataFrame:
     new statements for one name, the first stays.
     """
     key = new.columns[0]
-    named = new.withColumn("_name", F.lower(statement_name("statement")))
-    lenient = has_if_not_exists("statement")
-    taken = existing.select(key, F.lower("table_name").alias("_name")).distinct()
-    strict = named.where(~lenient).join(taken, [key, "_name"], "left_anti")
-    first = strict.groupBy(key, "_name").agg(F.min("ord").alias("ord"))
-    kept = strict.join(first, [key, "_name", "ord"], "left_semi")
-    # A lenient statement that comes first also takes the name.
-    takers = named.where(lenient).groupBy(key, "_name").agg(F.min("ord").alias("_taken"))
-    kept = kept.join(takers, [key, "_name"], "left").where("_taken is null or ord < _taken")
-    return kept.select(*new.columns).unionByName(named.where(lenient).select(*new.columns))
+    named = computed(new, _name=F.lower(statement_name("statement")), _lenient=has_if_not_exists("statement"))
+    claims = named.select(key, "_name", "ord", "_lenient", F.lit(False).alias("_taken")).unionByName(
+        existing.select(key, F.lower("table_name").alias("_name"), F.lit(True).alias("_taken")), allowMissingColumns=True
+    )
+    strict, lenient = F.min(F.when(~F.col("_lenient"), F.col("ord"))), F.min(F.when(F.col("_lenient"), F.col("ord")))
+    # A name goes to its first strict statement, unless the schema or an earlier lenient one has it.
+    granted = (
+        claims.groupBy(key, "_name")
+        .agg(F.max("_taken").alias("_taken"), strict.alias("ord"), lenient.alias("_lenient_ord"))
+        .where("not _taken and ord is not null and (_lenient_ord is null or ord < _lenient_ord)")
+        .select(key, "_name", "ord", F.lit(True).alias("_granted"))
+    )
+    kept = named.join(granted, [key, "_name", "ord"], "left").where("_lenient or _granted")
+    return kept.select(*new.columns)
 
 
 def first_questions(questions: DataFrame, order: str = "row_idx") -> DataFrame:

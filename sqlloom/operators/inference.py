@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -45,11 +45,12 @@ def infer(
         [f for f in df.schema.fields if f.name != prompt]
         + [T.StructField("response", T.StringType()), T.StructField("error", T.StringType())]
     )
+    kept = [f.name for f in schema.fields[:-2]]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = make_model()
-        for frame in frames:
-            prompts = frame[prompt].tolist()
+        for batch in batches:
+            prompts = batch.column(prompt).to_pylist()
             answers, errors = [], []
             for start in range(0, len(prompts), batch_size):
                 part = prompts[start : start + batch_size]
@@ -62,9 +63,10 @@ def infer(
                     texts, error = [None] * len(part), f"{type(e).__name__}: {e}"
                 answers += texts
                 errors += [error] * len(part)
-            yield frame.drop(columns=[prompt]).assign(response=answers, error=errors)
+            columns = [batch.column(c) for c in kept] + [pa.array(answers, pa.string()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "response", "error"])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def _one_text(answer) -> str:

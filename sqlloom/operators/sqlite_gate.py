@@ -9,9 +9,10 @@ from __future__ import annotations
 import sqlite3
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sqlloom.functions.responses import index_statements, table_statements
 from sqlloom.functions.sqltext import clean_dialect, split_statements
@@ -65,48 +66,51 @@ def _error_of(db, statements) -> str | None:
         return str(e)
 
 
-def _check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _error_in_own(ddl: str, statements) -> str | None:
+    """As above in a database of its own, for statements that control transactions."""
+    db, error = _open(ddl)
+    if db is None:
+        return error
+    try:
+        for s in statements:
+            if s.strip():
+                db.execute(s)
+        return None
+    except (sqlite3.Error, sqlite3.Warning, ValueError) as e:
+        return str(e)
+    finally:
+        db.close()
+
+
+def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by schema and group, the schema row before its candidates."""
     here, db, broken, ddl = None, None, None, None
-    for frame in frames:
-        ids, errors = [], []
-        for schema, group, text, item, round_no, statements, transactional in frame.itertuples(index=False, name=None):
+    for batch in batches:
+        places, errors = [], []
+        columns = [batch.column(c).to_pylist() for c in ("schema_file", "grp", "ddl", "statements", "transactional")]
+        for place, (schema, group, text, statements, transactional) in enumerate(zip(*columns)):
             if here != (schema, group):
                 if db is not None:
                     db.close()
-                here, ddl = (schema, group), None
-                db, broken = None, "schema not found"
+                here, db, broken, ddl = (schema, group), None, "schema not found", None
             if text is not None:
                 ddl = text
                 db, broken = _open(ddl)
                 continue
+            places.append(place)
             if db is None:
-                error = broken
-            elif transactional:
-                # Statements that control transactions cannot be undone: use a database of their own.
-                own, error = _open(ddl)
-                if own is not None:
-                    try:
-                        for s in statements:
-                            if s.strip():
-                                own.execute(s)
-                    except (sqlite3.Error, sqlite3.Warning, ValueError) as e:
-                        error = str(e)
-                    own.close()
+                errors.append(broken)
             else:
-                error = _error_of(db, statements)
-            ids.append((schema, item, round_no))
-            errors.append(error)
-        yield pd.DataFrame(
-            {
-                "schema_file": [i[0] for i in ids], "item_id": [i[1] for i in ids],
-                "round_no": [i[2] for i in ids], "exec_error": errors,
-            }
-        )
+                errors.append(_error_in_own(ddl, statements) if transactional else _error_of(db, statements))
+        kept = [batch.column(c).take(pa.array(places, pa.int64())) for c in _KEYS]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(errors, pa.string())], names=[*_KEYS, "exec_error"])
     if db is not None:
         db.close()
 
 
+_KEYS = ("schema_file", "item_id", "round_no")
+
+
 def execution_errors(candidates: DataFrame, schemas: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(schema_file, item_id, round_no, exec_error): null means the candidate runs on its schema.
 
@@ -145,58 +149,67 @@ def execution_errors(candidates: DataFrame, schemas: DataFrame, group_rows: int
         .repartition("schema_file", "grp")
         .sortWithinPartitions("schema_file", "grp", F.col("ddl").isNull())
     )
-    key = candidates.schema["schema_file"].dataType.simpleString()
-    return together.mapInPandas(
-        _check,
-        f"schema_file {key}, item_id {item_type.simpleString()}, round_no {round_type.simpleString()}, exec_error string",
-    )
+    keys = ", ".join(f"{c} {candidates.schema[c].dataType.simpleString()}" for c in _KEYS)
+    return together.mapInArrow(_check, f"{keys}, exec_error string")
 
 
 def schema_errors(schemas: DataFrame, key: str = "schema_file", text: str = "schema_sql") -> DataFrame:
     """(key, ddl_error): null when every statement of the schema text runs, in order."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             errors = []
-            for ddl in frame[text]:
+            for ddl in batch.column(text).to_pylist():
                 db, error = _open(ddl)
                 if db is not None:
                     db.close()
                 errors.append(error)
-            yield pd.DataFrame({key: frame[key], "ddl_error": errors}).astype({"ddl_error": object})
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(errors, pa.string())], names=[key, "ddl_error"])
 
     kind = schemas.schema[key].dataType.simpleString()
-    return schemas.select(key, text).mapInPandas(run, f"{key} {kind}, ddl_error string")
+    return schemas.select(key, text).mapInArrow(run, f"{key} {kind}, ddl_error string")
 
 
-def additions(states: DataFrame, key: str, old: str, new: str) -> DataFrame:
-    """(key, old_error, kept, n_kept): the new tables, then indexes, that load on top of the old schema.
+def _loadable(ddl: str | None, tables: list | None, indexes: list | None) -> tuple[str | None, list[str]]:
+    """Error of the old schema, and the new statements that load on top of it."""
+    db, error = _open(ddl)
+    kept = []
+    if db is not None:
+        for statement in [*(tables or ()), *(indexes or ())]:
+            try:
+                _bound(db)
+                db.executescript(statement)
+                kept.append(statement)
+            except (sqlite3.Error, sqlite3.Warning, ValueError):
+                pass
+        db.close()
+    return error, kept
+
+
+def with_additions(states: DataFrame, old: str, new: str) -> DataFrame:
+    """Add (old_error, kept, n_kept): the new tables, then indexes, that load on top of the old schema.
 
     Statements that fail are left out.  When the old schema itself fails, ``old_error``
     is set and nothing is kept.
     """
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for schema, ddl, tables, indexes in frame.itertuples(index=False, name=None):
-                db, error = _open(ddl)
-                kept = []
-                if db is not None:
-                    for s in [*(tables if tables is not None else ()), *(indexes if indexes is not None else ())]:
-                        try:
-                            _bound(db)
-                            db.executescript(s)
-                            kept.append(s)
-                        except (sqlite3.Error, sqlite3.Warning, ValueError):
-                            pass
-                    db.close()
-                rows.append((schema, error, "\n\n".join(kept), len(kept)))
-            yield pd.DataFrame(rows, columns=[key, "old_error", "kept", "n_kept"])
-
-    kind = states.schema[key].dataType.simpleString()
-    return states.select(
-        key, F.col(old).alias("_old"), table_statements(new).alias("_tables"), index_statements(new).alias("_indexes")
-    ).mapInPandas(run, f"{key} {kind}, old_error string, kept string, n_kept int")
-
-
+    passed = states.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            work = (batch.column(c).to_pylist() for c in (old, "_tables", "_indexes"))
+            done = [_loadable(*row) for row in zip(*work)]
+            added = [
+                pa.array([error for error, _ in done], pa.string()),
+                pa.array(["\n\n".join(kept) for _, kept in done], pa.string()),
+                pa.array([len(kept) for _, kept in done], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in passed), *added], names=[*passed, "old_error", "kept", "n_kept"]
+            )
+
+    schema = T.StructType(
+        [*states.schema.fields, T.StructField("old_error", T.StringType()), T.StructField("kept", T.StringType()),
+         T.StructField("n_kept", T.IntegerType())]
+    )
+    split = states.withColumns({"_tables": table_statements(new), "_indexes": index_statements(new)})
+    return split.mapInArrow(run, schema)

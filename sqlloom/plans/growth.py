@@ -11,7 +11,7 @@ from sqlloom.functions.responses import create_table_span, ddl_from_response
 from sqlloom.functions.text import computed, rstrip, strip
 from sqlloom.operators import sampling
 from sqlloom.operators.inference import infer
-from sqlloom.operators.sqlite_gate import additions
+from sqlloom.operators.sqlite_gate import with_additions
 from sqlloom.plans.schemas import GROWTH_RAMP
 from sqlloom.session import run_folder, written
 
@@ -49,15 +49,12 @@ def next_states(states: DataFrame, answers: DataFrame, retries: int) -> DataFram
     """States after one round; a round that adds nothing counts as a failed attempt."""
     read = computed(answers.select("schema_file", "response", "error"), ddl=ddl_from_response("response"))
     old = states.where("status = 'open'").join(read.select("schema_file", "ddl", "error"), "schema_file")
-    base = rstrip("schema_sql")
-    tried = additions(
-        old.select("schema_file", base.alias("old"), F.coalesce("ddl", F.lit("")).alias("ddl")), "schema_file", "old", "ddl"
-    )
-    merged = old.join(tried, "schema_file")
+    old = old.withColumns({"base": rstrip("schema_sql"), "ddl": F.coalesce("ddl", F.lit(""))})
+    merged = with_additions(old, "base", "ddl")
     gained = F.coalesce(F.col("n_kept") > 0, F.lit(False))
-    text = F.when(gained, F.concat(base, F.lit("\n\n"), strip("kept"), F.lit("\n"))).otherwise(F.col("schema_sql"))
+    text = F.when(gained, F.concat("base", F.lit("\n\n"), strip("kept"), F.lit("\n"))).otherwise(F.col("schema_sql"))
     failure = F.coalesce(
-        "error", "old_error", F.when(F.coalesce("ddl", F.lit("")) == "", NO_SQL), F.lit(NO_GAIN)
+        "error", "old_error", F.when(F.col("ddl") == "", NO_SQL), F.lit(NO_GAIN)
     )
     merged = computed(merged, _gained=gained, _text=text, _tables=D.table_count(text))
     gained, tables = F.col("_gained"), F.col("_tables")
@@ -65,7 +62,7 @@ def next_states(states: DataFrame, answers: DataFrame, retries: int) -> DataFram
         "schema_file", F.col("_text").alias("schema_sql"), tables.alias("num_tables"), "target",
         F.when(gained, 1).otherwise(F.col("attempt") + 1).alias("attempt"),
         F.when(~gained, failure).alias("last_error"),
-        F.when(gained, F.lit("")).otherwise(F.coalesce(create_table_span("ddl"), "ddl", F.lit(""))).alias("rejected"),
+        F.when(gained, F.lit("")).otherwise(F.coalesce(create_table_span("ddl"), "ddl")).alias("rejected"),
         F.when(gained & (tables >= F.col("target")), "done")
         .when(gained, "open")
         .when(F.col("attempt") >= retries, "failed")
@@ -76,15 +73,17 @@ def next_states(states: DataFrame, answers: DataFrame, retries: int) -> DataFram
 def grow_schemas(
     schemas: DataFrame, make_model, mode: int = 100, max_tables: int = 350, retries: int = 3,
     max_rounds: int = 40, batch_size: int = 64, seed=42, options: dict | None = None, partitions: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """All versions of every schema: (round_no, schema_file, schema_sql, num_tables, target, status, last_error, rejected).
 
-    Every round writes its answers and its new states to the shared work folder, so a
-    lost task never calls the model again for what is finished and no lineage builds
-    up.  A round works on the schemas that are still open only.
+    Every round writes its answers and its new states to ``folder`` (a new one below the
+    shared work folder by default), so a lost task never calls the model again for what
+    is finished and no lineage builds up; given the folder of a broken run, the job goes
+    on where that stopped.  A round works on the schemas that are still open only.
     """
     spark = schemas.sparkSession
-    folder = run_folder(spark, "growth")
+    folder = folder or run_folder(spark, "growth")
     start = start_states(schemas, mode, max_tables, seed).withColumn("round_no", F.lit(0))
     states = written(start, f"{folder}/state/0")
     rounds = [f"{folder}/state/0"]

@@ -63,9 +63,10 @@ def with_originals(records: DataFrame, new: DataFrame, skip_original: bool = Fal
 def make_paraphrases(
     records: DataFrame, key: str, make_model, model_name: str, n: int = 2, retries: int = 3, batch_size: int = 12,
     skip_original: bool = False, options: dict | None = None, partitions: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     spark = records.sparkSession
-    folder = run_folder(spark, "paraphrase")
+    folder = folder or run_folder(spark, "paraphrase")
     base = written(paraphrase_prompts(records, n, key), f"{folder}/prompts")
     open_items, paths = base.select(key), []
     for attempt in range(retries + 1):

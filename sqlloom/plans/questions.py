@@ -41,10 +41,11 @@ def question_prompts(schemas: DataFrame, requests: DataFrame, count: int) -> Dat
 def make_questions(
     schemas: DataFrame, examples: DataFrame, make_model, model_name: str, per_schema: int = 10, retries: int = 3,
     batch_size: int = 32, seed=42, options: dict | None = None, partitions: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Question records.  At most ``retries`` + 1 rounds; a round asks for the open schemas only."""
     spark = schemas.sparkSession
-    folder = run_folder(spark, "questions")
+    folder = folder or run_folder(spark, "questions")
     requests = written(question_requests(schemas, examples, seed), f"{folder}/requests")
     base = written(question_prompts(schemas, requests, per_schema), f"{folder}/prompts")
     open_items, paths = base.select("schema_file"), []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sqlloom.functions import ddl as D
@@ -41,10 +41,11 @@ def fit_targets(counts: DataFrame, mode: int = 100, max_tables: int = 350) -> Da
     """(num_tables, target) for as many schemas as there are."""
     spark = counts.sparkSession
     density = sampling.table_count_density(spark, mode, max_tables, FIT_RAMP)
-    total = counts.agg(F.count(F.lit(1)).alias("total"))
-    # A single row meets max_tables + 1 rows.
-    placed = density.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
-    return sampling.quotas(placed.select("num_tables", "density", "total"), F.col("total"))
+    observed = counts.groupBy("num_tables").agg(F.count(F.lit(1)).alias("n"))
+    # One row per table count, so the sum over all of them is small work.
+    total = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0))), F.lit(0))
+    placed = density.join(observed, "num_tables", "full").withColumn("total", total).where("density is not null")
+    return sampling.quotas(placed, F.col("total"))
 
 
 def fit_distribution(counts: DataFrame, mode: int = 100, max_tables: int = 350, seed=42) -> DataFrame:

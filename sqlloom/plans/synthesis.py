@@ -53,6 +53,7 @@ def gated_candidates(responses: DataFrame, items: DataFrame, schemas: DataFrame,
 def make_sql(
     items: DataFrame, schemas: DataFrame, make_model, candidates_per_item: int = 2, batch_size: int = 16,
     generate_options: dict | None = None, vote_options: dict | None = None, make_judge=None, partitions: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Triplets (item_id, prompt, sql_statement, schema_file, cmd_type).
 
@@ -60,7 +61,7 @@ def make_sql(
     second pass.  Answers are written before they are read.
     """
     spark = items.sparkSession
-    folder = run_folder(spark, "sql")
+    folder = folder or run_folder(spark, "sql")
     rounds = max(1, candidates_per_item)
     compressed = written(
         compressed_schemas(catalog_from_ddl(schemas, "schema_file", "schema_sql"), "schema_file"), f"{folder}/compressed"

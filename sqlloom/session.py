@@ -54,7 +54,19 @@ def run_folder(spark: SparkSession, job: str) -> str:
     return f"{work_folder(spark)}/{job}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whatever file system it names."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
-    """Write a table and read it back: later steps neither repeat its work nor keep its lineage."""
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table and read it back: later steps neither repeat its work nor keep its lineage.
+
+    A table that an earlier run of the same job has finished is read as it is; what a
+    broken run left half written is replaced.
+    """
+    spark = df.sparkSession
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.operators.ranking import with_chunk
+from sqlloom.session import path_exists
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -57,8 +58,6 @@ def append_batch(df: DataFrame, path: str) -> None:
 
 def not_yet_written(items: DataFrame, path: str, key: str) -> DataFrame:
     """Items that an earlier run has not finished."""
-    spark = items.sparkSession
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
+    if not path_exists(items.sparkSession, path):
         return items
-    return items.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
+    return items.join(items.sparkSession.read.parquet(path).select(key).distinct(), key, "left_anti")

@@ -13,7 +13,7 @@ from sqlloom.operators import candidates as C
 from sqlloom.operators import examples as X
 from sqlloom.operators.gates import first_questions
 from sqlloom.operators.inference import infer
-from sqlloom.operators.sqlite_gate import additions, execution_errors, schema_errors
+from sqlloom.operators.sqlite_gate import execution_errors, schema_errors, with_additions
 from sqlloom.plans import enrich as E
 from sqlloom.plans import growth as G
 from sqlloom.plans import paraphrase as PP
@@ -92,7 +92,7 @@ def ddl_additions(fx):
     old = F.when(F.col("table_no") % 5 == 0, F.lit("CREATE TABLE (")).otherwise(F.col("ddl"))
     new = F.concat(F.col("ddl"), F.lit(" CREATE INDEX i0 ON missing (a); CREATE TABLE n1 (a INT); CREATE INDEX i1 ON n1 (a);"))
     states = fx.fx_tables.select("table_no", old.alias("old"), new.alias("new"))
-    return additions(states, "table_no", "old", "new").select("table_no", "kept")
+    return with_additions(states, "old", "new").select("table_no", "kept")
 
 
 def _grower():
@@ -176,7 +176,9 @@ SELECT rec_id, question, NULL::VARCHAR AS augmentation_of FROM done
 UNION ALL SELECT rec_id, 'Tell me: ' || question, question FROM done
 UNION ALL SELECT rec_id, 'Say: ' || question, question FROM done""")
 def make_paraphrases(fx):
-    made = PP.make_paraphrases(E.enrich(fx.fx_triplets), "rec_id", _reworder, "stub", n=2, retries=1)
+    # Enriched records are a stored dataset by the time they are paraphrased.
+    records = written(E.enrich(fx.fx_triplets), f"{run_folder(fx.spark, 'enriched')}/records")
+    made = PP.make_paraphrases(records, "rec_id", _reworder, "stub", n=2, retries=1)
     return made.select("rec_id", "question", "augmentation_of")
 
 

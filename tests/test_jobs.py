@@ -102,6 +102,19 @@ def test_questions_retry_only_what_is_open(spark):
     assert row.timestamp is not None and row.source == "semi-synthetic"
 
 
+def test_a_broken_run_goes_on_where_it_stopped(spark):
+    schemas = spark.createDataFrame([(f"s{i}", ddl(f"t{i}_", 2)) for i in range(4)], "schema_file string, schema_sql string")
+    examples = spark.createDataFrame([("how many?", 0)], "nl_prompt string, num_joins int")
+    folder = run_folder(spark, "again")
+
+    def never(prompt):
+        raise RuntimeError("the model must not be asked again")
+
+    ask = lambda one: Q.make_questions(schemas, examples, model(one), "m", retries=1, folder=folder)
+    first = {tuple(r) for r in ask(lambda p: "One?\nTwo?").collect()}
+    assert {tuple(r) for r in ask(never).collect()} == first and len(first) == 8
+
+
 def test_sql_candidates_gate_and_vote(spark):
     schemas = spark.createDataFrame([("s", "CREATE TABLE t (id INT);"), ("e", "CREATE TABLE e (id INT);")], "schema_file string, schema_sql string")
     items = spark.createDataFrame([(1, "s", "count\nall"), (2, "s", "broken"), (3, "e", "pick")], "item_id long, schema_file string, question string")

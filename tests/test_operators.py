@@ -320,7 +320,7 @@ def test_schema_errors_and_additions(spark):
     df = spark.createDataFrame([("a", "CREATE TABLE t (x INT);"), ("b", "CREATE TABLE t (x INT); CREATE TABLE t (y INT);"), ("c", None)], "schema_file string, schema_sql string")
     assert {r.schema_file: r.ddl_error is None for r in Q.schema_errors(df).collect()} == {"a": True, "b": False, "c": True}
     new = "CREATE INDEX i ON n (x); CREATE TABLE t (z INT); CREATE TABLE n (x INT); CREATE INDEX j ON gone (x);"
-    got = Q.additions(df.withColumn("new", F.lit(new)), "schema_file", "schema_sql", "new").collect()
+    got = Q.with_additions(df.withColumn("new", F.lit(new)), "schema_sql", "new").collect()
     assert {r.schema_file: (r.kept, r.n_kept) for r in got if r.schema_file != "c"} == {
         "a": ("CREATE TABLE n (x INT);\n\nCREATE INDEX i ON n (x);", 2), "b": ("", 0)}
     good, failed = J.loadable(df, "schema_file")
