@@ -101,6 +101,11 @@ SHORTEST_QUERY = 20
 # Answer used when an item has no usable candidate.
 FALLBACK_SQL = "SELECT 1;"
 
+# Origin marks of written records.
+QUESTION_SOURCE = "semi-synthetic"
+PARAPHRASE_TYPE = "question_paraphrase"
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
 # Drop reasons of enrichment.
 REASON_NO_SQL = "Error generating SQL"
 REASON_ONLY_COMMENTS = "Only comments present"

@@ -55,16 +55,17 @@ def example_buckets(examples: DataFrame) -> DataFrame:
 
 
 def nearest_buckets(buckets: DataFrame) -> DataFrame:
-    """(target_joins, used_joins): the closest bucket with examples, the smaller one on a tie."""
-    filled = F.when(F.col("n_examples") > 0, F.col("num_joins"))
+    """(target_joins, used_joins, used_examples): the closest bucket with examples, the smaller one on a tie."""
+    t = F.col("num_joins")
+    filled = F.when(F.col("n_examples") > 0, F.struct(t.alias("j"), F.col("n_examples").alias("n")))
     order = Window.partitionBy(F.lit(0)).orderBy("num_joins")  # eleven rows
     below = F.last(filled, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     above = F.first(filled, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    t = F.col("num_joins")
-    nearer_above = F.col("above") - t < t - F.col("below")
-    return buckets.withColumn("below", below).withColumn("above", above).select(
-        t.alias("target_joins"),
-        F.when(F.col("below").isNull() | nearer_above, F.col("above")).otherwise(F.col("below")).alias("used_joins"),
+    nearer_above = F.col("above.j") - t < t - F.col("below.j")
+    used = F.when(F.col("below").isNull() | nearer_above, F.col("above")).otherwise(F.col("below"))
+    return buckets.withColumns({"below": below, "above": above}).withColumn("used", used).select(
+        t.alias("target_joins"), F.col("used.j").alias("used_joins"),
+        F.coalesce("used.n", F.lit(0)).cast("bigint").alias("used_examples"),
     )
 
 
@@ -81,17 +82,11 @@ def draw_examples(requests: DataFrame, key: str, target: str, examples: DataFram
     A request draws k positions in its bucket and fetches those rows by an equality
     join, so requests and examples never meet in pairs.
     """
-    buckets = example_buckets(examples)
-    nearest = nearest_buckets(buckets)
-    sized = nearest.join(
-        F.broadcast(buckets.withColumnRenamed("num_joins", "used_joins")), "used_joins", "left"
-    ).select(
-        F.col("target_joins").alias(target), "used_joins", F.coalesce("n_examples", F.lit(0)).alias("_n")
-    )
-    placed = requests.join(F.broadcast(sized), target)  # eleven rows
+    nearest = nearest_buckets(example_buckets(examples)).withColumnRenamed("target_joins", target)
+    placed = requests.join(F.broadcast(nearest), target)  # eleven rows
     wanted = placed.select(
         key, F.col("used_joins").alias("num_joins"),
-        F.posexplode(draw_positions("_n", k, seed, key)).alias("_slot", "position"),
+        F.posexplode(draw_positions("used_examples", k, seed, key)).alias("_slot", "position"),
     )
     found = (
         wanted.join(ranked_examples(examples, seed), ["num_joins", "position"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sqlloom.functions import fixed_values as fv
 from sqlloom.functions import prompts
 from sqlloom.functions.responses import paraphrase_lines, with_new_wordings, without_self_reference
 from sqlloom.functions.text import computed, token_count
@@ -46,9 +47,9 @@ def paraphrased(records: DataFrame, lines: DataFrame, key: str, n: int, model_na
         .drop("lines")
         .withColumns(
             {
-                "token_count": counts, "augmentation_type": F.lit("question_paraphrase"),
+                "token_count": counts, "augmentation_type": F.lit(fv.PARAPHRASE_TYPE),
                 "augmentation_of": F.col("question"), "paraphrase_model": F.lit(model_name),
-                "paraphrased_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
+                "paraphrased_at": F.date_format(F.current_timestamp(), fv.TIME_FORMAT),
             }
         )
         .withColumn("question", F.col("_new")).drop("_new")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sqlloom.functions import fixed_values as fv
 from sqlloom.functions import prompts
 from sqlloom.operators import sampling
 from sqlloom.operators.attempts import first_valid, numbered_lines, parsed_questions, pending
@@ -78,7 +79,7 @@ def make_questions(
         .join(requests.select("schema_file", "required_num_joins", "examples_num_joins"), "schema_file")
         .select(
             "schema_file", "line_no", "question", "required_num_joins", "examples_num_joins",
-            F.lit("semi-synthetic").alias("source"), F.lit(model_name).alias("generation_model"), "timestamp",
+            F.lit(fv.QUESTION_SOURCE).alias("source"), F.lit(model_name).alias("generation_model"), "timestamp",
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sqlloom.operators.ranking import with_chunk
@@ -42,13 +42,36 @@ def write_chunks(df: DataFrame, order: str, size: int, path: str, mode: str = "e
     chunked.repartition("chunk").write.mode(mode).partitionBy("chunk").parquet(path)
 
 
+def rows_for_size(df: DataFrame, megabytes: int) -> int:
+    """How many rows of average width make up a file of this size, before compression."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    average = df.agg(F.avg(width)).first()[0]
+    return max(1, int(megabytes * 1_000_000 / average)) if average else 1
+
+
 def publish(
-    df: DataFrame, path: str, split: str = "train", rows_per_file: int = 1_000_000, files: int | None = None,
-    mode: str = "errorifexists",
-) -> None:
-    """Sharded parquet below ``path/split``; a shard never exceeds ``rows_per_file`` rows."""
-    out = df.repartition(files) if files else df
-    out.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(f"{path.rstrip('/')}/{split}")
+    df: DataFrame, path: str, split: str = "train", megabytes: int = 500, rows_per_file: int | None = None,
+    files: int | None = None, mode: str = "errorifexists",
+) -> dict:
+    """Sharded parquet below ``path/split``, no shard above the size limit; rows and columns written.
+
+    The limit is turned into rows of average width; ``rows_per_file`` sets it directly.
+    """
+    out, seen = watched(df.repartition(files) if files else df)
+    out.write.mode(mode).option("maxRecordsPerFile", rows_per_file or rows_for_size(df, megabytes)).parquet(
+        f"{path.rstrip('/')}/{split}"
+    )
+    return {"rows": seen.get["rows"], "columns": df.columns}
+
+
+def watched(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The same rows, and an observation that knows their number once they have been written.
+
+    Totals come from the pass that writes the rows; nothing is counted again.
+    """
+    seen = Observation()
+    counts = {"rows": F.count(F.lit(1)), **metrics}
+    return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
 
 
 def append_batch(df: DataFrame, path: str) -> None:

@@ -247,13 +247,20 @@ def prompt_sql(fx):
 _CANDIDATES = template_sql(T.CANDIDATE, number="n", sql="trim(sql, E' \\t\\n\\r')")
 
 
+_NAMES = "SELECT schema_id, string_agg(table_name, chr(10) ORDER BY table_no) AS c FROM fx_tables GROUP BY schema_id"
+
+
 @query(VOTED + f""", numbered AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round_no) AS n FROM usable),
-blocks AS (SELECT item_id, string_agg({_CANDIDATES}, chr(10) ORDER BY n) AS b FROM numbered GROUP BY item_id)
-SELECT item_id, {template_sql(T.JUDGE, question="'task ' || item_id", schema="''", candidates='b')} AS prompt FROM blocks""")
+blocks AS (SELECT item_id, string_agg({_CANDIDATES}, chr(10) ORDER BY n) AS b FROM numbered GROUP BY item_id),
+names AS ({_NAMES})
+SELECT item_id, {template_sql(T.JUDGE, question="'task ' || item_id", schema="coalesce(c, '')", candidates='b')} AS prompt
+FROM blocks LEFT JOIN names ON schema_id = item_id % 300""")
 def prompt_vote(fx):
-    items = fx.fx_judge.selectExpr("item_id", "'task ' || item_id AS question", "'none.sql' AS schema_file")
+    items = fx.fx_judge.selectExpr("item_id", "'task ' || item_id AS question", "'s' || (item_id % 300) AS schema_file")
     usable = C.with_fallback(items, C.distinct_candidates(C.extracted_candidates(fx.fx_candidates)))
-    compressed = fx.fx_tables.limit(0).selectExpr("table_name AS schema_file", "ddl AS compressed")
+    compressed = fx.fx_tables.groupBy("schema_id").agg(
+        F.expr("listagg(table_name, '\n') within group (order by table_no)").alias("compressed")
+    ).selectExpr("'s' || schema_id AS schema_file", "compressed")
     return S.vote_prompts(items, compressed, usable, shown=4)
 
 

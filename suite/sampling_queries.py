@@ -142,7 +142,8 @@ def example_buckets(fx):
 
 @query(VALID + " SELECT target_joins, used_joins FROM nearest")
 def nearest_bucket(fx):
-    return X.nearest_buckets(X.example_buckets(X.valid_examples(fx.fx_examples)))
+    nearest = X.nearest_buckets(X.example_buckets(X.valid_examples(fx.fx_examples)))
+    return nearest.select("target_joins", "used_joins")
 
 
 def _floyd_sql(k: int) -> str:

@@ -114,7 +114,9 @@ def test_chunks_publish_and_resume(spark, tmp_path):
     W.write_chunks(df, "name", 10, str(tmp_path / "c"))
     got = spark.read.parquet(str(tmp_path / "c")).groupBy("chunk").agg(F.count("name").alias("n"), F.min("name").alias("m")).orderBy("chunk").collect()
     assert [tuple(r) for r in got] == [(1, 10, "f00.sql"), (2, 10, "f10.sql"), (3, 5, "f20.sql")]
-    W.publish(df.coalesce(1), str(tmp_path / "p"), "train", rows_per_file=10)
+    told = W.publish(df.coalesce(1), str(tmp_path / "p"), "train", rows_per_file=10)
+    assert told == {"rows": 25, "columns": ["name"]}
+    assert W.rows_for_size(df, 1) == 1_000_000 // 18
     assert len(list((tmp_path / "p" / "train").glob("*.parquet"))) == 3
     assert spark.read.parquet(str(tmp_path / "p" / "train")).count() == 25
     out = str(tmp_path / "done")
@@ -145,3 +147,19 @@ def test_small_tables_are_spread(spark):
     assert S.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(100).repartition(16)
     assert S.spread(wide) is wide
+
+
+def test_totals_come_from_the_write(spark, tmp_path):
+    out, seen = W.watched(spark.range(10), large=F.count_if(F.col("id") > 6))
+    out.write.parquet(str(tmp_path / "o"))
+    assert seen.get == {"rows": 10, "large": 3}
+
+
+def test_reports(spark):
+    from sqlloom.plans.reports import corpus_profile, question_report
+
+    records = spark.createDataFrame([("a",), ("a",), ("",), ("",), ("b",), (None,)], "question string")
+    every, repeated = question_report(records)
+    assert every.count() == 6 and [tuple(r) for r in repeated.collect()] == [("a", 2)]
+    share, histogram = corpus_profile(spark.createDataFrame([([],), (None,), (["t", "u"],), (["v", "w"],)], "tables array<string>"))
+    assert share.first()[0] == 50.0 and {r.num_tables: r.n for r in histogram.collect()} == {0: 2, 1: 0, 2: 2}
