@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sqlloom.functions.text import keyed_hash
+from sqlloom.functions.text import computed, keyed_hash
 
 # Cut points held on the driver to spread a global order: bounded whatever the data size.
 SAMPLE_KEYS = 4096
@@ -35,7 +35,7 @@ def keyed_rank(
     inside a range and shifted by the sizes of the ranges before it, so that a task sees
     one range of a group only, however large the group is.
     """
-    spread = df.withColumn("_hash", keyed_hash(seed, key)).withColumn("_part", F.substring("_hash", 1, spread_digits))
+    spread = computed(df, _hash=keyed_hash(seed, key)).withColumn("_part", F.substring("_hash", 1, spread_digits))
     where = [*groups, "_part"]
     sizes = spread.groupBy(*where).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

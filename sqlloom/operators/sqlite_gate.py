@@ -50,18 +50,21 @@ def _bound(db) -> None:
 
 def _error_of(db, statements) -> str | None:
     """Error of the first failing statement; whatever they changed is undone."""
+    statements = [s for s in statements if s.strip()]
+    changes = any(s.lstrip()[:6].upper() != "SELECT" for s in statements)
     try:
         _bound(db)
-        db.execute("SAVEPOINT candidate")
+        if changes:
+            db.execute("SAVEPOINT candidate")
         try:
             for s in statements:
-                if s.strip():
-                    db.execute(s)
+                db.execute(s)
             return None
         finally:
-            _bound(db)
-            db.execute("ROLLBACK TO candidate")
-            db.execute("RELEASE candidate")
+            if changes:
+                _bound(db)
+                db.execute("ROLLBACK TO candidate")
+                db.execute("RELEASE candidate")
     except (sqlite3.Error, sqlite3.Warning, ValueError) as e:
         return str(e)
 

@@ -10,6 +10,7 @@ from sqlloom.operators import ranking as K
 from sqlloom.operators import sampling as A
 from sqlloom.operators.gates import first_questions, without_failed_names
 from sqlloom.plans import schemas as J
+from sqlloom.session import run_folder, written
 from sqlloom.sources.files import manifest_paths
 from suite.registry import query
 from suite.schema_queries import ASSEMBLED, assembled
@@ -51,6 +52,11 @@ def histogram_tables(fx):
     return P.table_histogram(schema_counts(fx))
 
 
+def _stored_counts(fx):
+    """The texts are read once; the counts are small and used several times."""
+    return written(schema_counts(fx), f"{run_folder(fx.spark, 'fit')}/counts")
+
+
 def _targets(fx, counts):
     return J.fit_targets(counts, MODE, MAX_TABLES)
 
@@ -64,7 +70,7 @@ def density_target(fx):
 
 @query(TARGETS + " SELECT schema_file, num_tables, action FROM decided")
 def quota_sample(fx):
-    return J.fit_distribution(schema_counts(fx), MODE, MAX_TABLES, SEED)
+    return J.fit_distribution(_stored_counts(fx), MODE, MAX_TABLES, SEED)
 
 
 @query(TARGETS + """ SELECT coalesce(d.num_tables, t.num_tables) AS num_tables, coalesce(observed, 0) AS observed,
@@ -73,7 +79,7 @@ FROM (SELECT num_tables, count(*) AS observed, count(*) FILTER (WHERE action = '
   count(*) FILTER (WHERE action = 'SKIP') AS skipped, count(*) FILTER (WHERE action = 'OVER_MAX') AS over_max
   FROM decided GROUP BY num_tables) d FULL JOIN targets t ON t.num_tables = d.num_tables""")
 def quota_report(fx):
-    counts = schema_counts(fx)
+    counts = _stored_counts(fx)
     return J.fit_report(J.fit_distribution(counts, MODE, MAX_TABLES, SEED), _targets(fx, counts))
 
 
