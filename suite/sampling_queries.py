@@ -196,9 +196,9 @@ def question_dedup(fx):
 
 
 @query("""SELECT row_idx, schema_file, question FROM (SELECT *, row_number() OVER (ORDER BY row_idx) - 1 AS pos FROM
-  (SELECT min(row_idx) AS row_idx, schema_file, question FROM fx_questions GROUP BY schema_file, question)) WHERE pos >= 50""")
+  (SELECT min(row_idx) AS row_idx, schema_file, question FROM fx_questions GROUP BY schema_file, question)) WHERE pos >= 5""")
 def question_slice(fx):
-    return K.slice_rows(first_questions(fx.fx_questions), "row_idx", 50)
+    return K.slice_rows(first_questions(fx.fx_questions), "row_idx", 5)
 
 
 @query("SELECT question, count(*) AS n FROM fx_questions WHERE question <> '' GROUP BY question HAVING count(*) > 1")
