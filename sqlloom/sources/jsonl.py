@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sqlloom.functions.text import col, is_blank, strip
+from sqlloom.functions.text import col, computed, is_blank, strip
 
 CORRUPT = "_corrupt"
 
@@ -33,8 +33,8 @@ def numbered_lines(spark: SparkSession, paths) -> DataFrame:
 
 def is_json_object(line) -> Column:
     """Whether a line is one complete JSON object."""
-    value = F.try_parse_json(col(line))
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    text = col(line)
+    return F.coalesce(F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull(), F.lit(False))
 
 
 def good_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -53,7 +53,7 @@ def parsed(lines: DataFrame, schema: T.StructType, line: str = "line") -> DataFr
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     record = F.from_json(strip(line), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return (
-        good_lines(lines, line).withColumn("_record", record)
+        computed(good_lines(lines, line), _record=record)
         .where(F.col(f"_record.{CORRUPT}").isNull())
         .select(*[c for c in lines.columns if c != line], *[F.col(f"_record.`{f.name}`") for f in schema.fields])
     )

@@ -14,12 +14,12 @@ SCHEMA = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.St
 
 
 def test_jsonl_drops_blank_and_malformed_lines(spark, tmp_path):
-    text = '{"a": 1, "b": "é"}\n\n  \n{"a": 2\n[1]\n{"a": 3, "extra": 1}\n"x"\n'
+    text = '{"a": 1, "b": "é"}\n\n  \n{"a": 2\n[1]\n{"a": 3, "extra": 1}\n"x"\n{"a": 4} tail\n'
     (tmp_path / "x.jsonl").write_text(text, encoding="utf-8")
     got = L.read_jsonl(spark, str(tmp_path / "x.jsonl"), SCHEMA)
     assert sorted(tuple(r) for r in got.collect()) == [(1, "é"), (3, None)]
     lines = L.numbered_lines(spark, str(tmp_path / "x.jsonl"))
-    assert sorted((r.line_no, r.line) for r in L.malformed_lines(lines).collect()) == [(3, '{"a": 2'), (4, "[1]"), (6, '"x"')]
+    assert sorted((r.line_no, r.line) for r in L.malformed_lines(lines).collect()) == [(3, '{"a": 2'), (4, "[1]"), (6, '"x"'), (7, '{"a": 4} tail')]
     assert sorted(r.line_no for r in L.line_slice(lines, "line_no", 1, 6).collect()) == [5]
     assert sorted(r.line_no for r in L.line_slice(lines, "line_no", 0).collect()) == [0, 5]
 
