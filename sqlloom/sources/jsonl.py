@@ -32,9 +32,15 @@ def numbered_lines(spark: SparkSession, paths) -> DataFrame:
 
 
 def is_json_object(line) -> Column:
-    """Whether a line is one complete JSON object."""
+    """Whether a line is one complete JSON object with nothing after it.
+
+    Spark's JSON functions stop at the end of the first value, so the line is put into an
+    array and into an object: text after the value breaks at least one of them.
+    """
     text = col(line)
-    return F.coalesce(F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull(), F.lit(False))
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    closed = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit("}"))).isNotNull()
+    return F.coalesce(F.startswith(text, F.lit("{")) & alone & closed, F.lit(False))
 
 
 def good_lines(lines: DataFrame, line: str = "line") -> DataFrame:

@@ -163,3 +163,9 @@ def test_reports(spark):
     assert every.count() == 6 and [tuple(r) for r in repeated.collect()] == [("a", 2)]
     share, histogram = corpus_profile(spark.createDataFrame([([],), (None,), (["t", "u"],), (["v", "w"],)], "tables array<string>"))
     assert share.first()[0] == 50.0 and {r.num_tables: r.n for r in histogram.collect()} == {0: 2, 1: 0, 2: 2}
+
+
+def test_json_objects_stand_alone(ev):
+    good = ['{"a": 1}', "{}", '{"a": {"b": [1, "]}"]}}', '{"a": 1, "a": 2}']
+    bad = ['{"a": 1} tail', '{"a": 1}{"a": 2}', '{"a": 1},{"a": 2}', '{"a": 1}]', '{"a": 1}] {"b": 2}', '{"a": 1}}', '{"a": 1}, "b": {}', '{"a": 1', "[1]", "1", '"x"', "", None]
+    assert ev(L.is_json_object, *good, *bad) == [True] * len(good) + [False] * len(bad)
