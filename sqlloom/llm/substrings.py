@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,24 +38,56 @@ SPAN = 13
 GRAM = 5
 MAX_STRETCHES = 2000
 SHARD_WORDS = 1 << 14
-ODD_FACTOR = 0x9E3779B97F4A7C15
+FACTOR = 0x9E3779B97F4A7C15
 MIX = 0xBF58476D1CE4E5B9
-
-
-def window_anchors(words: list[bytes], span: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window: the place of its anchor, and the hash there."""
-    gram = min(gram, span)
-    n = len(words) - span + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    runs = np.zeros(len(words) - gram + 1, np.uint64)
-    for k in range(gram):
-        runs = runs * np.uint64(ODD_FACTOR) + own[k : k + len(runs)]
-    runs = (runs ^ runs >> np.uint64(31)) * np.uint64(MIX)
-    runs ^= runs >> np.uint64(29)
-    at = np.lib.stride_tricks.sliding_window_view(runs, span - gram + 1).argmin(axis=1) + np.arange(n)
-    return at, runs[at].view(np.int64)
+PLACE_BITS = 20
+
+
+class Anchors:
+    """Windows and anchors of texts, from running hashes of their bytes.
+
+    With h(i) the sum of byte[j] * FACTOR^j over j < i, modulo 2^64, the bytes from a to b have
+    (h(b) - h(a)) / FACTOR^a as their hash wherever they stand.  Hashes only decide what is compared later.
+    """
+
+    def __init__(self, span: int, gram: int):
+        self.span, self.gram = span, min(gram, span)
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.power) < n:
+            steps = np.full(2 * n, FACTOR, np.uint64), np.full(2 * n, pow(FACTOR, -1, 1 << 64), np.uint64)
+            for x in steps:
+                x[0] = 1
+            self.power, self.inverse = (np.cumprod(x, dtype=np.uint64) for x in steps)
+        return self.power[:n], self.inverse
+
+    def __call__(self, text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(words joined by blanks, their starts, their ends, anchor word of every window, hash there)."""
+        joined = b" ".join(text.split())
+        data = np.frombuffer(joined, np.uint8)
+        blanks = np.flatnonzero(data == 32)
+        starts, ends = np.concatenate(([0], blanks + 1)), np.append(blanks, len(data))
+        n = len(starts) - self.span + 1
+        if n <= 0 or not joined:
+            return joined, starts, ends, np.empty(0, np.int64), np.empty(0, np.int64)
+        power, inverse = self._powers(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(data * power, out=sums[1:])
+        first = starts[: len(starts) - self.gram + 1]
+        runs = (sums[ends[self.gram - 1 :]] - sums[first]) * inverse[first]
+        runs = (runs ^ runs >> np.uint64(31)) * np.uint64(MIX)
+        runs ^= runs >> np.uint64(29)
+        # The smallest hash of each window, the leftmost among equals: its number stands in the low bits.
+        low = runs >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | np.arange(len(runs), dtype=np.uint64) & np.uint64((1 << PLACE_BITS) - 1)
+        wide, width = self.span - self.gram + 1, 1
+        while width < wide:
+            step = min(width, wide - width)
+            low = np.minimum(low[:-step], low[step:])
+            width += step
+        windows = np.arange(n)
+        at = windows + ((low & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64) - windows) % (1 << PLACE_BITS)
+        return joined, starts, ends, at, runs[at].view(np.int64)
 
 
 def _first_of_runs(*columns: np.ndarray) -> np.ndarray:
@@ -72,10 +103,11 @@ def repeated_anchors(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> Dat
     """(doc_id, places): the anchors of each document that at least one other document has."""
 
     def offered(batches):
+        anchors = Anchors(span, gram)
         for batch in batches:
             hashes, ids, places = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at, found = window_anchors(text.split(), span, gram)
+                _, _, _, at, found = anchors(text)
                 first = _first_of_runs(at) if len(at) else at
                 hashes.append(found[first])
                 places.append(at[first])
@@ -135,10 +167,10 @@ def stretches(docs: DataFrame, anchors: DataFrame, span: int = SPAN, gram: int =
     """(anchor, stretch, doc_id, mark, start): the windows of each repeated anchor, as one run of words."""
 
     def task(batches):
+        read = Anchors(span, gram)
         for batch in batches:
             for doc_id, mark, text, places in zip(*[c.to_pylist() for c in batch.columns]):
-                words = text.split()
-                at, hashes = window_anchors(words, span, gram)
+                joined, starts, ends, at, hashes = read(text)
                 if not len(at):
                     continue
                 first = _first_of_runs(at)
@@ -147,7 +179,7 @@ def stretches(docs: DataFrame, anchors: DataFrame, span: int = SPAN, gram: int =
                 first, last = first[chosen], last[chosen]
                 n = len(first)
                 if n:
-                    found = [b" ".join(words[a : b + span]) for a, b in zip(first.tolist(), last.tolist())]
+                    found = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[last + span - 1].tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(hashes[first]), pa.array(found, pa.binary()), pa.array(np.full(n, doc_id)),
@@ -273,7 +305,8 @@ def _distinct(found: DataFrame) -> DataFrame:
 
 def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_stretches: int = MAX_STRETCHES) -> DataFrame:
     """(doc_id, mark, starts): the windows of each document that occur in an earlier one."""
-    found = saved(stretches(docs, repeated_anchors(docs, span, gram), span, gram), "stretches")
+    anchors = saved(repeated_anchors(docs, span, gram), "repeated-anchors")
+    found = saved(stretches(docs, anchors, span, gram), "stretches")
     found = found.withColumn("stretch_hash", F.xxhash64("stretch"))
     references = saved(_distinct(found), "references")
     wide = saved(references.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_stretches).select("anchor"), "wide-anchors")
@@ -293,7 +326,7 @@ def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_str
         )
         found = found.join(wide, "anchor", "left_anti").unionByName(single)
         references = _distinct(found)
-    firsts = first_documents(references, span)
+    firsts = saved(first_documents(references, span), "first-documents")
     earlier = F.filter(F.transform("firsts", lambda f, k: F.when(f < F.col("doc_id"), F.col("start") + k)), lambda s: s.isNotNull())
     hits = found.select("anchor", "stretch_hash", "doc_id", "mark", "start").join(firsts, ["anchor", "stretch_hash"])
     return (
