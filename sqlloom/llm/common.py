@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import string
 import sys
 import types
@@ -33,9 +34,26 @@ def text_bytes(x) -> Column:
     return F.coalesce(col(x), F.lit("")).cast("binary")
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns as one, so that an operator's own columns can't meet a name of the caller's."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
+def from_row(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``as_row`` again, some of them replaced."""
+    return df.select(*[changed.get(c, F.col("_row").getField(c)).alias(c) for c in columns])
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into a fresh folder of the shared work folder and read it back."""
-    return written(df, run_folder(df.sparkSession, name))
+    """Write a table into a fresh folder of the shared work folder and read it back.
+
+    Spark deletes shuffle files once the driver has collected what refers to them; asking for that
+    after each written step keeps the disk at the needs of one step.
+    """
+    table = written(df, run_folder(df.sparkSession, name))
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return table
 
 
 def task_cache() -> dict:
