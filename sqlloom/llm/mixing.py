@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sqlloom.functions.text import keyed_hash
-from sqlloom.llm.common import saved, word_count
+from sqlloom.llm.common import as_row, from_row, saved, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -82,17 +82,18 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int
 def mix(docs: DataFrame, **options) -> DataFrame:
     """Rows of docs, all columns, each as often as the mix takes it.
 
-    Rows with the same doc_id are told apart by their text.
+    Rows with the same doc_id are told apart by their text and source.
     """
     mark = F.xxhash64("text", "source")
-    marked = docs.withColumn("_mark", mark)
-    # A name that docs may have itself, in either spelling, is never used for the join.
-    taken = plan(docs.select("doc_id", "source", "text", mark.alias("_mark")), keep=("_mark",), **options).where("epochs > 0")
-    if docs.columns.count("doc_id") != 1:
-        raise ValueError("docs needs one doc_id")
-    copies = taken.groupBy(F.col("doc_id").alias("_id"), F.col("_mark").alias("_m")).agg(F.sum("epochs").alias("_epochs"), F.count("*").alias("_rows"))
-    numbered = marked.join(copies, marked["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")))
-    # Equal rows share the epochs taken for them: the first of them stand in for all.
-    turn = F.row_number().over(Window.partitionBy("_id", "_m").orderBy("_m"))
-    times = F.floor(F.col("_epochs") / F.col("_rows")) + (turn <= F.col("_epochs") % F.col("_rows")).cast("bigint")
-    return numbered.withColumn("_times", times).where("_times > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
+    taken = plan(docs.select("doc_id", "source", "text", mark.alias("mark")), keep=("mark",), **options).where("epochs > 0")
+    copies = taken.groupBy("doc_id", "mark").agg(F.sum("epochs").alias("epochs"), F.count("*").alias("n"))
+    rows = docs.select(as_row(docs))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("_row.text", "_row.source") == F.col("mark"))
+    # Rows with the same id, text and source share the epochs taken for them: the first of them stand in for all.
+    turn = F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy("n"))
+    single = rows.join(copies.where("n = 1"), same).select("_row", F.col("epochs").alias("times"))
+    several = rows.join(copies.where("n > 1"), same).select(
+        "_row", (F.floor(F.col("epochs") / F.col("n")) + (turn <= F.col("epochs") % F.col("n")).cast("bigint")).alias("times")
+    )
+    times = single.union(several).where("times > 0")
+    return from_row(times.select("_row", F.explode(F.sequence(F.lit(1), "times"))), docs.columns)

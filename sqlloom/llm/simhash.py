@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sqlloom.llm.common import joined_labels, saved, text_bytes
+from sqlloom.llm.common import as_row, from_row, joined_labels, saved, text_bytes
 
 SEED = 42
 MAX_BITS = 4
@@ -223,6 +223,10 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
+def _hex(fp: str) -> Column:
+    return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
 def near_groups(
     docs: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS, shingle: int = SHINGLE, max_run: int = MAX_RUN
 ) -> DataFrame:
@@ -234,30 +238,23 @@ def near_groups(
     lowest = member.join(first, "fp").groupBy("root").agg(F.min("first_id").alias("low_id"))
     named = member.join(lowest, "root").select("fp", "low_id")
     owner = first.join(named, "fp", "left").select("fp", F.coalesce("low_id", "first_id").alias("component_id"))
-    return fps.join(owner, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps.join(owner, "fp").select("doc_id", _hex("fp").alias("fingerprint"), "component_id")
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
     """Rows of docs, all columns, one for each component: the one with the smallest doc_id.
 
-    Rows without a doc_id are kept unless their component has a row with one; repeated rows
-    with the same doc_id count once.
+    Rows without a doc_id count where no row of their component has one: one of them stays for each
+    fingerprint.  Rows with the same doc_id count once.
     """
-    if "doc_id" not in docs.columns:
-        raise ValueError("docs needs doc_id")
     groups = near_groups(docs, **options)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    lone = groups.where("component_id is null").select("fingerprint").distinct()
+    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     nameless = docs.where("doc_id is null")
     if not nameless.take(1):
         return with_id.select(docs.columns)
-    marked = _with_fingerprint(nameless, options.get("shingle", SHINGLE)).dropDuplicates(["_fp"])
-    return with_id.select(docs.columns).unionByName(marked.join(lone, F.col("_fp") == lone["fingerprint"], "left_semi").select(docs.columns))
-
-
-def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    fps = fingerprints(keyed.select(F.col("_key").alias("doc_id"), "text").distinct(), shingle).distinct()
-    named = fps.select(F.col("doc_id").alias("_key"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("_fp"))
-    return keyed.join(named, "_key")
+    lone = groups.where("component_id is null").select("fingerprint").distinct()
+    fps = fingerprints(nameless.select(F.xxhash64("text").alias("doc_id"), "text").distinct(), options.get("shingle", SHINGLE))
+    named = fps.select(F.col("doc_id").alias("mark"), _hex("fp").alias("fingerprint")).distinct().join(lone, "fingerprint", "left_semi")
+    rows = nameless.select(as_row(nameless)).join(named, F.xxhash64("_row.text") == F.col("mark")).dropDuplicates(["fingerprint"])
+    return with_id.select(docs.columns).unionByName(from_row(rows, docs.columns))
