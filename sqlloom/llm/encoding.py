@@ -2,7 +2,7 @@
 
 The library spends about ten microseconds on every word.  Both supported layouts cut a text before
 a blank or line feed that follows another character, whatever comes next, so a text is split there
-and each worker remembers the ids of the pieces it has seen, up to ``MEMO`` of them.  A new piece
+and each worker remembers the ids of the pieces it has seen, at most two generations of ``MEMO``.  A new piece
 is cut by the layout's own pattern and given to the tokenizer's model.  Texts and pieces
 outside the cases for which this is exact (other white space, runs of blanks, control
 characters, letters beyond U+024F) go through the tokenizer as they are, and so does every
@@ -20,7 +20,7 @@ import regex
 
 from sqlloom.llm.common import task_cache
 
-MEMO = 600_000
+MEMO = 500_000
 ODD = re.compile(r"[^\S \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0]")
 # The patterns of the two layouts.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -61,9 +61,12 @@ class Encoder:
                 self.layout, pattern = "word", WORD_PATTERN
         if self.layout:
             self.cut = regex.compile(pattern).findall
-            self.letters = str.maketrans({b: c for b, c in enumerate(byte_letters())})
+            letters = byte_letters()
+            self.letters, self.blank = str.maketrans(dict(enumerate(letters))), letters[32]
+        # What was seen lately, and the generation before it, out of which what is still used comes back.
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_pieces, self.old_parts = self.pieces, self.parts
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -71,10 +74,15 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         known = self.parts.get(part)
         if known is None:
-            written = part.encode().decode("latin-1").translate(self.letters)
-            known = np.array([t.id for t in self.tokenizer.model.tokenize(written)], self.dtype).tobytes()
+            known = self.old_parts.get(part)
+            if known is None:
+                if part.isascii() and part.isprintable():
+                    written = part.replace(" ", self.blank)
+                else:
+                    written = part.encode().decode("latin-1").translate(self.letters)
+                known = np.array([t.id for t in self.tokenizer.model.tokenize(written)], self.dtype).tobytes()
             if len(self.parts) >= MEMO:
-                self.parts.clear()
+                self.old_parts, self.parts = self.parts, {}
             self.parts[part] = known
         return known
 
@@ -108,19 +116,22 @@ class Encoder:
             head = self._piece(first)
         else:
             head = b""
-        known = self.pieces
-        found = [*map(known.get, pieces)]
+        found = [*map(self.pieces.get, pieces)]
         if None in found:
-            if len(known) + len(pieces) > MEMO:
-                known.clear()
+            if len(self.pieces) + len(pieces) > MEMO:
+                self.old_pieces, self.pieces = self.pieces, {}
+            known, before = self.pieces, self.old_pieces
             for n, ids in enumerate(found):
                 if ids is None:
                     p = pieces[n]
                     ids = known.get(p)
                     if ids is None:
-                        # In the byte layout a piece without a line feed had a blank before it.
-                        whole = p if self.layout == "word" or p[0] == "\n" else " " + p
-                        known[p] = ids = self._piece(whole) if p else b""
+                        ids = before.get(p)
+                        if ids is None:
+                            # In the byte layout a piece without a line feed had a blank before it.
+                            whole = p if self.layout == "word" or p[:1] == "\n" else " " + p
+                            ids = self._piece(whole) if p else b""
+                        known[p] = ids
                     found[n] = ids
         return head + b"".join(found)
 
