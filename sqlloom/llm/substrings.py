@@ -7,15 +7,18 @@ so both sides are first cut down to what can match at all, without losing a wind
 
 1. Anchors.  Each window is represented by the smallest hash among its runs of ``GRAM`` words.  Equal
    windows have equal anchors, and a document has about one anchor in five words.
-2. Anchors found in one document only are dropped.  Batches combine their own repeats first, so an
-   anchor that every document holds costs one row a batch.
-3. The stretch of windows around each anchor that is left (``2 * span - GRAM - 1`` words at most) is
-   routed by its anchor, so everything that could match meets in one shard.
-4. The distinct stretches of a shard make up its suffix automaton, each state of which knows the
+2. The windows around an anchor make up a stretch of ``2 * span - GRAM`` words at most.  It travels as
+   its hash and its place.  Anchors found in one document only are dropped, equal stretches of an
+   anchor are told by one of them, and batches combine their own first, so a passage that every
+   document holds costs one row a batch.
+3. Each different stretch is read once, from the first document that has it, and routed by its
+   anchor, so everything that could match meets in one shard.
+4. The stretches of a shard make up its suffix automaton, each state of which knows the
    smallest doc_id among its occurrences.  Streaming the stretches through it gives the matching
    statistics; where the match is ``span`` words or longer, the state that holds the last
    ``span`` words names the first document of that window.
-5. Windows whose first document is smaller than their own are removed.
+5. Every place of a stretch gets its answer by key; windows whose first document is smaller than their
+   own are removed.
 
 An anchor with more than ``MAX_STRETCHES`` different stretches (the edge of a passage that very many
 documents hold) is routed by anchor and window instead, one window a stretch.
@@ -62,32 +65,40 @@ class Anchors:
             self.power, self.inverse = (np.cumprod(x, dtype=np.uint64) for x in steps)
         return self.power[:n], self.inverse
 
-    def __call__(self, text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(words joined by blanks, their starts, their ends, anchor word of every window, hash there)."""
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of every stretch: the hash of its anchor, its own hash, its first window, its number of windows."""
         joined = b" ".join(text.split())
         data = np.frombuffer(joined, np.uint8)
         blanks = np.flatnonzero(data == 32)
         starts, ends = np.concatenate(([0], blanks + 1)), np.append(blanks, len(data))
         n = len(starts) - self.span + 1
         if n <= 0 or not joined:
-            return joined, starts, ends, np.empty(0, np.int64), np.empty(0, np.int64)
+            none = np.empty(0, np.int64)
+            return none, none, none, none
         power, inverse = self._powers(len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(data * power, out=sums[1:])
-        first = starts[: len(starts) - self.gram + 1]
-        runs = (sums[ends[self.gram - 1 :]] - sums[first]) * inverse[first]
-        runs = (runs ^ runs >> np.uint64(31)) * np.uint64(MIX)
-        runs ^= runs >> np.uint64(29)
+
+        def hashes(first, last):
+            h = (sums[ends[last]] - sums[starts[first]]) * inverse[starts[first]]
+            h = (h ^ h >> np.uint64(31)) * np.uint64(MIX)
+            return h ^ h >> np.uint64(29)
+
+        words = np.arange(len(starts) - self.gram + 1)
+        runs = hashes(words, words + self.gram - 1)
         # The smallest hash of each window, the leftmost among equals: its number stands in the low bits.
-        low = runs >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | np.arange(len(runs), dtype=np.uint64) & np.uint64((1 << PLACE_BITS) - 1)
+        mask = np.uint64((1 << PLACE_BITS) - 1)
+        low = runs & ~mask | words.astype(np.uint64) & mask
         wide, width = self.span - self.gram + 1, 1
         while width < wide:
             step = min(width, wide - width)
             low = np.minimum(low[:-step], low[step:])
             width += step
         windows = np.arange(n)
-        at = windows + ((low & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64) - windows) % (1 << PLACE_BITS)
-        return joined, starts, ends, at, runs[at].view(np.int64)
+        at = windows + ((low & mask).astype(np.int64) - windows) % (1 << PLACE_BITS)
+        first = _first_of_runs(at)
+        last = np.append(first[1:], n) - 1
+        return runs[at[first]].view(np.int64), hashes(first, last + self.span - 1).view(np.int64), first, last - first + 1
 
 
 def _first_of_runs(*columns: np.ndarray) -> np.ndarray:
@@ -99,98 +110,105 @@ def _first_of_runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def repeated_anchors(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """(doc_id, places): the anchors of each document that at least one other document has."""
+ROW = "anchor bigint, stretch_hash bigint, doc_id bigint, mark int, start int, n int"
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+NAMES = [c.split()[0] for c in ROW.split(", ")]
+# A row that speaks for its stretch, one whose anchor has been seen twice, and one that needs no more.
+ASKS, SURE, DECIDED = 0, 1, 2
+
+
+def _batch(columns, **more) -> pa.RecordBatch:
+    arrays = [pa.array(c, t) for c, t in zip(columns, KINDS)]
+    return pa.RecordBatch.from_arrays(arrays + [pa.array(x) for x in more.values()], NAMES + list(more))
+
+
+def repeated_stretches(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """Stretches whose anchor at least two documents have: (ROW, speaks), one that speaks for each different one."""
 
     def offered(batches):
-        anchors = Anchors(span, gram)
+        read = Anchors(span, gram)
         for batch in batches:
-            hashes, ids, places = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _, _, _, at, found = anchors(text)
-                first = _first_of_runs(at) if len(at) else at
-                hashes.append(found[first])
-                places.append(at[first])
-                ids.append(np.full(len(first), doc_id, np.int64))
-            h, d, p = np.concatenate(hashes), np.concatenate(ids), np.concatenate(places)
-            order = np.lexsort((p, d, h))
-            h, d, p = h[order], d[order], p[order]
-            first = _first_of_runs(h) if len(h) else np.empty(0, np.int64)
-            size = np.diff(np.append(first, len(h)))
-            known = np.repeat(d[first] != d[first + size - 1], size) if len(h) else np.empty(0, bool)
-            # One row speaks for an anchor that the batch has seen in two documents; the others are decided.
-            speaks = ~known
-            speaks[first] = True
-            spread = (d[known] * np.int64(1000003) + p[known]) * np.int64(0x9E3779B1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((h[speaks], spread))), pa.array(np.concatenate((d[speaks], d[known]))),
-                    pa.array(np.concatenate((p[speaks], p[known])).astype(np.int32)),
-                    pa.array(np.concatenate((np.zeros(speaks.sum(), bool), np.ones(known.sum(), bool)))),
-                ],
-                ["key", "doc_id", "place", "decided"],
-            )
+            parts = []
+            for doc_id, mark, text in zip(*[c.to_pylist() for c in batch.columns]):
+                h, s, first, n = read(text)
+                parts.append((h, s, np.full(len(h), doc_id), np.full(len(h), mark), first, n))
+            h, s, d, m, p, n = (np.concatenate(x) for x in zip(*parts))
+            if not len(h):
+                continue
+            order = np.lexsort((p, d, s, h))
+            h, s, d, m, p, n = (x[order] for x in (h, s, d, m, p, n))
+            run = _first_of_runs(h)
+            size = np.diff(np.append(run, len(h)))
+            twice = np.repeat(np.minimum.reduceat(d, run) != np.maximum.reduceat(d, run), size)
+            state = np.where(twice, DECIDED, ASKS).astype(np.int8)
+            speaks = _first_of_runs(h, s)
+            state[speaks[twice[speaks]]] = SURE
+            # What is decided is dealt out by its place, not by its anchor.
+            key = np.where(state == DECIDED, (d * np.int64(1000003) + p) * np.int64(0x9E3779B1), h)
+            yield _batch((h, s, d, m, p, n), key=key, state=state)
 
     def shared(batches):
-        h = d = p = np.empty(0, np.int64)
-        again = None  # the last key, if it is known to be shared
+        wait, again, said = [np.empty(0, np.int64)] * 7, None, None
         for batch in batches:
-            decided = batch.column(3).to_numpy(zero_copy_only=False)
+            columns = [c.to_numpy() for c in batch.columns[:6]]
+            state = batch.column(7).to_numpy()
+            decided = state == DECIDED
             if decided.any():
-                yield pairs(batch.column(1).to_numpy()[decided], batch.column(2).to_numpy()[decided])
-            h, d, p = (np.concatenate((x, batch.column(k).to_numpy()[~decided])) for k, x in enumerate((h, d, p)))
+                yield _batch([c[decided] for c in columns], speaks=np.zeros(decided.sum(), bool))
+            wait = [np.concatenate((x, c[~decided])) for x, c in zip(wait, [*columns, state])]
+            h, s, d, sure = wait[0], wait[1], wait[2], wait[6]
             if not len(h):
                 continue
-            first = _first_of_runs(h)
-            size = np.diff(np.append(first, len(h)))
-            repeated = d[first] != d[first + size - 1]
-            if again is not None and h[0] == again:
-                repeated[0] = True
+            run = _first_of_runs(h)
+            size = np.diff(np.append(run, len(h)))
+            repeated = (np.minimum.reduceat(d, run) != np.maximum.reduceat(d, run)) | (np.maximum.reduceat(sure, run) == SURE)
+            repeated[0] |= again is not None and h[0] == again
             rows = np.repeat(repeated, size)
             if rows.any():
-                yield pairs(d[rows], p[rows])
+                found = [c[rows] for c in wait[:6]]
+                speaks = np.zeros(len(found[0]), bool)
+                speaks[_first_of_runs(found[0], found[1])] = True
+                if said == (found[0][0], found[1][0]):
+                    speaks[0] = False
+                said = found[0][-1], found[1][-1]
+                yield _batch(found, speaks=speaks)
             again = h[-1] if repeated[-1] else None
             # A run of one document waits for the next batch; it is no longer than the document.
-            left = slice(len(h), None) if repeated[-1] else slice(first[-1], None)
-            h, d, p = h[left], d[left], p[left]
+            left = slice(len(h), None) if repeated[-1] else slice(run[-1], None)
+            wait = [c[left] for c in wait]
+
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), _mark("text"), text_bytes("text"))
+    offers = rows.mapInArrow(offered, f"{ROW}, key bigint, state tinyint")
+    return offers.repartition("key").sortWithinPartitions("key", "stretch_hash", "doc_id").mapInArrow(shared, f"{ROW}, speaks boolean")
 
-    def pairs(ids, places):
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places.astype(np.int32))], ["doc_id", "place"])
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes("text"))
-    offers = rows.mapInArrow(offered, "key bigint, doc_id bigint, place int, decided boolean")
-    found = offers.repartition("key").sortWithinPartitions("decided", "key", "doc_id").mapInArrow(shared, "doc_id bigint, place int")
-    return found.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+def _mark(text: str):
+    """Tells rows with the same doc_id apart."""
+    return F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
 
 
-def stretches(docs: DataFrame, anchors: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """(anchor, stretch, doc_id, mark, start): the windows of each repeated anchor, as one run of words."""
+def stretch_texts(docs: DataFrame, speaking: DataFrame, span: int = SPAN) -> DataFrame:
+    """(anchor, stretch_hash, stretch, first_id): the words of each stretch, from the row that speaks for it."""
+    wanted = speaking.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("anchor", "stretch_hash", "start", "n")).alias("wanted"))
 
     def task(batches):
-        read = Anchors(span, gram)
         for batch in batches:
-            for doc_id, mark, text, places in zip(*[c.to_pylist() for c in batch.columns]):
-                joined, starts, ends, at, hashes = read(text)
-                if not len(at):
-                    continue
-                first = _first_of_runs(at)
-                last = np.append(first[1:], len(at)) - 1
-                chosen = np.isin(at[first], np.array(places))
-                first, last = first[chosen], last[chosen]
-                n = len(first)
-                if n:
-                    found = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[last + span - 1].tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(hashes[first]), pa.array(found, pa.binary()), pa.array(np.full(n, doc_id)),
-                            pa.array(np.full(n, mark)), pa.array(first.astype(np.int32)),
-                        ],
-                        ["anchor", "stretch", "doc_id", "mark", "start"],
-                    )
-
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), text_bytes("text").alias("text"))
-    return rows.join(anchors, "doc_id").select("doc_id", "mark", "text", "places").mapInArrow(
-        task, "anchor bigint, stretch binary, doc_id bigint, mark bigint, start int"
+            for doc_id, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                wanted = wanted.values
+                joined = b" ".join(text.split())
+                blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+                starts, ends = np.concatenate(([0], blanks + 1)), np.append(blanks, len(joined))
+                start, n = (wanted.field(k).to_numpy() for k in ("start", "n"))
+                words = [joined[a:b] for a, b in zip(starts[start].tolist(), ends[start + n + span - 2].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [wanted.field("anchor"), wanted.field("stretch_hash"), pa.array(words, pa.binary()), pa.array(np.full(len(words), doc_id))],
+                    ["anchor", "stretch_hash", "stretch", "first_id"],
+                )
+
+    # Equal rows of docs would tell the same words twice.
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _mark("text").alias("mark"), text_bytes("text").alias("text"))
+    return rows.join(wanted, ["doc_id", "mark"]).select("doc_id", "text", "wanted").mapInArrow(
+        task, "anchor bigint, stretch_hash bigint, stretch binary, first_id bigint"
     )
 
 
@@ -299,34 +317,35 @@ def first_documents(references: DataFrame, span: int = SPAN, shard_words: int =
     return ordered.mapInArrow(task, "anchor bigint, stretch_hash bigint, firsts array<bigint>")
 
 
-def _distinct(found: DataFrame) -> DataFrame:
-    return found.groupBy("anchor", "stretch_hash").agg(F.min("doc_id").alias("first_id"), F.first("stretch").alias("stretch"))
+def _single_windows(stretch, span: int):
+    """Array of (k, window): each window of a stretch by itself."""
+    words = F.split(stretch.cast("string"), " ")
+    return F.transform(
+        F.sequence(F.lit(0), F.size(words) - span),
+        lambda k: F.struct(k.alias("k"), F.array_join(F.slice(words, k + 1, span), " ").cast("binary").alias("window")),
+    )
 
 
 def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_stretches: int = MAX_STRETCHES) -> DataFrame:
     """(doc_id, mark, starts): the windows of each document that occur in an earlier one."""
-    anchors = saved(repeated_anchors(docs, span, gram), "repeated-anchors")
-    found = saved(stretches(docs, anchors, span, gram), "stretches")
-    found = found.withColumn("stretch_hash", F.xxhash64("stretch"))
-    references = saved(_distinct(found), "references")
-    wide = saved(references.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_stretches).select("anchor"), "wide-anchors")
+    found = saved(repeated_stretches(docs, span, gram), "stretches")
+    texts = saved(stretch_texts(docs, found.where("speaks"), span), "stretch-texts")
+    counts = texts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_stretches)
+    wide = saved(counts.select("anchor"), "wide-anchors")
+    narrow = texts
     if wide.take(1):
-        words = F.split(F.col("stretch").cast("string"), " ")
-        windows = F.transform(
-            F.sequence(F.lit(0), F.size(words) - span),
-            lambda k: F.struct(k.alias("k"), F.array_join(F.slice(words, k + 1, span), " ").cast("binary").alias("window")),
-        )
-        single = (
-            found.join(wide, "anchor", "left_semi")
-            .select("anchor", "doc_id", "mark", "start", F.inline(windows))
-            .select(
-                F.xxhash64("anchor", "window").alias("anchor"), F.col("window").alias("stretch"), "doc_id", "mark",
-                (F.col("start") + F.col("k")).alias("start"), F.xxhash64("window").alias("stretch_hash"),
-            )
-        )
-        found = found.join(wide, "anchor", "left_anti").unionByName(single)
-        references = _distinct(found)
-    firsts = saved(first_documents(references, span), "first-documents")
+        narrow = texts.join(wide, "anchor", "left_anti")
+    firsts = first_documents(narrow, span)
+    if wide.take(1):
+        # The windows of a wide anchor are answered one by one and put together again.
+        single = texts.join(wide, "anchor", "left_semi").select("anchor", "stretch_hash", "first_id", F.inline(_single_windows(F.col("stretch"), span)))
+        codes = F.xxhash64("anchor", "window").alias("code"), F.xxhash64("window").alias("window_hash")
+        single = single.select("*", *codes)
+        one = single.groupBy("code", "window_hash").agg(F.min("first_id").alias("first_id"), F.first("window").alias("stretch"))
+        answers = first_documents(one.select(F.col("code").alias("anchor"), F.col("window_hash").alias("stretch_hash"), "stretch", "first_id"), span)
+        answers = answers.select(F.col("anchor").alias("code"), F.col("stretch_hash").alias("window_hash"), F.get("firsts", F.lit(0)).alias("first"))
+        again = single.join(answers, ["code", "window_hash"]).groupBy("anchor", "stretch_hash").agg(F.array_sort(F.collect_set(F.struct("k", "first"))).alias("all"))
+        firsts = firsts.unionByName(again.select("anchor", "stretch_hash", F.col("all.first").alias("firsts")))
     earlier = F.filter(F.transform("firsts", lambda f, k: F.when(f < F.col("doc_id"), F.col("start") + k)), lambda s: s.isNotNull())
     hits = found.select("anchor", "stretch_hash", "doc_id", "mark", "start").join(firsts, ["anchor", "stretch_hash"])
     return (
@@ -340,7 +359,7 @@ def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_str
 def dedup_substrings(docs: DataFrame, span: int = SPAN, **options) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): kept words joined by blanks, for every row of docs."""
     hits = saved(removed_windows(docs, span, **options), "removed-windows")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_mark"), text_bytes("text").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), _mark("text").alias("_mark"), text_bytes("text").alias("text"))
     joined = rows.join(hits, (F.col("_id") == F.col("doc_id")) & (F.col("_mark") == F.col("mark")), "left").select("_id", "text", "starts")
 
     def task(batches):

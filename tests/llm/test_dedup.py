@@ -220,5 +220,5 @@ def test_a_group_with_a_third_of_all_rows(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), texts.alias("text"), F.lit("s").alias("source"))
     assert exact.exact_dedup(docs).where("group_size = 1000").count() == 1000
     assert lines.dedup_lines(docs).where("text = ''").count() == 999
-    assert substrings.dedup_substrings(docs).where("n_removed = 17").count() == 999
+    assert substrings.dedup_substrings(docs).where("n_removed = 18").count() == 999
     assert simhash.near_groups(docs).where("component_id = 0").count() >= 1000
