@@ -99,18 +99,15 @@ def test_labels_agree_with_quality(spark):
     assert counts[1, True] >= 0.9 * (counts[1, True] + counts[1, False])
 
 
-def slow_chance(counts, context, byte):
-    """Chance of a byte after a context, by walking down the orders."""
+def slow_chances(counts, context) -> list[float]:
+    """Chance of every byte after a context, by walking down the orders."""
     if context is None:
-        return 1 / 256
-    own = counts[context]
+        return [1 / 256] * 256
+    own, shorter = counts[context], slow_chances(counts, context[1:] if context else None)
     n, u = sum(own.values()), len(own)
-    shorter = context[1:] if context else None
-    left = sum(slow_chance(counts, shorter, b) for b in range(256) if b not in own)
+    left = sum(shorter[b] for b in range(256) if b not in own)
     escape = 0.0 if left <= 0 else u / (n + u) if n else 1.0
-    if byte in own:
-        return own[byte] / n * (1 - escape)
-    return escape * slow_chance(counts, shorter, byte) / left
+    return [own[b] / n * (1 - escape) if b in own else escape * shorter[b] / left for b in range(256)]
 
 
 def test_byte_model_by_walking_the_trie():
@@ -134,7 +131,7 @@ def test_byte_model_by_walking_the_trie():
     model = ppm.ByteModel(np.array(list(short)), np.array(list(short.values()), float), long, n)
     for t in [b"abra", b"", b"brac", b"cab a", b"bbbb"]:
         data = bytes([255] * 3) + t + bytes([255])
-        expected = sum(math.log10(slow_chance(counts, data[k - 3 : k], data[k])) for k in range(3, len(data)))
+        expected = sum(math.log10(slow_chances(counts, data[k - 3 : k])[data[k]]) for k in range(3, len(data)))
         assert model.log10(t) == pytest.approx(expected, rel=1e-4)
     # Chances after a context add up to one.
     for table in (model.order2, model.order3):
