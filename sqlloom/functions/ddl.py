@@ -120,12 +120,13 @@ def _rendered_column(c: Column) -> Column:
         _quote_protected(c["NAME"])
     )
     known = F.lower(c["TYPE"]).isin(*[t.lower() for t in fv.ACCEPTED_TYPES])
-    default = F.concat(F.lit(" DEFAULT '"), F.replace(c["DEFAULT"], F.lit("'"), F.lit("")), F.lit("'"))
+    quoted = F.concat(F.lit("'"), F.replace(c["DEFAULT"], F.lit("'"), F.lit("")), F.lit("'"))
+    default = F.concat(F.lit(" DEFAULT "), F.when(c["DEFAULT_BARE"], c["DEFAULT"]).otherwise(quoted))
     return F.concat(
         name,
         F.lit(" "),
         F.when(known, c["TYPE"]).otherwise(F.lit("TEXT")),
-        F.when(c["NULLABLE"] == F.lit(False), F.lit(" NOT NULL")).otherwise(F.lit("")),
+        F.when(c["NULLABLE"], F.lit("")).otherwise(F.lit(" NOT NULL")),
         F.when(c["UNIQUE"], F.lit(" UNIQUE")).otherwise(F.lit("")),
         F.when(F.coalesce(c["DEFAULT"], F.lit("")) != "", default).otherwise(F.lit("")),
     )
@@ -198,7 +199,48 @@ def has_if_not_exists(statement) -> Column:
 
 
 def unquote(name) -> Column:
-    return F.regexp_replace(name, r"\A[\"`\[]|[\"`\]]\z", "")
+    """A name without its quotes; doubled quotes inside become single ones."""
+    inner = F.regexp_replace(name, r"\A[\"`\['](.*)[\"`\]']\z", "$1")
+    for q in "\"`'":
+        inner = F.when(F.startswith(name, F.lit(q)), F.replace(inner, F.lit(q * 2), F.lit(q))).otherwise(inner)
+    return inner
+
+
+_QUOTED = r"\"[^\"]*+(?:\"\"[^\"]*+)*+\"|`[^`]*+(?:``[^`]*+)*+`|\[[^\]]*+\]|'[^']*+(?:''[^']*+)*+'"
+_TABLE_HEAD = (
+    rf"(?isU)\A\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?(?:(?:{_QUOTED}|[\w$]+)\s*\.\s*)?({_QUOTED}|[\w$]+)\s*\("
+)
+
+
+def without_comments(ddl) -> Column:
+    """Comments become blanks; quoted text stays, whatever it holds."""
+    kept = rf"((?:[^'\"`\[/-]++|{_QUOTED}|['\"`\[]|-(?!-)|/(?!\*))++)"
+    parts = F.regexp_extract_all(F.coalesce(col(ddl), F.lit("")), F.lit(rf"(?s){kept}|--[^\n]*+|/\*.*?(?:\*/|\z)"), F.lit(1))
+    return F.array_join(parts, " ")
+
+
+def create_tables(ddl) -> Column:
+    """Array of (name, body) of the tables that a schema text creates, each name's first definition only.
+
+    Statements are cut at semicolons outside quotes and comments.  A name loses its quotes and its
+    database; temporary tables and tables made from a SELECT are left out; what follows the
+    last bracket of a statement is no part of the body.
+    """
+    cut = rf"(?s)((?:[^;'\"`\[]++|{_QUOTED}|['\"`\[])*+)(?:;|\z)"
+    statements = F.regexp_extract_all(without_comments(ddl), F.lit(cut), F.lit(1))
+    heads = F.filter(statements, lambda s: F.regexp_like(s, F.lit(_TABLE_HEAD)))
+    tables = F.transform(
+        heads,
+        lambda s: F.struct(
+            unquote(F.regexp_extract(s, _TABLE_HEAD, 1)).alias("name"),
+            F.regexp_extract(F.regexp_replace(s, _TABLE_HEAD, ""), r"(?s)\A(.*)\)", 1).alias("body"),
+        ),
+    )
+    return F.filter(tables, lambda t: ~F.startswith(F.lower(t["name"]), F.lit("sqlite_")))
+
+
+def table_names(ddl) -> Column:
+    return F.transform(create_tables(ddl), lambda t: t["name"])
 
 
 def statement_body(statement) -> Column:
@@ -207,14 +249,14 @@ def statement_body(statement) -> Column:
 
 
 def definition_name(definition) -> Column:
-    return unquote(F.regexp_extract(definition, r"(?sU)\A(\"[^\"]+\"|`[^`]+`|\[[^\]]+\]|\S+)", 1))
+    return unquote(F.regexp_extract(definition, rf"(?sU)\A({_QUOTED}|[^\s(]+)", 1))
 
 
 def definition_type(definition) -> Column:
     """Declared type of a column definition: the words before its first constraint."""
     stop = "CONSTRAINT|PRIMARY|NOT|NULL|UNIQUE|CHECK|DEFAULT|COLLATE|REFERENCES|GENERATED|AS"
     pattern = (
-        r"(?isU)\A(?:\"[^\"]+\"|`[^`]+`|\[[^\]]+\]|\S+)\s*"
+        rf"(?isU)\A(?:{_QUOTED}|[^\s(]+)\s*"
         rf"((?:(?!(?:{stop})\b)\w+\s*)*+(?:\([^)]*\))?)"
     )
     return strip(F.regexp_extract(definition, pattern, 1))

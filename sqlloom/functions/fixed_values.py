@@ -106,6 +106,9 @@ QUESTION_SOURCE = "semi-synthetic"
 PARAPHRASE_TYPE = "question_paraphrase"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# Comment in front of a quarantined text.
+QUARANTINE_HEAD = "-- Execution failed: "
+
 # Drop reasons of enrichment.
 REASON_NO_SQL = "Error generating SQL"
 REASON_ONLY_COMMENTS = "Only comments present"

@@ -6,6 +6,7 @@ ours and callers may pass their own template.
 
 from __future__ import annotations
 
+import hashlib
 from string import Formatter
 
 from pyspark.sql import Column
@@ -50,7 +51,7 @@ Schema:
 """
 REPAIR = """You design SQLite databases. Reply with SQLite DDL only.
 
-Your last statements failed in SQLite: {error}
+These statements did not work: {error}
 Write the {n_new} new tables again, as valid SQLite DDL in one ```sqlite``` block.
 Leave existing tables alone.
 
@@ -99,6 +100,12 @@ PARAPHRASE_RETRY = """{prompt}
 Reply with a single ```plaintext``` block holding only the new wordings, one per line."""
 
 
+def templates_digest() -> str:
+    """Changes whenever the wording of a prompt does."""
+    texts = {n: v for n, v in globals().items() if n.isupper() and isinstance(v, str)}
+    return hashlib.sha256(repr(sorted(texts.items())).encode()).hexdigest()
+
+
 def render(template: str, **slots) -> Column:
     """The template with its slots filled by columns (by name or expression) or plain values."""
     parts = []

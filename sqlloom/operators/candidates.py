@@ -65,22 +65,17 @@ def voted(items: DataFrame, candidates: DataFrame, verdicts: DataFrame) -> DataF
     candidate with that form), else without closing semicolons and blanks (the first
     such candidate), else the first candidate wins; items without any get the fallback.
 
-    Both matches are joins on item and text, and the winner is picked by an aggregate
-    that combines before the shuffle, so an item with very many candidates is no burden.
+    The verdict joins its item's candidates once, both forms are compared in the row, and the
+    winner is an aggregate on the same key: one shuffle, and an item with very many
+    candidates combines before it is split.
     """
     choice = with_sql(verdicts.select("item_id", "raw"), "raw", "_choice")
-    choice = computed(choice.drop("raw"), _choice=F.col("_choice")).where("_choice is not null")
-    exact = choice.select("item_id", normalize_sql("_choice").alias("norm"), F.lit(True).alias("_exact"))
-    loose = choice.select("item_id", loose_form("_choice").alias("_loose"), F.lit(True).alias("_is_loose"))
-    matched = (
-        candidates.withColumn("_loose", loose_form("sql"))
-        .join(exact, ["item_id", "norm"], "left")
-        .join(loose, ["item_id", "_loose"], "left")
-    )
+    choice = computed(choice.drop("raw"), _norm=normalize_sql("_choice"), _loose=loose_form("_choice")).select("item_id", "_norm", "_loose")
+    matched = candidates.select("item_id", "round_no", "sql", "norm").join(choice, "item_id", "left")
     winners = matched.groupBy("item_id").agg(
         F.coalesce(
-            F.max_by("sql", F.when(F.col("_exact"), F.col("round_no"))),
-            F.min_by("sql", F.when(F.col("_is_loose"), F.col("round_no"))),
+            F.max_by("sql", F.when(F.col("norm") == F.col("_norm"), F.col("round_no"))),
+            F.min_by("sql", F.when(loose_form("sql") == F.col("_loose"), F.col("round_no"))),
             F.min_by("sql", "round_no"),
         ).alias("_won")
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions import ddl as D
+from sqlloom.functions.text import computed
 
-COLUMN = "struct<NAME:string,TYPE:string,NULLABLE:boolean,UNIQUE:boolean,DEFAULT:string>"
+# DEFAULT_BARE tells that the default is a whole number or a truth value, which is rendered without quotes.
+COLUMN = "struct<NAME:string,TYPE:string,NULLABLE:boolean,UNIQUE:boolean,DEFAULT:string,DEFAULT_BARE:boolean>"
 FOREIGN_KEY = (
     "struct<COLUMNS:array<string>,FOREIGN_TABLE:string,REFERRED_COLUMNS:array<string>,"
     "ON_DELETE:string,ON_UPDATE:string>"
@@ -18,6 +20,23 @@ TABLE = (
 )
 # Fixed schema of nested schema records; never inferred.
 RECORD = f"TABLES array<{TABLE}>"
+# In JSON a default may be of any kind.
+JSON_RECORD = RECORD.replace("DEFAULT:string,DEFAULT_BARE:boolean", "DEFAULT:variant")
+
+
+def typed_defaults(tables) -> Column:
+    """Tables parsed by ``JSON_RECORD`` in the form of ``RECORD``."""
+
+    def column(c):
+        kind = F.schema_of_variant(c["DEFAULT"])
+        bare = (kind == "BIGINT") | (kind == "BOOLEAN")
+        text = F.try_variant_get(c["DEFAULT"], "$", "string")
+        return F.struct(
+            c["NAME"].alias("NAME"), c["TYPE"].alias("TYPE"), c["NULLABLE"].alias("NULLABLE"), c["UNIQUE"].alias("UNIQUE"),
+            F.when(kind != "VOID", text).alias("DEFAULT"), F.coalesce(bare, F.lit(False)).alias("DEFAULT_BARE"),
+        )
+
+    return F.transform(tables, lambda t: t.withField("COLUMNS", F.transform(t["COLUMNS"], column)))
 
 # Spark types of declared column types, for users who build real tables.
 SPARK_TYPES = {
@@ -69,10 +88,11 @@ def nested_tables(columns: DataFrame, keys: list[str]) -> DataFrame:
 
     One group is the columns of one table.
     """
+    bare = F.col("default_bare") if "default_bare" in columns.columns else F.lit(False)
     one = F.struct(
         "col_idx", F.col("col_name").alias("NAME"), F.col("col_type").alias("TYPE"),
         F.col("nullable").alias("NULLABLE"), F.col("is_unique").alias("UNIQUE"),
-        F.col("default_val").alias("DEFAULT"),
+        F.col("default_val").alias("DEFAULT"), bare.alias("DEFAULT_BARE"),
     )
     ordered = F.transform(F.array_sort(F.collect_list(one)), lambda c: c.dropFields("col_idx"))
     table = F.struct(
@@ -92,14 +112,18 @@ def assembled(statements: DataFrame, key: str, order: str, text: str, name: str
 
 
 def catalog_from_ddl(schemas: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, table_name, col_idx, col_name, col_type) from CREATE TABLE statements.
+    """(key, table_name, col_idx, col_name, col_type) from the tables that a schema text creates.
 
-    Row-local: statements, then their column definitions, are exploded in place.
-    SQLite's own sequence table never appears.
+    Row-local: tables, then their column definitions, are exploded in place.  Of several
+    definitions of a name, compared without case, the first counts.
     """
+    named = computed(schemas.select(key, text), _t=D.create_tables(text))
+    names = F.transform("_t", lambda t: F.lower(t["name"]))
+    firsts = F.filter("_t", lambda t, i: F.array_position(F.col("_names"), F.lower(t["name"])) == i + 1)
     return (
-        schemas.select(key, F.explode(F.regexp_extract_all(F.col(text), F.lit(_WHOLE_TABLE), F.lit(1))).alias("_s"))
-        .select(key, D.statement_name("_s").alias("table_name"), D.column_definitions(D.statement_body("_s")).alias("_d"))
+        computed(named, _names=names)
+        .select(key, F.explode(firsts).alias("_t"))
+        .select(key, F.col("_t.name").alias("table_name"), D.column_definitions(F.col("_t.body")).alias("_d"))
         .select(key, "table_name", F.posexplode("_d").alias("col_idx", "_d"))
         .select(
             key, "table_name", "col_idx",
@@ -108,12 +132,6 @@ def catalog_from_ddl(schemas: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-_WHOLE_TABLE = (
-    r"(?isU)(CREATE\s+(?:TEMP\s+|TEMPORARY\s+)?TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?"
-    r"(?:\"[^\"]+\"|`[^`]+`|\[[^\]]+\]|[\w.]+)\s*\(.*?\)\s*;)"
-)
-
-
 def compressed_schemas(catalog: DataFrame, key: str, max_columns: int = 8, name: str = "compressed") -> DataFrame:
     """(key, text): a line ``table(col:type, ...)`` per table, by table name.
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions import fixed_values as fv
-from sqlloom.functions.ddl import has_if_not_exists, statement_name
+from sqlloom.functions.ddl import has_if_not_exists, statement_name, table_names
+from sqlloom.functions.responses import index_statements, table_statements
 from sqlloom.functions.text import col, computed, flatten, is_blank, non_empty, strip
 from sqlloom.operators.ranking import first_per_key
 
@@ -99,6 +100,40 @@ def without_name_conflicts(new: DataFrame, existing: DataFrame) -> DataFrame:
     return kept.select(*new.columns)
 
 
+def additions_without_conflicts(states: DataFrame, old: str, new: str) -> DataFrame:
+    """Add (kept, n_new): the CREATE statements of ``new`` that fit on top of the schema text ``old``.
+
+    The rule of :func:`without_name_conflicts` for one row, without a shuffle: a table must be new to
+    the schema unless it says IF NOT EXISTS.  Tables come first, then indexes whose name
+    is new among the indexes.  ``n_new`` counts tables that the schema didn't have.
+    """
+    nothing = F.array().cast("array<string>")
+
+    def fold(statements: str, taken: Column) -> Column:
+        start = F.struct(taken.alias("names"), nothing.alias("kept"), F.lit(0).alias("n_new"))
+
+        def step(state, s):
+            name = F.lower(statement_name(s))
+            fresh = ~F.array_contains(state["names"], name) & (name != "")
+            keep = fresh | has_if_not_exists(s)
+            return F.struct(
+                F.when(fresh, F.array_append(state["names"], name)).otherwise(state["names"]).alias("names"),
+                F.when(keep, F.array_append(state["kept"], s)).otherwise(state["kept"]).alias("kept"),
+                (state["n_new"] + fresh.cast("int")).alias("n_new"),
+            )
+
+        return F.aggregate(statements, start, step)
+
+    split = computed(
+        states, _have=F.transform(table_names(old), F.lower), _had=F.transform(index_statements(old), lambda s: F.lower(statement_name(s))),
+        _tables=table_statements(new), _indexes=index_statements(new),
+    )
+    done = computed(split, _table=fold("_tables", F.col("_have")), _index=fold("_indexes", F.col("_had")))
+    return done.select(
+        *states.columns, F.array_join(F.concat("_table.kept", "_index.kept"), "\n\n").alias("kept"), F.col("_table.n_new").alias("n_new")
+    )
+
+
 def first_questions(questions: DataFrame, order: str = "row_idx") -> DataFrame:
     """The first row of every (schema_file, question)."""
     return first_per_key(questions, ["schema_file", "question"], order)

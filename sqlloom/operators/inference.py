@@ -8,14 +8,19 @@ first counts).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Tasks per core for model calls: enough to even out, and to lose little when one fails.
+from sqlloom.session import committed_folders
+
+# Tasks per core for model calls, enough to even out; and prompts per task, so that a lost task loses little.
 TASKS_PER_CORE = 2
+PROMPTS_PER_TASK = 2_000
 
 Model = Callable[[list[str], dict], Sequence]
 
@@ -73,3 +78,38 @@ def _one_text(answer) -> str:
     if isinstance(answer, (list, tuple)):
         return answer[0] if answer else ""
     return "" if answer is None else answer
+
+
+PROMPT_HASH = "prompt_hash"
+
+
+def stored_answers(spark: SparkSession, folder: str) -> DataFrame | None:
+    """All answers that were committed to ``folder``, or None."""
+    folders = committed_folders(spark, folder)
+    return spark.read.parquet(*folders) if folders else None
+
+
+def answered(
+    asked: DataFrame, make_model: Callable[[], Model], keys: Sequence[str], folder: str, batch_size: int = 32,
+    options: dict | None = None, partitions: int | None = None, slices: int = 1,
+) -> DataFrame:
+    """The rows of ``asked`` without ``prompt``, with (prompt_hash, response, error).
+
+    Answers are committed to ``folder`` in hash slices, one after the other, and found again by
+    ``keys`` and the hash of the prompt.  A run that gets the folder of a broken one asks for
+    what is missing only, whether the input has grown, a prompt has changed or some slices were lost.
+    Give a written table: it is read once for each slice.
+    """
+    spark, same = asked.sparkSession, [*keys, PROMPT_HASH]
+    marked = asked.withColumn(PROMPT_HASH, F.sha2("prompt", 256))
+    before = stored_answers(spark, folder)
+    pending = marked if before is None else marked.join(before.select(same), same, "left_anti")
+    for number in range(slices):
+        part = pending if slices == 1 else pending.where(F.pmod(F.xxhash64(*keys), F.lit(slices)) == number)
+        tasks = partitions or max(
+            TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-part.count() // PROMPTS_PER_TASK)
+        )
+        spread = part.repartition(tasks, *keys)
+        infer(spread, make_model, batch_size=batch_size, options=options).write.parquet(f"{folder}/batch-{uuid.uuid4().hex}")
+    everything = stored_answers(spark, folder)
+    return everything if before is None else everything.join(marked.select(same), same, "left_semi")

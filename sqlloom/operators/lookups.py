@@ -47,22 +47,23 @@ def best_tables(questions: DataFrame, catalog: DataFrame) -> DataFrame:
     name plus those found inside each column name, names in lower case.  Ties go to the
     greater name; without any hit it is the first name of the scope.
 
-    Names are short: all their substrings are listed, scored per table and joined to the
-    tokens by equality, so only real hits are produced.
+    Names are cut at the lengths that the scope's tokens have, and the cuts are joined to
+    the tokens by equality, so only real hits are produced.
     """
     key = questions.columns[0]
     tokens = questions.select(key, "scope", F.explode(F.array_distinct("tokens")).alias("token")).where("token <> ''")
     tables = catalog.select("scope", "table_name", F.lower("table_name").alias("_name")).distinct()
     columns = catalog.where("col_name is not null").select("scope", "table_name", F.lower("col_name").alias("_name"))
     size = F.length("_name")
+    # Only substrings that some question of the scope asks for; longer tokens than a name can't be in it.
+    asked = tokens.select("scope", "token").distinct()
+    lengths = asked.select("scope", F.length("token").alias("n")).distinct().groupBy("scope").agg(F.collect_set("n").alias("_lengths"))
     substrings = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), size),
-        lambda at: F.transform(F.sequence(F.lit(1), size - at + 1), lambda n: F.substring("_name", at, n)),
+        F.filter("_lengths", lambda n: n <= size),
+        lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substring("_name", at, n)),
     )))
-    # Only substrings that some question of the scope asks for.
-    asked = tokens.select("scope", "token").distinct()
     scores = (
-        tables.unionByName(columns).where(size > 0)
+        tables.unionByName(columns).where(size > 0).join(lengths, "scope")
         .select("scope", "table_name", F.explode(substrings).alias("token"))
         .join(asked, ["scope", "token"], "left_semi")
         .groupBy("scope", "token", "table_name").agg(F.count(F.lit(1)).alias("hits"))

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sqlloom.functions.text import computed, keyed_hash
-
-# Cut points held on the driver to spread a global order: bounded whatever the data size.
-SAMPLE_KEYS = 4096
-CUTS = 1024
+from sqlloom.session import run_folder, written
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -48,44 +45,21 @@ def keyed_rank(
     )
 
 
-def _cut_number(key: Column, cuts: list) -> Column:
-    """How many of the sorted cuts are at or below the key, by binary search."""
-    if not cuts:
-        return F.lit(0)
-    table = F.array(*[F.lit(c) for c in cuts])
-    steps, size = [], 1
-    while size <= len(cuts):
-        steps.insert(0, size)
-        size *= 2
-
-    def step(found, width):
-        reached = found + width
-        return F.when((reached <= len(cuts)) & (F.get(table, reached - 1) <= key), reached).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
-
-
 def with_position(df: DataFrame, order: str, name: str = "position") -> DataFrame:
     """0-based position of every row in the order of a unique column.
 
-    A bounded hash sample of the keys gives at most CUTS cut points.  Rows are counted
-    per range between cuts, ranked inside their range and shifted by the ranges before.
-    The cuts only decide how the work is spread; positions are exact whatever they are.
+    Rows are dealt by ranges and sorted in them; a row's id counts rows inside its
+    partition, and the sizes of the partitions before it are added.  The number of
+    partitions follows the data, and only one row for each of them is summed up.
     """
-    keys = df.select(order)
-    sample = [r[0] for r in keys.orderBy(F.xxhash64(order), order).limit(SAMPLE_KEYS).collect() if r[0] is not None]
-    sample = sorted(sample, key=lambda v: v.encode() if isinstance(v, str) else v)
-    cuts = sorted(set(sample[:: max(1, len(sample) // CUTS)]), key=lambda v: v.encode() if isinstance(v, str) else v)
-    spread = df.withColumn("_range", _cut_number(F.col(order), cuts))
-    sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy("_range").orderBy(order)
-    return (
-        spread.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(shifts), "_range")  # one row per cut
-        .select(*df.columns, (F.col("_row") - 1 + F.col("_shift")).cast("bigint").alias(name))
-    )
+    ranged = df.repartitionByRange(order).sortWithinPartitions(order)
+    numbered = ranged.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    stored = written(numbered, f"{run_folder(df.sparkSession, 'positions')}/rows")
+    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return stored.join(shifts, "_part").select(*df.columns, (inside + F.col("_shift")).cast("bigint").alias(name))
 
 
 def slice_rows(df: DataFrame, order: str, start: int = 0, end: int = -1) -> DataFrame:

@@ -109,59 +109,35 @@ def draw_weighted(df: DataFrame, bounds: DataFrame, value: str, seed, *keys: str
     return drawn.join(F.broadcast(listed), "_cell").where(hit).drop("_u", "_cell", "low", "high")
 
 
-def _reached(placed: DataFrame, edges: DataFrame, digits: int) -> DataFrame:
-    """Narrow down where targets are reached: (num_tables, target, rows, edge, before).
-
-    ``edges`` is (num_tables, target, edge, before): the hash prefix in which a target is
-    reached and the rows before that.  Rows with the prefix are counted by a longer one.
-    """
-    bounds = edges.select("num_tables", F.col("target"), F.col("edge").alias("_edge"), F.col("before").alias("_start"))
-    sizes = (
-        placed.join(F.broadcast(bounds), "num_tables")  # one row per table count wanted
-        .where(F.startswith("_hash", "_edge"))
-        .groupBy("num_tables", "target", "_start", F.substring("_hash", 1, digits).alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    earlier = Window.partitionBy("num_tables").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = sizes.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    here = (F.col("_before") < F.col("target")) & (F.col("_before") + F.col("_n") >= F.col("target"))
-    return ranges.groupBy("num_tables", "target").agg(
-        F.sum("_n").alias("rows"), F.min(F.when(here, F.col("_part"))).alias("edge"),
-        F.min(F.when(here, F.col("_before"))).alias("before"),
-    )
-
-
 def quota_sample(df: DataFrame, key: str, targets: DataFrame, seed) -> DataFrame:
     """Mark which rows to keep: (columns, action) with KEEP, SKIP or OVER_MAX.
 
     In each table count, the rows with the smallest seeded hashes are kept up to the
     target.  Table counts without a target are above the largest one wanted.
 
-    Rows are counted by table count and first hash digit, then, where a target is
-    reached, by two more digits: few groups, so counts combine before the shuffle.
-    Only rows of the one range in which a target is reached are ranked; all others are
-    decided where they are, however large a bucket is.  The rows are read four times:
-    give a stored table when the counts are costly.
+    Rows are counted once by table count and three hash digits, at most 4,096 rows a count.  Where a
+    target is reached inside a range, the rows of that range alone are ranked to find the last hash
+    kept; then every row is decided where it is, however large a bucket is.  Give a stored
+    table when the counts are costly.
     """
-    placed = computed(df, _hash=keyed_hash(seed, key))
-    start = targets.select("num_tables", "target", F.lit("").alias("edge"), F.lit(0).cast("bigint").alias("before"))
-    coarse = _reached(placed, start, 1)
-    fine = _reached(placed, coarse.where("edge is not null"), 3).select("num_tables", "edge", "before")
-    limits = coarse.select("num_tables", "target", "rows").join(fine, "num_tables", "left")
-    part = F.substring("_hash", 1, 3)
-    action = (
-        F.when(F.col("target").isNull(), "OVER_MAX")
-        .when(F.col("rows") <= F.col("target"), "KEEP")
-        .when(F.col("edge").isNull() | (part > F.col("edge")), "SKIP")
-        .when(part < F.col("edge"), "KEEP")
-    )
-    decided = placed.join(F.broadcast(limits), "num_tables", "left").withColumn("action", action)
-    in_edge = Window.partitionBy("num_tables").orderBy("_hash", key)
-    ranked = decided.where("action is null").withColumn(
-        "action", F.when(F.row_number().over(in_edge) <= F.col("target") - F.col("before"), "KEEP").otherwise("SKIP")
-    )
-    columns = [*df.columns, "action"]
-    return decided.where("action is not null").select(*columns).unionByName(ranked.select(*columns))
+    placed = computed(df, _hash=keyed_hash(seed, key)).withColumn("_part", F.substring("_hash", 1, 3))
+    cells = placed.groupBy("num_tables", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    by_count = Window.partitionBy("num_tables").orderBy("_part")
+    earlier = F.coalesce(F.sum("_n").over(by_count.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = cells.withColumn("_before", earlier).join(F.broadcast(targets.select("num_tables", "target")), "num_tables")
+    here = (F.col("_before") < F.col("target")) & (F.col("_before") + F.col("_n") > F.col("target"))
+    edges = ranges.where(here).select("num_tables", "_part", (F.col("target") - F.col("_before")).alias("_take"))
+    # One row at most for each table count wanted.
+    in_edge = placed.join(F.broadcast(edges), ["num_tables", "_part"])
+    place = F.row_number().over(Window.partitionBy("num_tables").orderBy("_hash", key))
+    last = in_edge.withColumn("_place", place).where("_place = _take").select("num_tables", F.struct("_hash", key).alias("_last"))
+    # Without such a row the target ends at a range, or isn't reached.
+    whole = ranges.where(F.col("_before") + F.col("_n") <= F.col("target")).groupBy("num_tables").agg(F.max("_part").alias("_full"))
+    limits = targets.select("num_tables", "target").join(whole, "num_tables", "left").join(last, "num_tables", "left")
+    kept = (F.col("_part") <= F.col("_full")) | (F.struct("_hash", key) <= F.col("_last"))
+    action = F.when(F.col("target").isNull(), "OVER_MAX").when(F.coalesce(kept, F.lit(False)), "KEEP").otherwise("SKIP")
+    decided = placed.join(F.broadcast(limits), "num_tables", "left")
+    return decided.withColumn("action", action).select(*df.columns, "action")
 
 
 def draw_positions(n, k: int, seed, *keys) -> Column:

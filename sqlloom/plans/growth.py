@@ -10,13 +10,13 @@ from sqlloom.functions import prompts
 from sqlloom.functions.responses import create_table_span, ddl_from_response
 from sqlloom.functions.text import computed, rstrip, strip
 from sqlloom.operators import sampling
-from sqlloom.operators.inference import infer
-from sqlloom.operators.sqlite_gate import with_additions
+from sqlloom.operators.gates import additions_without_conflicts
+from sqlloom.operators.inference import answered
 from sqlloom.plans.schemas import GROWTH_RAMP
-from sqlloom.session import run_folder, written
+from sqlloom.session import opened_run, run_folder, written
 
 NO_SQL = "the response holds no SQL"
-NO_GAIN = "no new table or index could be added"
+NO_GAIN = "no new table could be added"
 
 
 def start_states(schemas: DataFrame, mode: int, max_tables: int, seed) -> DataFrame:
@@ -36,30 +36,32 @@ def start_states(schemas: DataFrame, mode: int, max_tables: int, seed) -> DataFr
 
 
 def prompts_for(states: DataFrame, seed, round_no: int) -> DataFrame:
-    """(schema_file, prompt) of the open states: an extension, or a repair after a failure."""
+    """The open states with their prompt: an extension, or a repair after a failure."""
     n_new = sampling.growth_step("num_tables", "target", seed, "schema_file", F.lit(round_no))
-    return states.where("status = 'open'").select(
-        "schema_file",
+    return states.where("status = 'open'").withColumn(
+        "prompt",
         F.when(F.col("attempt") == 1, prompts.growth_prompt("schema_sql", n_new))
-        .otherwise(prompts.repair_prompt("schema_sql", n_new, "last_error")).alias("prompt"),
+        .otherwise(prompts.repair_prompt("schema_sql", n_new, "last_error")),
     )
 
 
-def next_states(states: DataFrame, answers: DataFrame, retries: int) -> DataFrame:
-    """States after one round; a round that adds nothing counts as a failed attempt."""
-    read = computed(answers.select("schema_file", "response", "error"), ddl=ddl_from_response("response"))
-    old = states.where("status = 'open'").join(read.select("schema_file", "ddl", "error"), "schema_file")
-    old = old.withColumns({"base": rstrip("schema_sql"), "ddl": F.coalesce("ddl", F.lit(""))})
-    merged = with_additions(old, "base", "ddl")
-    gained = F.coalesce(F.col("n_kept") > 0, F.lit(False))
+def next_states(answers: DataFrame, retries: int, gate=additions_without_conflicts) -> DataFrame:
+    """States after one round, from states with a response; a round without a new table is a failed attempt.
+
+    So a schema either gains a table or uses up an attempt in every round, and the rounds end by themselves.
+    """
+    read = computed(answers, ddl=F.coalesce(ddl_from_response("response"), F.lit("")), base=rstrip("schema_sql"))
+    merged = gate(read, "base", "ddl")
+    gained = F.coalesce(F.col("n_new") > 0, F.lit(False))
     text = F.when(gained, F.concat("base", F.lit("\n\n"), strip("kept"), F.lit("\n"))).otherwise(F.col("schema_sql"))
-    failure = F.coalesce(
-        "error", "old_error", F.when(F.col("ddl") == "", NO_SQL), F.lit(NO_GAIN)
-    )
+    refused = [F.col("old_error")] if "old_error" in merged.columns else []
+    failure = F.coalesce("error", *refused, F.when(F.col("ddl") == "", NO_SQL), F.lit(NO_GAIN))
     merged = computed(merged, _gained=gained, _text=text, _tables=D.table_count(text))
-    gained, tables = F.col("_gained"), F.col("_tables")
+    gained = F.col("_gained") & (F.col("_tables") > F.col("num_tables"))
+    tables = F.when(gained, F.col("_tables")).otherwise(F.col("num_tables"))
     return merged.select(
-        "schema_file", F.col("_text").alias("schema_sql"), tables.alias("num_tables"), "target",
+        "schema_file", F.when(gained, F.col("_text")).otherwise(F.col("schema_sql")).alias("schema_sql"),
+        tables.alias("num_tables"), "target",
         F.when(gained, 1).otherwise(F.col("attempt") + 1).alias("attempt"),
         F.when(~gained, failure).alias("last_error"),
         F.when(gained, F.lit("")).otherwise(F.coalesce(create_table_span("ddl"), "ddl")).alias("rejected"),
@@ -72,42 +74,36 @@ def next_states(states: DataFrame, answers: DataFrame, retries: int) -> DataFram
 
 def grow_schemas(
     schemas: DataFrame, make_model, mode: int = 100, max_tables: int = 350, retries: int = 3,
-    max_rounds: int = 40, batch_size: int = 64, seed=42, options: dict | None = None, partitions: int | None = None,
-    folder: str | None = None,
+    batch_size: int = 64, seed=42, options: dict | None = None, partitions: int | None = None,
+    folder: str | None = None, slices: int = 1, gate=additions_without_conflicts,
 ) -> DataFrame:
     """All versions of every schema: (round_no, schema_file, schema_sql, num_tables, target, status, last_error, rejected).
 
-    Every round writes its answers and its new states to ``folder`` (a new one below the
-    shared work folder by default), so a lost task never calls the model again for what
-    is finished and no lineage builds up; given the folder of a broken run, the job goes
-    on where that stopped.  A round works on the schemas that are still open only.
+    A round works on the schemas that are still open only, and its answers carry the state they
+    were asked for, so a text is shuffled once a round.  Answers are committed to ``folder``; given
+    the folder of a broken run, the job asks for what is missing there.  ``gate`` adds
+    (kept, n_new), and old_error if it wants to, to states with a base text and new statements.
     """
     spark = schemas.sparkSession
-    folder = folder or run_folder(spark, "growth")
-    start = start_states(schemas, mode, max_tables, seed).withColumn("round_no", F.lit(0))
-    states = written(start, f"{folder}/state/0")
-    rounds = [f"{folder}/state/0"]
-    for n in range(1, max_rounds + 1):
-        if states.where("status = 'open'").isEmpty():
-            break
-        asked = prompts_for(states, seed, n)
-        answers = written(
-            infer(asked, make_model, batch_size=batch_size, options=options, partitions=partitions, key="schema_file"),
-            f"{folder}/answer/{n}",
+    parameters = {"job": "growth", "mode": mode, "max_tables": max_tables, "seed": seed, "options": options or {}, "templates": prompts.templates_digest()}
+    folder, steps = opened_run(spark, "growth", folder, parameters), run_folder(spark, "growth-states")
+    states = written(start_states(schemas, mode, max_tables, seed).withColumn("round_no", F.lit(0)), f"{steps}/0")
+    rounds = [f"{steps}/0"]
+    while not states.where("status = 'open'").isEmpty():
+        n = len(rounds)
+        answers = answered(
+            prompts_for(states, seed, n).drop("round_no"), make_model, ["schema_file"], f"{folder}/answers", batch_size, options, partitions, slices
         )
-        states = written(next_states(states, answers, retries).withColumn("round_no", F.lit(n)), f"{folder}/state/{n}")
-        rounds.append(f"{folder}/state/{n}")
+        states = written(next_states(answers, retries, gate).withColumn("round_no", F.lit(n)), f"{steps}/{n}")
+        rounds.append(f"{steps}/{n}")
     return spark.read.schema(states.schema).parquet(*rounds).select(
         "round_no", "schema_file", "schema_sql", "num_tables", "target", "attempt", "status", "last_error", "rejected"
     )
 
 
 def final_schemas(versions: DataFrame) -> DataFrame:
-    """The last version of every schema, the unfinished ones marked ``failed`` when rounds ran out."""
-    last = versions.groupBy("schema_file").agg(F.max("round_no").alias("round_no"))
-    return versions.join(last, ["schema_file", "round_no"], "left_semi").withColumn(
-        "status", F.when(F.col("status") == "open", "failed").otherwise(F.col("status"))
-    )
+    """The last version of every schema: the one that is done or failed, so no texts are compared."""
+    return versions.where("status <> 'open'")
 
 
 def quarantined_schemas(versions: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from sqlloom.functions import fixed_values as fv
 from sqlloom.functions import prompts
 from sqlloom.functions.responses import paraphrase_lines, with_new_wordings, without_self_reference
 from sqlloom.functions.text import computed, token_count
-from sqlloom.operators.inference import infer
-from sqlloom.session import run_folder, written
+from sqlloom.operators.inference import answered
+from sqlloom.session import opened_run, run_folder, written
 
 
 def paraphrase_prompts(records: DataFrame, count: int, key: str) -> DataFrame:
@@ -64,26 +66,24 @@ def with_originals(records: DataFrame, new: DataFrame, skip_original: bool = Fal
 def make_paraphrases(
     records: DataFrame, key: str, make_model, model_name: str, n: int = 2, retries: int = 3, batch_size: int = 12,
     skip_original: bool = False, options: dict | None = None, partitions: int | None = None,
-    folder: str | None = None,
+    folder: str | None = None, slices: int = 1,
 ) -> DataFrame:
+    """Records with their paraphrases; rounds, folder and slices as in :func:`make_questions`."""
     spark = records.sparkSession
-    folder = folder or run_folder(spark, "paraphrase")
-    base = written(paraphrase_prompts(records, n, key), f"{folder}/prompts")
-    open_items, paths = base.select(key), []
+    parameters = {"job": "paraphrase", "model": model_name, "n": n, "options": options or {}, "templates": prompts.templates_digest()}
+    folder, steps = opened_run(spark, "paraphrase", folder, parameters), run_folder(spark, "paraphrase-steps")
+    base = written(paraphrase_prompts(records, n, key), f"{steps}/prompts")
+    asked, rounds = base, []
     for attempt in range(retries + 1):
-        asked = base.join(open_items, key, "left_semi")
-        if attempt:
-            asked = asked.withColumn("prompt", prompts.paraphrase_retry("prompt", attempt))
-        answers = infer(asked, make_model, batch_size=batch_size, options=options, partitions=partitions, key=key)
-        path = f"{folder}/answers/{attempt}"
-        answered = written(
-            answers.select(key, F.lit(attempt).alias("attempt"), F.col("response").alias("raw"), "error"), path
-        )
-        paths.append(path)
-        done = usable_lines(answered, key).where(F.size("lines") > 0)
-        open_items = written(open_items.join(done.select(key).distinct(), key, "left_anti"), f"{folder}/open/{attempt}")
-        if open_items.isEmpty():
+        got = answered(asked, make_model, [key], f"{folder}/answers", batch_size, options, partitions, slices)
+        usable = usable_lines(got.select(key, F.lit(attempt).alias("attempt"), F.col("response").alias("raw")), key)
+        rounds.append(written(usable, f"{steps}/lines/{attempt}"))
+        still = rounds[-1].where(F.size("lines") <= 0).select(key)
+        if attempt == retries or still.isEmpty():
             break
-    answers = spark.read.schema(answered.schema).parquet(*paths)
-    lines = first_usable(usable_lines(answers, key), key)
+        asked = written(
+            base.join(still, key, "left_semi").withColumn("prompt", prompts.paraphrase_retry("prompt", attempt + 1)),
+            f"{steps}/asked/{attempt + 1}",
+        )
+    lines = first_usable(reduce(DataFrame.union, rounds), key)
     return with_originals(records, paraphrased(records, lines, key, n, model_name), skip_original)

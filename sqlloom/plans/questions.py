@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions import fixed_values as fv
 from sqlloom.functions import prompts
 from sqlloom.operators import sampling
-from sqlloom.operators.attempts import first_valid, numbered_lines, parsed_questions, pending
+from sqlloom.operators.attempts import first_valid, numbered_lines, parsed_questions
 from sqlloom.operators.examples import draw_examples
-from sqlloom.operators.inference import infer
-from sqlloom.session import run_folder, written
+from sqlloom.operators.inference import answered
+from sqlloom.session import opened_run, run_folder, written
 
 SPECIFIC_SHARE = 0.3
 SHOWN_EXAMPLES = 4
@@ -42,35 +44,37 @@ def question_prompts(schemas: DataFrame, requests: DataFrame, count: int) -> Dat
 def make_questions(
     schemas: DataFrame, examples: DataFrame, make_model, model_name: str, per_schema: int = 10, retries: int = 3,
     batch_size: int = 32, seed=42, options: dict | None = None, partitions: int | None = None,
-    folder: str | None = None,
+    folder: str | None = None, slices: int = 1,
 ) -> DataFrame:
-    """Question records.  At most ``retries`` + 1 rounds; a round asks for the open schemas only."""
+    """Question records.  At most ``retries`` + 1 rounds; a round asks for the open schemas only.
+
+    Answers are committed to ``folder`` in slices; given the folder of an earlier run, the model is
+    asked for what is missing there.
+    """
     spark = schemas.sparkSession
-    folder = folder or run_folder(spark, "questions")
-    requests = written(question_requests(schemas, examples, seed), f"{folder}/requests")
-    base = written(question_prompts(schemas, requests, per_schema), f"{folder}/prompts")
-    open_items, paths = base.select("schema_file"), []
+    parameters = {"job": "questions", "model": model_name, "seed": seed, "options": options or {}, "templates": prompts.templates_digest()}
+    folder, steps = opened_run(spark, "questions", folder, parameters), run_folder(spark, "questions-steps")
+    requests = written(question_requests(schemas, examples, seed), f"{steps}/requests")
+    base = written(question_prompts(schemas, requests, per_schema), f"{steps}/prompts")
+    asked, rounds = base, []
     for attempt in range(retries + 1):
-        asked = base.join(open_items, "schema_file", "left_semi")
-        if attempt:
-            asked = asked.withColumn("prompt", prompts.question_retry("prompt", attempt))
-        answers = infer(asked, make_model, batch_size=batch_size, options=options, partitions=partitions, key="schema_file")
-        path = f"{folder}/answers/{attempt}"
-        stamped = answers.select(
+        got = answered(asked, make_model, ["schema_file"], f"{folder}/answers", batch_size, options, partitions, slices)
+        stamped = got.select(
             F.col("schema_file").alias("item_id"), F.lit(attempt).alias("attempt"),
             F.col("response").alias("raw"), "error", F.current_timestamp().alias("timestamp"),
         )
-        answered = written(stamped, path)
-        paths.append(path)
-        accepted = first_valid(parsed_questions(answered), retries)
-        open_items = written(
-            pending(open_items.withColumnRenamed("schema_file", "item_id"), accepted)
-            .withColumnRenamed("item_id", "schema_file"),
-            f"{folder}/open/{attempt}",
-        )
-        if open_items.isEmpty():
+        rounds.append(written(stamped, f"{steps}/answers/{attempt}"))
+        parsed = parsed_questions(rounds[-1])
+        still = parsed.where("not valid").select(F.col("item_id").alias("schema_file"))
+        if attempt == retries or still.isEmpty():
             break
-    answers = spark.read.schema(answered.schema).parquet(*paths)
+        # Only the keys of what is open meet the stored prompts.
+        open_keys = written(still, f"{steps}/open/{attempt}")
+        asked = written(
+            base.join(open_keys, "schema_file", "left_semi").withColumn("prompt", prompts.question_retry("prompt", attempt + 1)),
+            f"{steps}/asked/{attempt + 1}",
+        )
+    answers = reduce(DataFrame.union, rounds)
     lines = numbered_lines(first_valid(parsed_questions(answers), retries), per_schema)
     stamps = answers.select("item_id", "attempt", "timestamp")
     return (

@@ -10,7 +10,6 @@ from sqlloom.operators import sampling
 from sqlloom.operators.gates import without_failed_names
 from sqlloom.operators.lookups import with_marked_prefix
 from sqlloom.operators.profiles import action_histogram, foreign_key_flags, foreign_key_share
-from sqlloom.operators.sqlite_gate import schema_errors
 
 FIT_RAMP, GROWTH_RAMP = 0.7, 0.5
 
@@ -23,13 +22,6 @@ def render_records(records: DataFrame, key: str) -> DataFrame:
     )
 
 
-def loadable(rendered: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Schemas that SQLite loads, and (key, ddl_error) of the others."""
-    checked = schema_errors(rendered, key)
-    failed = checked.where("ddl_error is not null")
-    return rendered.join(failed.select(key), key, "left_anti"), failed
-
-
 def table_counts(schemas: DataFrame) -> DataFrame:
     """(schema_file, num_tables) of every schema that is not marked as failed; the texts stay behind."""
     return without_failed_names(schemas, "schema_file").select(

@@ -10,9 +10,8 @@ from sqlloom.functions.sqltext import statement_kind
 from sqlloom.functions.text import flatten
 from sqlloom.operators import candidates as C
 from sqlloom.operators.catalog import catalog_from_ddl, compressed_schemas
-from sqlloom.operators.inference import infer
-from sqlloom.operators.sqlite_gate import execution_errors
-from sqlloom.session import run_folder, written
+from sqlloom.operators.inference import answered
+from sqlloom.session import opened_run, run_folder, written
 
 
 def generation_prompts(items: DataFrame, compressed: DataFrame) -> DataFrame:
@@ -22,9 +21,9 @@ def generation_prompts(items: DataFrame, compressed: DataFrame) -> DataFrame:
     )
 
 
-def vote_prompts(items: DataFrame, compressed: DataFrame, candidates: DataFrame, shown: int) -> DataFrame:
-    """(item_id, prompt): each item with its candidates in order; an item has at most ``shown`` of them by design."""
-    listed = candidates.where(F.col("round_no") < shown).groupBy("item_id").agg(
+def vote_prompts(items: DataFrame, compressed: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(item_id, prompt): each item with all its candidates in order; they must fit into one prompt."""
+    listed = candidates.groupBy("item_id").agg(
         F.array_sort(F.collect_list(F.struct("round_no", "sql"))).alias("_listed")
     )
     return (
@@ -34,54 +33,52 @@ def vote_prompts(items: DataFrame, compressed: DataFrame, candidates: DataFrame,
     )
 
 
-def gated_candidates(responses: DataFrame, items: DataFrame, schemas: DataFrame, folder: str) -> DataFrame:
-    """Extracted candidates whose ``reason`` also tells whether they run on their schema.
+def gated_candidates(extracted: DataFrame, items: DataFrame, schemas: DataFrame, check=None) -> DataFrame:
+    """Extracted candidates; with a ``check``, ``reason`` also tells which ones don't run on their schema.
 
-    The extraction is written below ``folder``: the execution check reads it several times.
+    ``check`` gets (schema_file, item_id, round_no, sql) and the schemas and returns the
+    (item_id, round_no) of the candidates that fail.  The library brings no SQL engine for that.
     """
-    extracted = written(
-        C.extracted_candidates(responses).join(items.select("item_id", "schema_file"), "item_id"), f"{folder}/extracted"
-    )
-    runnable = extracted.where("reason is null")
-    errors = execution_errors(runnable.select("schema_file", "item_id", "round_no", "sql"), schemas)
-    failed = errors.where("exec_error is not null").select("item_id", "round_no", F.lit(C.NOT_EXECUTABLE).alias("_failed"))
-    return extracted.join(failed, ["item_id", "round_no"], "left").select(
-        "item_id", "round_no", "sql", "norm", F.coalesce("reason", "_failed").alias("reason")
+    if check is None:
+        return extracted
+    runnable = extracted.where("reason is null").join(items.select("item_id", "schema_file"), "item_id")
+    failed = check(runnable.select("schema_file", "item_id", "round_no", "sql"), schemas).select(
+        "item_id", "round_no", F.lit(C.NOT_EXECUTABLE).alias("_failed")
     )
+    return extracted.join(failed, ["item_id", "round_no"], "left").withColumn("reason", F.coalesce("reason", "_failed")).drop("_failed")
 
 
 def make_sql(
     items: DataFrame, schemas: DataFrame, make_model, candidates_per_item: int = 2, batch_size: int = 16,
     generate_options: dict | None = None, vote_options: dict | None = None, make_judge=None, partitions: int | None = None,
-    folder: str | None = None,
+    folder: str | None = None, slices: int = 1, check=None,
 ) -> DataFrame:
     """Triplets (item_id, prompt, sql_statement, schema_file, cmd_type).
 
     All candidate rounds are one model pass over items times rounds; the judge is a
-    second pass.  Answers are written before they are read.
+    second pass.  Answers are committed to ``folder`` in slices; given the folder of an earlier
+    run, the model is asked for what is missing there.
     """
     spark = items.sparkSession
-    folder = folder or run_folder(spark, "sql")
     rounds = max(1, candidates_per_item)
+    parameters = {"job": "sql", "generate": generate_options or {}, "vote": vote_options or {}, "templates": prompts.templates_digest()}
+    folder, steps = opened_run(spark, "sql", folder, parameters), run_folder(spark, "sql-steps")
     compressed = written(
-        compressed_schemas(catalog_from_ddl(schemas, "schema_file", "schema_sql"), "schema_file"), f"{folder}/compressed"
+        compressed_schemas(catalog_from_ddl(schemas, "schema_file", "schema_sql"), "schema_file"), f"{steps}/compressed"
     )
     asked = generation_prompts(items, compressed).withColumn(
         "round_no", F.explode(F.array(*[F.lit(r) for r in range(rounds)]))
     )
-    answers = written(
-        infer(asked, make_model, batch_size=batch_size, options=generate_options, partitions=partitions, key="item_id"),
-        f"{folder}/answers",
+    asked = written(asked, f"{steps}/asked")
+    answers = answered(
+        asked, make_model, ["item_id", "round_no"], f"{folder}/answers", batch_size, generate_options, partitions, slices
     )
     responses = answers.select("item_id", "round_no", F.col("response").alias("raw"))
-    gated = written(gated_candidates(responses, items, schemas, folder), f"{folder}/gated")
-    usable = written(C.with_fallback(items, C.distinct_candidates(gated)), f"{folder}/usable")
-    verdicts = written(
-        infer(
-            vote_prompts(items, compressed, usable, rounds), make_judge or make_model, batch_size=batch_size,
-            options=vote_options, partitions=partitions, key="item_id",
-        ),
-        f"{folder}/verdicts",
+    extracted = written(C.extracted_candidates(responses), f"{steps}/extracted")
+    usable = written(C.with_fallback(items, C.distinct_candidates(gated_candidates(extracted, items, schemas, check))), f"{steps}/usable")
+    judged = written(vote_prompts(items, compressed, usable), f"{steps}/judged")
+    verdicts = answered(
+        judged, make_judge or make_model, ["item_id"], f"{folder}/verdicts", batch_size, vote_options, partitions, slices
     )
     winners = C.voted(items, usable, verdicts.select("item_id", F.col("response").alias("raw")))
     return items.join(winners, "item_id").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -60,11 +61,44 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
 
 
+def committed_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Sub-folders that a writer has finished."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(there):
+        return []
+    found = [s.getPath().toString() for s in fs.listStatus(there) if s.isDirectory()]
+    return sorted(f for f in found if path_exists(spark, f"{f}/_SUCCESS"))
+
+
+def opened_run(spark: SparkSession, job: str, folder: str | None, parameters: dict) -> str:
+    """A folder for the answers of a run: a new one, or that of an earlier run with the same parameters.
+
+    Other parameters than those of the earlier run are refused.
+    """
+    told = json.dumps(parameters, sort_keys=True, default=str)
+    folder = folder or run_folder(spark, job)
+    note = f"{folder}/parameters"
+    if path_exists(spark, f"{note}/_SUCCESS"):
+        held = spark.read.text(note).first()[0]
+        if held != told:
+            raise ValueError(f"{folder} belongs to a run with other parameters: {held}, not {told}")
+    else:
+        spark.createDataFrame([(told,)], "value string").coalesce(1).write.mode("overwrite").text(note)
+    return folder
+
+
+def remove_run(spark: SparkSession, folder: str) -> bool:
+    """Delete a run's folder, once nothing reads its tables any more."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: later steps neither repeat its work nor keep its lineage.
 
-    A table that an earlier run of the same job has finished is read as it is; what a
-    broken run left half written is replaced.
+    A table that this run has finished is read as it is; what a broken attempt left half
+    written is replaced.
     """
     spark = df.sparkSession
     if not path_exists(spark, f"{path}/_SUCCESS"):

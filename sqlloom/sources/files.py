@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sqlloom.functions.text import basename, strip
-from sqlloom.operators.catalog import RECORD
+from sqlloom.functions.text import basename, computed, is_blank, strip
+from sqlloom.operators.catalog import JSON_RECORD, RECORD, typed_defaults
 from sqlloom.operators.gates import without_failed_names
 
 
@@ -16,7 +16,7 @@ def lenient_utf8(content) -> Column:
 
 
 def read_schemas(
-    spark: SparkSession, folder: str, suffix: str = ".sql", recursive: bool = False, skip_failed: bool = True
+    spark: SparkSession, folder: str, suffix: str = ".sql", recursive: bool = False, skip_failed: bool = False
 ) -> DataFrame:
     """(path, schema_file, schema_sql): one row per schema file, invalid bytes dropped.
 
@@ -65,15 +65,27 @@ def split_by_existence(manifest: DataFrame, existing: DataFrame) -> tuple[DataFr
     return manifest.join(have, "full_path", "left_semi"), manifest.join(have, "full_path", "left_anti")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, quotes doubled inside quotes, line breaks allowed in values; all strings."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """CSV with a header and quotes doubled inside quotes; all strings.
+
+    With ``line_breaks`` values may hold line breaks, but then one task reads each file.
+    """
+    return spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"').csv(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Nested schema records as (record_no, TABLES) from JSON lines or parquet, with a fixed schema."""
-    kind = "parquet" if path.rstrip("/").endswith(".parquet") else "json"
-    return spark.read.schema(RECORD).format(kind).load(path)
+    """(file, record_no, TABLES): nested schema records from JSON lines or parquet, with a fixed schema.
+
+    Records are numbered from 0 in each file, in the order in which they stand there.
+    """
+    if path.rstrip("/").endswith(".parquet"):
+        table = spark.read.schema(RECORD).parquet(path)
+        return table.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("record_no"), "TABLES")
+    from sqlloom.sources.jsonl import numbered_lines
+
+    lines = numbered_lines(spark, path).where(~is_blank("line"))
+    parsed = computed(lines, record=F.from_json("line", JSON_RECORD))
+    return parsed.select("file", F.col("line_no").alias("record_no"), typed_defaults(F.col("record.TABLES")).alias("TABLES"))
 
 
 def _split_folder(spark: SparkSession, path: str) -> str:
@@ -91,9 +103,11 @@ def _split_folder(spark: SparkSession, path: str) -> str:
     return f"{path.rstrip('/')}/{'train' if 'train' in folders else folders[0]}"
 
 
-def load(spark: SparkSession, spec: str, kind: str | None = None) -> DataFrame:
+def load(spark: SparkSession, spec: str, kind: str | None = None, schema=None, line_breaks: bool = False) -> DataFrame:
     """A dataset by path: format from the suffix, the train split of a folder of splits.
 
+    Give a ``schema`` for JSON, or Spark reads all of it once more to infer one.
+
     Downloading from a hub is not built; such a spec is refused.
     """
     if spec.startswith("hf:"):
@@ -102,17 +116,10 @@ def load(spark: SparkSession, spec: str, kind: str | None = None) -> DataFrame:
     if kind is None:
         endings = {"jsonl": "json", "ndjson": "json", "json": "json", "csv": "csv", "parquet": "parquet"}
         kind = endings.get(spec.rstrip("/").rsplit(".", 1)[-1].lower(), "parquet")
-    return read_csv(spark, path) if kind == "csv" else spark.read.format(kind).load(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that is stored in fewer pieces than there are cores.
-
-    Text expressions cost far more than moving a small table once.  A table in many
-    files is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if kind == "csv":
+        return read_csv(spark, path, line_breaks)
+    reader = spark.read.format(kind)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def read_document(spark: SparkSession, source: str | dict | DataFrame) -> DataFrame:

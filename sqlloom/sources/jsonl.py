@@ -54,20 +54,38 @@ def malformed_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.where(bad).withColumn(line, strip(line)).withColumn("error", F.lit("not a JSON object"))
 
 
-def parsed(lines: DataFrame, schema: T.StructType, line: str = "line") -> DataFrame:
-    """Typed columns from good lines, in place of the text; rows that break the schema go too."""
+def parsed(lines: DataFrame, schema: T.StructType, line: str = "line", rest: str | None = None) -> DataFrame:
+    """Typed columns from good lines, in place of the text; rows that break the schema go too.
+
+    A line is parsed once; only what has parsed is tested for text after the object.  With
+    ``rest``, all other fields of the object come as one JSON text under that name, null if
+    there are none; :func:`whole_lines` puts them back.
+    """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    record = F.from_json(strip(line), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return (
-        computed(good_lines(lines, line), _record=record)
-        .where(F.col(f"_record.{CORRUPT}").isNull())
-        .select(*[c for c in lines.columns if c != line], *[F.col(f"_record.`{f.name}`") for f in schema.fields])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    columns = {"_record": F.from_json(strip(line), full, options)}
+    if rest:
+        known = [f.name for f in schema.fields]
+        others = F.map_filter(F.from_json(strip(line), "map<string,variant>"), lambda k, _: ~k.isin(*known))
+        columns["_rest"] = F.when(F.size(others) > 0, F.to_json(others))
+    fits = F.col("_record").isNotNull() & F.col(f"_record.{CORRUPT}").isNull()
+    read = computed(lines.where(~is_blank(line)), **columns).where(F.when(fits, is_json_object(strip(line))).otherwise(False))
+    return read.select(
+        *[c for c in lines.columns if c != line], *[F.col(f"_record.`{f.name}`") for f in schema.fields],
+        *([F.col("_rest").alias(rest)] if rest else []),
     )
 
 
-def read_jsonl(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
+def whole_lines(df: DataFrame, rest: str) -> DataFrame:
+    """(line): one JSON object for each row, the fields in ``rest`` at its top level."""
+    own = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != rest]), {"ignoreNullFields": "false"})
+    joined = F.concat(F.left(own, F.length(own) - 1), F.when(own != "{}", F.lit(",")).otherwise(F.lit("")), F.substring(rest, 2, 2**31 - 1))
+    return df.select(F.when(F.col(rest).isNull(), own).otherwise(joined).alias("line"))
+
+
+def read_jsonl(spark: SparkSession, paths, schema: T.StructType, rest: str | None = None) -> DataFrame:
     """Records of one or several JSON-lines files; blank and malformed lines are dropped."""
-    return parsed(spark.read.text(paths).withColumnRenamed("value", "line"), schema)
+    return parsed(spark.read.text(paths).withColumnRenamed("value", "line"), schema, rest=rest)
 
 
 def line_slice(lines: DataFrame, number: str, start: int = 0, end: int | None = None) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from sqlloom.functions import fixed_values as fv
+from sqlloom.functions.text import computed
 from sqlloom.operators.ranking import with_chunk
 from sqlloom.session import path_exists
 
@@ -33,7 +35,7 @@ def write_quarantine(rows: DataFrame, path: str, reason: str, mode: str = "appen
 
 def quarantine_text(text: str, error: str):
     """A rejected text with its error as a comment in front."""
-    return F.concat(F.lit("-- Execution failed: "), F.coalesce(error, F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")), F.lit("\n"))
+    return F.concat(F.lit(fv.QUARANTINE_HEAD), F.coalesce(error, F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")), F.lit("\n"))
 
 
 def write_chunks(df: DataFrame, order: str, size: int, path: str, mode: str = "errorifexists") -> None:
@@ -42,25 +44,38 @@ def write_chunks(df: DataFrame, order: str, size: int, path: str, mode: str = "e
     chunked.repartition("chunk").write.mode(mode).partitionBy("chunk").parquet(path)
 
 
-def rows_for_size(df: DataFrame, megabytes: int) -> int:
-    """How many rows of average width make up a file of this size, before compression."""
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    average = df.agg(F.avg(width)).first()[0]
-    return max(1, int(megabytes * 1_000_000 / average)) if average else 1
+# Hash digits that rows are sized by: 65,536 cells, a bounded table.
+CELL_DIGITS = 4
+
+
+def sized_shards(df: DataFrame, megabytes: float) -> DataFrame:
+    """Add ``shard``: rows of a shard hold at most so many megabytes as JSON text.
+
+    Bytes are added up by ranges of a row hash, and ranges are joined into shards one after the other; a
+    shard is larger only where a single range is.
+    """
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    celled = computed(df, _bytes=F.octet_length(row), _cell=F.substring(F.md5(row), 1, CELL_DIGITS))
+    cells = celled.groupBy("_cell").agg(F.sum("_bytes").alias("_bytes"))
+    everything, upto = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy("_cell")
+    before = F.coalesce(F.sum("_bytes").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # A shard starts at a multiple of the step and ends with the range that reaches the next one.
+    step = F.greatest(F.lit(int(megabytes * 1_000_000)) - F.max("_bytes").over(everything), F.lit(1))
+    shards = cells.select("_cell", F.floor(before / step).cast("int").alias("shard"))
+    return celled.join(F.broadcast(shards), "_cell").select(*df.columns, "shard")
 
 
 def publish(
-    df: DataFrame, path: str, split: str = "train", megabytes: int = 500, rows_per_file: int | None = None,
-    files: int | None = None, mode: str = "errorifexists",
+    df: DataFrame, path: str, split: str = "train", megabytes: float = 500, files: int | None = None,
+    mode: str = "errorifexists",
 ) -> dict:
-    """Sharded parquet below ``path/split``, no shard above the size limit; rows and columns written.
+    """Sharded parquet below ``path/split``; rows and columns written.
 
-    The limit is turned into rows of average width; ``rows_per_file`` sets it directly.
+    Folders shard=0, 1, ... of one file each keep the size limit; ``files`` deals out so many files of any size instead.
     """
-    out, seen = watched(df.repartition(files) if files else df)
-    out.write.mode(mode).option("maxRecordsPerFile", rows_per_file or rows_for_size(df, megabytes)).parquet(
-        f"{path.rstrip('/')}/{split}"
-    )
+    out, seen = watched(df.repartition(files) if files else sized_shards(df, megabytes).repartition("shard"))
+    writer = out.write.mode(mode)
+    (writer if files else writer.partitionBy("shard")).parquet(f"{path.rstrip('/')}/{split}")
     return {"rows": seen.get["rows"], "columns": df.columns}
 
 

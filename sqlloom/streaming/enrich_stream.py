@@ -18,11 +18,13 @@ TRIPLET = T.StructType(
 def enriched_stream(spark: SparkSession, path: str, schema: T.StructType = TRIPLET, keep: str = "1 day") -> DataFrame:
     """Enriched records of new files, each (schema, question) once within ``keep`` of its arrival.
 
+    Fields beyond ``schema`` stay as one JSON text in the column ``rest``.
+
     The state is one hash per record and expires with the watermark on arrival time, so
     it does not grow with the age of the stream.
     """
     lines = spark.readStream.text(path).withColumnRenamed("value", "line")
-    records = enrich(parsed(lines, schema)).withColumns(
+    records = enrich(parsed(lines, schema, rest="rest")).withColumns(
         {
             "arrived_at": F.current_timestamp(),
             "record_key": F.sha2(F.concat_ws("\x1f", F.col("schema"), F.col("question")), 256),

@@ -6,16 +6,17 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sqlloom.sources.files import spread
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
+# About fifteen tables a schema, whatever the number of tables.
+SCHEMA_ID = "cast(floor(p_partkey/60)*4+(p_partkey*p_size)%4 as bigint)"
+
 VIEWS = {
     "fx_tables": """
-select cast((p_partkey*p_size)%211 as bigint) as schema_id, p_partkey as table_no,
+select """ + SCHEMA_ID + """ as schema_id, p_partkey as table_no,
  replace(p_name,' ','_')||'_'||cast(p_partkey as varchar(20)) as table_name,
  'CREATE TABLE '||replace(p_name,' ','_')||'_'||cast(p_partkey as varchar(20))||' ('||chr(10)
  ||'  id INTEGER NOT NULL,'||chr(10)||'  label TEXT DEFAULT ''a,b'','||chr(10)
@@ -25,7 +26,7 @@ select cast((p_partkey*p_size)%211 as bigint) as schema_id, p_partkey as table_n
  ||'  PRIMARY KEY (id)'||chr(10)||');' as ddl
 from part""",
     "fx_columns": """
-select cast((p_partkey*p_size)%211 as bigint) as schema_id, p_partkey as table_no,
+select """ + SCHEMA_ID + """ as schema_id, p_partkey as table_no,
  replace(p_name,' ','_')||'_'||cast(p_partkey as varchar(20)) as table_name, c.col_idx,
  case c.col_idx when 0 then 'id' when 1 then 'order' when 2 then '2nd_label' else 'amount' end as col_name,
  case c.col_idx when 0 then 'INTEGER' when 1 then 'VARCHAR(255)' when 3 then 'DECIMAL' end as col_type,
@@ -43,13 +44,15 @@ select o_orderkey as rec_id,
  when 6 then 'INSERT INTO t (x) VALUES ('||cast(o_custkey as varchar(20))||');'
  when 7 then 'select x from t union select x from u;'
  when 8 then 'DELETE FROM t WHERE id = '||cast(o_orderkey as varchar(20))||';'
- else 'SELECT x, COUNT(*) FROM t GROUP BY x ORDER BY 2 DESC LIMIT 5;' end as sql_statement
+ else 'SELECT x, COUNT(*) FROM t GROUP BY x ORDER BY 2 DESC LIMIT 5;' end as sql_statement,
+ case o_orderkey%3 when 0 then '' when 1 then 'CREATE TABLE t (id INT, x TEXT DEFAULT ''a,b'');'
+ else 'CREATE TABLE t (id INT, x DECIMAL(5,2)); CREATE TABLE u (id INT, '||lower(o_orderpriority)||'_v TEXT, PRIMARY KEY (id));' end as schema
 from orders""",
     "fx_questions": """
-select conv_id*1000+turn as row_idx, 'schema_'||cast(conv_id%50 as varchar(20))||'.sql' as schema_file,
+select (conv_id*1000+turn)*2 as row_idx, 'schema_'||cast(conv_id%50 as varchar(20))||'.sql' as schema_file,
  replace(text,chr(10),' ') as question from conversations where role='user'
 union all
-select 1000000000+conv_id*1000+turn, 'schema_'||cast(conv_id%50 as varchar(20))||'.sql',
+select (conv_id*1000+turn)*2+1, 'schema_'||cast(conv_id%50 as varchar(20))||'.sql',
  replace(text,chr(10),' ') from conversations where role='user' and conv_id%7=0""",
     "fx_examples": """
 select replace(text,chr(10),' ') as nl_prompt,
@@ -106,7 +109,7 @@ where c.col_idx <= p_size%4""",
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

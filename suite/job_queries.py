@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from sqlloom.operators import candidates as C
 from sqlloom.operators import examples as X
-from sqlloom.operators.gates import first_questions
+from sqlloom.operators.gates import additions_without_conflicts, first_questions
 from sqlloom.operators.inference import infer
-from sqlloom.operators.sqlite_gate import execution_errors, schema_errors, with_additions
 from sqlloom.plans import enrich as E
 from sqlloom.plans import growth as G
 from sqlloom.plans import paraphrase as PP
@@ -23,8 +22,7 @@ from sqlloom.session import run_folder, written
 from sqlloom.sources.sinks import write_jsonl
 from sqlloom.streaming.enrich_stream import stream_enrich
 from suite.registry import query
-from suite.response_queries import GATED
-from suite.rows import CLASSIFIED
+from suite.rows import CLASSIFIED, JOINS, TOKENS
 from suite.sampling_queries import COUNTS, PMF, UNIFORM, VALID, density_sql
 from suite.schema_queries import assembled
 
@@ -47,52 +45,17 @@ def infer_stub(fx):
     return infer(asked, _echo, batch_size=1, options={"mark": "> "})
 
 
-# Schemas for the execution check: a table, sometimes a second one, and some that do not load.
-GATE_DDL = (
-    "CASE WHEN item_id % 97 % 31 = 5 THEN 'CREATE TABLE t (;' WHEN item_id % 97 % 2 = 0 "
-    "THEN 'CREATE TABLE t (id INTEGER, x TEXT); CREATE TABLE `u` (id INTEGER);' ELSE 'CREATE TABLE t (id INTEGER, x TEXT);' END"
-)
-
-
-def _gate_inputs(fx):
-    items = fx.fx_judge.selectExpr("item_id", "'s' || (item_id % 97) AS schema_file")
-    schemas = fx.fx_judge.selectExpr("'s' || (item_id % 97) AS schema_file", f"{GATE_DDL} AS schema_sql").distinct()
-    return items, schemas
-
-
-RUNS = """CASE WHEN item_id % 97 % 31 = 5 THEN false WHEN norm LIKE '% from t' OR norm LIKE '% from t where %' THEN true
-  WHEN norm LIKE '% from u' THEN item_id % 97 % 2 = 0 ELSE false END"""
-
-
-@query(GATED + f" SELECT item_id, round_no, {RUNS} AS runs FROM gated WHERE reason IS NULL")
-def exec_gate(fx):
-    items, schemas = _gate_inputs(fx)
-    good = C.extracted_candidates(fx.fx_candidates).where("reason is null").join(items, "item_id")
-    stored = written(good.select("schema_file", "item_id", "round_no", "sql"), f"{run_folder(fx.spark, 'gate')}/good")
-    checked = execution_errors(stored, schemas)
-    return checked.select("item_id", "round_no", F.col("exec_error").isNull().alias("runs"))
-
-
-@query(GATED + f""" SELECT item_id, round_no, coalesce(reason, CASE WHEN NOT ({RUNS}) THEN 'not executable against the schema' END) AS reason FROM gated""")
-def exec_gate_reasons(fx):
-    items, schemas = _gate_inputs(fx)
-    return S.gated_candidates(fx.fx_candidates, items, schemas, run_folder(fx.spark, "gate")).select("item_id", "round_no", "reason")
-
-
-@query("""SELECT table_no, table_no % 4 <> 1 AS loads FROM fx_tables""")
-def ddl_gate(fx):
-    broken = F.when(F.col("table_no") % 4 == 1, F.concat("ddl", F.lit(" CREATE TABLE x (a INT, a INT);"))).otherwise(F.col("ddl"))
-    checked = schema_errors(fx.fx_tables.select("table_no", broken.alias("schema_sql")), "table_no")
-    return checked.select("table_no", F.col("ddl_error").isNull().alias("loads"))
-
-
-@query("""SELECT table_no, CASE WHEN table_no % 5 = 0 THEN '' ELSE 'CREATE TABLE n1 (a INT);' || chr(10) || chr(10)
-  || 'CREATE INDEX i1 ON n1 (a);' END AS kept FROM fx_tables""")
+@query("""SELECT table_no, concat_ws(chr(10) || chr(10), CASE WHEN table_no % 5 <> 0 THEN 'CREATE TABLE n1 (a INT);' END,
+  CASE WHEN table_no % 7 <> 0 THEN 'CREATE INDEX i1 ON n1 (a);' END) AS kept,
+  CASE WHEN table_no % 5 = 0 THEN 0 ELSE 1 END::INT AS n_new FROM fx_tables""")
 def ddl_additions(fx):
-    old = F.when(F.col("table_no") % 5 == 0, F.lit("CREATE TABLE (")).otherwise(F.col("ddl"))
-    new = F.concat(F.col("ddl"), F.lit(" CREATE INDEX i0 ON missing (a); CREATE TABLE n1 (a INT); CREATE INDEX i1 ON n1 (a);"))
+    old = F.concat(
+        F.when(F.col("table_no") % 5 == 0, F.lit("create table main.[N1] (x INT); ")).otherwise(F.lit("/* CREATE TABLE n1 (x INT); */ ")),
+        F.when(F.col("table_no") % 7 == 0, F.lit("CREATE INDEX I1 ON t0 (id); ")).otherwise(F.lit("")), F.col("ddl"),
+    )
+    new = F.concat(F.col("ddl"), F.lit(" CREATE TABLE n1 (a INT); CREATE INDEX i1 ON n1 (a); CREATE TABLE N1 (b INT);"))
     states = fx.fx_tables.select("table_no", old.alias("old"), new.alias("new"))
-    return with_additions(states, "old", "new").select("table_no", "kept")
+    return additions_without_conflicts(states, "old", "new").select("table_no", "kept", "n_new")
 
 
 def _grower():
@@ -140,24 +103,35 @@ def make_questions(fx):
 
 
 def _sql_writer():
-    def one(prompt):
+    def one(prompt, style):
         if prompt.startswith("You compare"):
-            return re.search(r"\[candidate 1\]\n(```sql\n.*?\n```)", prompt, re.S).group(1)
+            found = re.findall(r"(```sql\n.*?\n```)", prompt, re.S)
+            return found[-1].replace("SELECT", "select ") if "LIMIT 1" in found[-1] else found[0]
         name = re.search(r"Schema:\n([^\n(]+)\(", prompt)
-        return f"```sql\nSELECT id FROM {name.group(1)}\n```" if name else "I cannot tell"
+        tail = " LIMIT 1" if style % 2 else ""
+        return f"```sql\nSELECT id FROM {name.group(1)}{tail}\n```" if name else "I cannot tell"
 
-    return lambda prompts, options: [one(p) for p in prompts]
+    def model(prompts, options):
+        # Both candidates of an item have the same prompt; their turn in a batch makes them differ.
+        turns, out = {}, []
+        for p in prompts:
+            turns[p] = turns.get(p, -1) + 1
+            out.append(one(p, turns[p]))
+        return out
+
+    return model
 
 
 @query("""
 , items AS (SELECT min(row_idx) AS item_id, schema_file, question FROM fx_questions GROUP BY schema_file, question),
 firsts AS (SELECT 'schema_' || schema_id || '.sql' AS schema_file, min(table_name) AS t FROM fx_tables GROUP BY schema_id)
-SELECT i.item_id, trim(i.question) AS prompt, CASE WHEN t IS NULL THEN 'SELECT 1;' ELSE 'SELECT id FROM ' || t || ';' END AS sql_statement,
+SELECT i.item_id, trim(i.question) AS prompt, CASE WHEN t IS NULL THEN 'SELECT 1;' ELSE 'SELECT id FROM ' || t || ' LIMIT 1;' END AS sql_statement,
   'SELECT' AS cmd_type FROM items i LEFT JOIN firsts f ON f.schema_file = i.schema_file""")
 def make_sql(fx):
     schemas = assembled(fx).selectExpr("'schema_' || schema_id || '.sql' AS schema_file", "schema_sql")
     items = first_questions(fx.fx_questions).withColumnRenamed("row_idx", "item_id")
-    made = S.make_sql(items, schemas, _sql_writer, candidates_per_item=2)
+    # One task per item key keeps both rounds of an item in one batch of the stand-in.
+    made = S.make_sql(items, schemas, _sql_writer, candidates_per_item=2, batch_size=100_000, partitions=1)
     return made.select("item_id", "prompt", "sql_statement", "cmd_type")
 
 
@@ -182,9 +156,14 @@ def make_paraphrases(fx):
     return made.select("rec_id", "question", "augmentation_of")
 
 
-@query(CLASSIFIED + "SELECT DISTINCT question FROM classified WHERE reason IS NULL AND length(question) BETWEEN 20 AND 1024")
+@query(CLASSIFIED + f"""SELECT question || ' #' || rec_id AS question, query, schema, {JOINS.format("query")}::BIGINT AS num_joins,
+  {TOKENS.format("query")}::BIGINT AS query_tokens, (rec_id % 3 * 2)::BIGINT AS number_of_columns, '{{"rec_id":' || rec_id || '}}' AS rest
+FROM classified WHERE reason IS NULL AND length(question || ' #' || rec_id) BETWEEN 20 AND 1024""")
 def stream_enriched(fx):
     folder = run_folder(fx.spark, "stream")
-    write_jsonl(fx.fx_triplets.select("prompt", "sql_statement"), f"{folder}/in")
+    named = fx.fx_triplets.withColumn("prompt", F.concat("prompt", F.lit(" #"), "rec_id"))
+    write_jsonl(named.select("prompt", "sql_statement", "schema", "rec_id"), f"{folder}/in")
     stream_enrich(fx.spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return fx.spark.read.parquet(f"{folder}/out").select("question")
+    out = fx.spark.read.parquet(f"{folder}/out")
+    numbers = [F.col(n).cast("bigint").alias(n) for n in ("num_joins", "number_of_columns")]
+    return out.select("question", "query", "schema", *numbers, F.col("token_count.query").cast("bigint").alias("query_tokens"), "rest")

@@ -115,13 +115,13 @@ def paraphrase_keep(fx):
     return kept.select("rec_id", F.posexplode("kept").alias("place", "question")).withColumn("place", (F.col("place") + 1).cast("bigint"))
 
 
-@query(CLASSIFIED + REPHRASED + f""", done AS (SELECT rec_id, question, query FROM classified
+@query(CLASSIFIED + REPHRASED + f""", done AS (SELECT rec_id, question, query, schema FROM classified
   WHERE reason IS NULL AND length(question) BETWEEN 20 AND 1024)
 SELECT rec_id, question, query, {TOKENS.format('question')}::BIGINT AS question_tokens,
-  ({TOKENS.format('question')} + {TOKENS.format('query')})::BIGINT AS total_tokens,
+  ({TOKENS.format('question')} + {TOKENS.format('query')} + {TOKENS.format('schema')})::BIGINT AS total_tokens,
   NULL::VARCHAR AS augmentation_type, NULL::VARCHAR AS augmentation_of FROM done
 UNION ALL
-SELECT d.rec_id, k.line, query, {TOKENS.format('k.line')}::BIGINT, ({TOKENS.format('k.line')} + {TOKENS.format('query')})::BIGINT,
+SELECT d.rec_id, k.line, query, {TOKENS.format('k.line')}::BIGINT, ({TOKENS.format('k.line')} + {TOKENS.format('query')} + {TOKENS.format('schema')})::BIGINT,
   'question_paraphrase', d.question FROM done d JOIN kept k ON k.rec_id = d.rec_id WHERE k.r <= 2""")
 def paraphrase_union(fx):
     records = E.enrich(fx.fx_triplets)
@@ -261,7 +261,7 @@ def prompt_vote(fx):
     compressed = fx.fx_tables.groupBy("schema_id").agg(
         F.expr("listagg(table_name, '\n') within group (order by table_no)").alias("compressed")
     ).selectExpr("'s' || schema_id AS schema_file", "compressed")
-    return S.vote_prompts(items, compressed, usable, shown=4)
+    return S.vote_prompts(items, compressed, usable)
 
 
 @query("SELECT rec_id, " + template_sql(

@@ -18,7 +18,7 @@ KEY_RECORD = T.StructType([T.StructField("k", T.LongType())])
 # The cleaned query and drop reason in DuckDB, shared by several checks below.
 CLASSIFIED = r"""
 , cleaned AS (
-  SELECT rec_id, prompt AS question,
+  SELECT rec_id, prompt AS question, schema,
     trim(regexp_replace(sql_statement,
       '--[^;]*?(\bSELECT\b|\bWITH\b|\bINSERT\b|\bUPDATE\b|\bDELETE\b|\bFROM\b|\bJOIN\b|;|$)', '\1', 'gi')) AS query
   FROM fx_triplets),
@@ -35,10 +35,13 @@ KINDS = (
 )
 
 
-@query("SELECT line_no, CAST(json_extract_string(line, '$.k') AS BIGINT) AS k FROM fx_jsonl "
-       "WHERE line <> '' AND json_valid(line)")
+@query("""SELECT line_no, CAST(json_extract_string(line, '$.k') AS BIGINT) AS k,
+  CASE WHEN line_no % 2 = 0 THEN '{"tag":"' || line_no || '","n":[1,{"x":null}]}' END AS rest
+FROM fx_jsonl WHERE line <> '' AND json_valid(line)""")
 def jsonl_clean(fx):
-    return jsonl.parsed(fx.fx_jsonl, KEY_RECORD)
+    more = F.concat(F.lit('{"tag":"'), "line_no", F.lit('","n":[1,{"x":null}],'), F.substring("line", 2, 2**31 - 1))
+    odd = F.when((F.col("line_no") % 2 == 0) & F.startswith("line", F.lit("{")), more).otherwise(F.col("line"))
+    return jsonl.parsed(fx.fx_jsonl.withColumn("line", odd), KEY_RECORD, rest="rest")
 
 
 @query("SELECT line_no, line, 'not a JSON object' AS error FROM fx_jsonl WHERE line <> '' AND NOT json_valid(line)")
@@ -46,16 +49,16 @@ def jsonl_quarantine(fx):
     return jsonl.malformed_lines(fx.fx_jsonl)
 
 
-@query("SELECT line_no, line FROM fx_jsonl WHERE line_no >= 25 AND line <> '' AND json_valid(line)")
+@query("SELECT line_no, line FROM fx_jsonl WHERE line_no >= 25 AND line_no < 2500 AND line <> '' AND json_valid(line)")
 def jsonl_slice(fx):
-    return jsonl.line_slice(fx.fx_jsonl, "line_no", 25)
+    return jsonl.line_slice(fx.fx_jsonl, "line_no", 25, 2500)
 
 
-@query(CLASSIFIED + f"""
-SELECT rec_id, question, query, '' AS "schema", {TOKENS.format('question')}::BIGINT AS question_tokens,
-  {TOKENS.format('query')}::BIGINT AS query_tokens, 0::BIGINT AS schema_tokens,
-  ({TOKENS.format('question')} + {TOKENS.format('query')})::BIGINT AS total_tokens,
-  {JOINS.format('query')}::BIGINT AS num_joins, 0::BIGINT AS num_tables, 0::BIGINT AS number_of_columns
+@query(CLASSIFIED + rf"""
+SELECT rec_id, question, query, schema, {TOKENS.format('question')}::BIGINT AS question_tokens,
+  {TOKENS.format('query')}::BIGINT AS query_tokens, {TOKENS.format('schema')}::BIGINT AS schema_tokens,
+  ({TOKENS.format('question')} + {TOKENS.format('query')} + {TOKENS.format('schema')})::BIGINT AS total_tokens,
+  {JOINS.format('query')}::BIGINT AS num_joins, (rec_id % 3)::BIGINT AS num_tables, (rec_id % 3 * 2)::BIGINT AS number_of_columns
 FROM classified WHERE reason IS NULL AND length(question) BETWEEN 20 AND 1024""")
 def enrich_records(fx):
     done = E.enrich(fx.fx_triplets)
@@ -162,13 +165,13 @@ def text_tokens(fx):
     return docs.select("doc_id", token_count("text").cast("bigint").alias("tokens"), F.length("text").cast("bigint").alias("chars"))
 
 
-@query("SELECT rec_id, prompt, sql_statement FROM fx_triplets ORDER BY md5('42:' || rec_id), rec_id")
+@query("SELECT rec_id, prompt, sql_statement, schema FROM fx_triplets ORDER BY md5('42:' || rec_id), rec_id")
 def shuffle_keyed(fx):
     return shuffled(fx.fx_triplets, "rec_id", 42)
 
 
 @query("""
-SELECT t.rec_id, t.prompt, t.sql_statement FROM fx_triplets t
+SELECT t.rec_id, t.prompt, t.sql_statement, t.schema FROM fx_triplets t
 JOIN (SELECT prompt, min(rec_id) AS rec_id FROM fx_triplets GROUP BY prompt) f ON f.rec_id = t.rec_id""")
 def first_per_prompt(fx):
     return first_per_key(fx.fx_triplets, ["prompt"], "rec_id")

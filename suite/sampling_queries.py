@@ -106,14 +106,6 @@ def draw_joins(fx):
     return fx.fx_questions.select("row_idx", A.draw_joins(SEED, "row_idx").alias("num_joins"))
 
 
-@query(f", {PMF} SELECT q.n_rows, j, round(p, 9) AS p FROM pmf, (SELECT count(*) AS n_rows FROM fx_questions) q")
-def join_weights(fx):
-    rows = fx.fx_questions.agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.select("n_rows", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("j")).select(
-        "n_rows", "j", F.round(A.join_probability("j"), 9).alias("p")
-    )
-
-
 @query(f"SELECT row_idx, {UNIFORM.format(chr(39) + '42:' + chr(39) + ' || row_idx')} < 0.3 AS is_specific FROM fx_questions")
 def prompt_variant(fx):
     return fx.fx_questions.select("row_idx", A.draw_flag(0.3, SEED, "row_idx").alias("is_specific"))
@@ -196,9 +188,9 @@ def question_dedup(fx):
 
 
 @query("""SELECT row_idx, schema_file, question FROM (SELECT *, row_number() OVER (ORDER BY row_idx) - 1 AS pos FROM
-  (SELECT min(row_idx) AS row_idx, schema_file, question FROM fx_questions GROUP BY schema_file, question)) WHERE pos >= 5""")
+  (SELECT min(row_idx) AS row_idx, schema_file, question FROM fx_questions GROUP BY schema_file, question)) WHERE pos >= 5 AND pos < 400""")
 def question_slice(fx):
-    return K.slice_rows(first_questions(fx.fx_questions), "row_idx", 5)
+    return K.slice_rows(first_questions(fx.fx_questions), "row_idx", 5, 400)
 
 
 @query("SELECT question, count(*) AS n FROM fx_questions WHERE question <> '' GROUP BY question HAVING count(*) > 1")

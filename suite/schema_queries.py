@@ -13,6 +13,7 @@ from sqlloom.operators.gates import without_name_conflicts
 from sqlloom.operators.lookups import best_tables, marked_prefixes, with_marked_prefix
 from sqlloom.operators.profiles import foreign_key_flags, foreign_key_share
 from sqlloom.plans import schemas as J
+from suite.fixtures import SCHEMA_ID
 from suite.registry import query
 
 # Statements around each table text: comments, quotes and backticks that the counters and strippers must tell apart.
@@ -34,6 +35,20 @@ def assembled(fx):
     return C.assembled(fx.fx_tables, "schema_id", "table_no", "ddl")
 
 
+def troubled(fx):
+    """Assembled schemas whose tables come with comments, options, qualifiers, repeats and odd quotes."""
+    name = F.col("table_name")
+    head = F.concat(F.lit("CREATE TABLE "), name)
+    quoted = F.element_at(
+        F.array(F.concat(F.lit("create table main.["), name, F.lit("]")), F.concat(F.lit("CREATE TABLE IF NOT EXISTS '"), name, F.lit("'")),
+                F.concat(F.lit("CREATE TABLE /* x( */ `"), name, F.lit("`")), head), (F.col("table_no") % 4 + 1).cast("int"))
+    body = F.substring("ddl", F.length(head) + 1, 100_000)
+    body = F.replace(body, F.lit("DEFAULT 'a,b'"), F.lit("DEFAULT 'x);' -- , gone TEXT\n/* , gone (1) */"))
+    tail = F.when(F.col("table_no") % 3 == 0, F.concat(F.left(body, F.length(body) - 1), F.lit(" WITHOUT ROWID;"))).otherwise(body)
+    again = F.concat(F.lit("\n-- CREATE TABLE gone (a INT);\nCREATE TABLE IF NOT EXISTS "), F.upper(name), F.lit(" (other INT);\nCREATE TEMP TABLE t_"), name, F.lit(" (a INT);"))
+    return C.assembled(fx.fx_tables.select("schema_id", "table_no", F.concat(quoted, tail, again).alias("ddl")), "schema_id", "table_no", "ddl")
+
+
 ASSEMBLED = ", assembled AS (SELECT schema_id, string_agg(ddl, chr(10) || chr(10) ORDER BY table_no) AS schema_sql FROM fx_tables GROUP BY schema_id)"
 # RE2 has no possessive repeats; the units of a line are unambiguous, so a lazy repeat finds the same cut.
 STRIP_QUOTED = r"""array_to_string(list_transform(string_split(
@@ -71,7 +86,7 @@ def schema_table_counts(fx):
     )
 
 
-@query("""SELECT CAST((p_partkey * p_size) % 211 AS BIGINT) AS schema_id,
+@query("""SELECT """ + SCHEMA_ID + """ AS schema_id,
   CAST(sum(2 + CAST(p_size % 2 = 0 AS INT) + CAST(p_size % 3 = 0 AS INT)) AS BIGINT) AS number_of_columns
 FROM part GROUP BY 1""")
 def schema_column_counts(fx):
@@ -84,7 +99,7 @@ def schema_assembled(fx):
 
 
 @query("""
-, parts AS (SELECT *, CAST((p_partkey * p_size) % 211 AS BIGINT) AS schema_id,
+, parts AS (SELECT *, """ + SCHEMA_ID + """ AS schema_id,
    replace(p_name, ' ', '_') || '_' || p_partkey AS table_name FROM part),
 cols AS (
   SELECT schema_id, table_name, 0 AS pos, 'id' AS col_name, 'INTEGER' AS col_type FROM parts
@@ -94,7 +109,7 @@ cols AS (
 SELECT schema_id, table_name, CAST(row_number() OVER (PARTITION BY schema_id, table_name ORDER BY pos) - 1 AS INT) AS col_idx,
   col_name, col_type FROM cols""")
 def schema_catalog(fx):
-    return C.catalog_from_ddl(assembled(fx), "schema_id", "schema_sql")
+    return C.catalog_from_ddl(troubled(fx), "schema_id", "schema_sql")
 
 
 @query("""
@@ -132,7 +147,7 @@ RENDERED = f"""
     CASE WHEN regexp_matches(col_name, '^[0-9]') OR upper(col_name) IN ({QUOTED_NAMES}) THEN '"' || col_name || '"' ELSE col_name END
     || ' ' || CASE col_type WHEN 'INTEGER' THEN col_type WHEN 'DECIMAL' THEN col_type ELSE 'TEXT' END
     || CASE WHEN NOT nullable THEN ' NOT NULL' ELSE '' END || CASE WHEN is_unique THEN ' UNIQUE' ELSE '' END
-    || CASE WHEN coalesce(default_val, '') <> '' THEN ' DEFAULT ''' || replace(default_val, '''', '') || '''' ELSE '' END AS def
+    || CASE WHEN default_val = '0' THEN ' DEFAULT 0' WHEN coalesce(default_val, '') <> '' THEN ' DEFAULT ''' || replace(default_val, '''', '') || '''' ELSE '' END AS def
   FROM fx_columns)
 """
 
@@ -142,7 +157,7 @@ RENDERED = f"""
   || '  FOREIGN KEY (id) REFERENCES "order" (id) ON DELETE SET NULL ON UPDATE NO ACTION' || chr(10) || ');' AS ddl
 FROM defs GROUP BY schema_id, table_no, table_name""")
 def ddl_render(fx):
-    nested = C.nested_tables(fx.fx_columns, ["schema_id", "table_no"])
+    nested = C.nested_tables(fx.fx_columns.withColumn("default_bare", F.col("default_val") == "0"), ["schema_id", "table_no"])
     key = F.struct(
         F.array(F.lit("id")).alias("COLUMNS"), F.lit("order").alias("FOREIGN_TABLE"),
         F.array(F.lit("id")).alias("REFERRED_COLUMNS"), F.lit("SetNull").alias("ON_DELETE"),

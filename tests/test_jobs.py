@@ -4,6 +4,7 @@ import json
 import re
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -60,27 +61,51 @@ def test_written_enrichment(spark, tmp_path):
 
 
 def test_growth_repairs_fails_and_stops(spark):
-    seen = {"good": 3, "stubborn": 2, "fixed": 2}
-    schemas = spark.createDataFrame([(k, ddl(f"{k}_", n)) for k, n in seen.items()] + [("bad", "CREATE TABLE ("), ("big", ddl("b", 40))], "schema_file string, schema_sql string")
+    seen = {"good": 3, "stubborn": 2, "fixed": 2, "indexes": 2}
+    schemas = spark.createDataFrame([(k, ddl(f"{k}_", n)) for k, n in seen.items()] + [("big", ddl("b", 40))], "schema_file string, schema_sql string")
 
     def one(prompt):
         if "stubborn_" in prompt:
             return "no"
-        if "fixed_" in prompt and "failed in SQLite" not in prompt and "new_" not in prompt:
+        if "indexes_" in prompt:
+            return f"CREATE INDEX i{len(prompt)} ON indexes_0 (id);"
+        if "fixed_" in prompt and "did not work" not in prompt and "new_" not in prompt:
             return "```sqlite\nCREATE TABLE fixed_0 (id INT);\n```"  # only a clash: nothing gained
         n = int(re.search(r"(?:exactly|Write the) (\d+) new tables", prompt).group(1))
         have = len(re.findall("CREATE TABLE", prompt))
         return "```sqlite\n" + ddl(f"new_{have}_", n) + "\n```"
 
-    versions = G.grow_schemas(schemas, model(one), mode=20, max_tables=30, retries=2, max_rounds=6, seed=3)
+    versions = G.grow_schemas(schemas, model(one), mode=20, max_tables=30, retries=2, seed=3)
     last = {r.schema_file: r for r in G.final_schemas(versions).collect()}
     assert last["good"].status == last["fixed"].status == last["big"].status == "done"
     assert last["good"].num_tables == max(3, last["good"].target) and last["big"].num_tables == 40
-    assert last["stubborn"].status == last["bad"].status == "failed"
-    assert last["stubborn"].last_error == G.NO_GAIN and last["stubborn"].attempt == 3
+    # Answers without a new table use up the attempts.
+    assert last["stubborn"].status == last["indexes"].status == "failed"
+    assert last["stubborn"].last_error == last["indexes"].last_error == G.NO_GAIN and last["stubborn"].attempt == last["indexes"].attempt == 3
     assert last["good"].schema_sql.startswith(ddl("good_", 3)) and len(re.findall("CREATE TABLE", last["good"].schema_sql)) == last["good"].num_tables
     text = {r.schema_file: r.text for r in G.quarantined_schemas(versions).collect()}
-    assert set(text) == {"stubborn", "bad"} and text["bad"].startswith("-- Execution failed: ")
+    assert set(text) == {"stubborn", "indexes"} and text["stubborn"].startswith("-- Execution failed: ")
+
+
+def test_growth_has_no_limit_of_rounds(spark):
+    def one(prompt):
+        have = len(re.findall("CREATE TABLE", prompt))
+        return f"CREATE TABLE one_more_{have} (id INT);"
+
+    grown = G.final_schemas(G.grow_schemas(spark.createDataFrame([("s", ddl("s", 1))], "schema_file string, schema_sql string"), model(one), mode=60, max_tables=62, seed=1))
+    row = grown.first()
+    assert row.status == "done" and row.num_tables == row.target > 40
+
+
+def test_growth_takes_the_caller_s_gate(spark):
+    from sqlloom.operators.gates import additions_without_conflicts
+
+    def gate(states, old, new):
+        return additions_without_conflicts(states, old, new).withColumn("old_error", F.when(F.col("schema_file") == "bad", F.lit("does not load")))
+
+    schemas = spark.createDataFrame([("bad", "CREATE TABLE ("), ("good", ddl("g", 2))], "schema_file string, schema_sql string")
+    grown = G.grow_schemas(schemas, model(lambda p: "nothing"), mode=20, max_tables=30, retries=1, gate=gate)
+    assert {r.schema_file: r.last_error for r in G.final_schemas(grown).collect()} == {"bad": "does not load", "good": G.NO_GAIN}
 
 
 def test_questions_retry_only_what_is_open(spark):
@@ -102,17 +127,73 @@ def test_questions_retry_only_what_is_open(spark):
     assert row.timestamp is not None and row.source == "semi-synthetic"
 
 
-def test_a_broken_run_goes_on_where_it_stopped(spark):
-    schemas = spark.createDataFrame([(f"s{i}", ddl(f"t{i}_", 2)) for i in range(4)], "schema_file string, schema_sql string")
+def test_a_grown_input_is_asked_for_what_is_new(spark):
+    def schemas(n):
+        return spark.createDataFrame([(f"s{i}", ddl(f"t{i}_", 2)) for i in range(n)], "schema_file string, schema_sql string")
+
     examples = spark.createDataFrame([("how many?", 0)], "nl_prompt string, num_joins int")
     folder = run_folder(spark, "again")
 
+    def only(*wanted):
+        def one(prompt):
+            assert any(f"t{i}_0" in prompt for i in wanted), "the model must not be asked again"
+            return "One?\nTwo?"
+        return one
+
+    def ask(n, one, **more):
+        return {tuple(r)[:3] for r in Q.make_questions(schemas(n), examples, model(one), "m", retries=1, folder=folder, batch_size=1, **more).collect()}
+
+    first = ask(4, only(0, 1, 2, 3))
+    assert ask(4, only()) == first and len(first) == 8
+    more = ask(6, only(4, 5))
+    assert len(more) == 12 and first <= more
+    with pytest.raises(ValueError, match="other parameters"):
+        ask(4, only(), seed=7)
+
+
+def test_growth_replays_its_answers(spark):
+    schemas = spark.createDataFrame([(f"s{i}", ddl(f"s{i}_", 2)) for i in range(5)], "schema_file string, schema_sql string")
+    folder = run_folder(spark, "again")
+
+    def one(prompt):
+        n = int(re.search(r"exactly (\d+) new tables", prompt).group(1))
+        return ddl(f"new_{len(re.findall('CREATE TABLE', prompt))}_", n)
+
     def never(prompt):
-        raise RuntimeError("the model must not be asked again")
+        raise AssertionError("asked again")
+
+    first, again = (G.final_schemas(G.grow_schemas(schemas, model(m), mode=30, max_tables=40, folder=folder, slices=2)).collect() for m in (one, never))
+    assert sorted(first) == sorted(again) and all(r.status == "done" for r in again)
+
+
+def test_a_crash_after_some_slices_loses_only_the_rest(spark):
+    from sqlloom.operators.inference import answered, stored_answers
+
+    asked = written(spark.range(400).select("id", F.concat(F.lit("p"), "id").alias("prompt")), f"{run_folder(spark, 'asked')}/t")
+    folder = run_folder(spark, "crash")
 
-    ask = lambda one: Q.make_questions(schemas, examples, model(one), "m", retries=1, folder=folder)
-    first = {tuple(r) for r in ask(lambda p: "One?\nTwo?").collect()}
-    assert {tuple(r) for r in ask(never).collect()} == first and len(first) == 8
+    def breaks():
+        raise RuntimeError("this task dies")
+
+    answered(asked.where("pmod(xxhash64(id), 4) < 2"), model(str.upper), ["id"], folder, slices=4)
+    done = stored_answers(spark, folder).count()
+    with pytest.raises(Exception, match="this task dies"):
+        answered(asked, breaks, ["id"], folder, slices=4)
+    assert stored_answers(spark, folder).count() == done
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting():
+        def model_(prompts, options):
+            seen.add(len(prompts))
+            return [p.upper() for p in prompts]
+        return model_
+
+    got = answered(asked, counting, ["id"], folder, slices=4)
+    assert got.where("response = upper(concat('p', id))").count() == got.count() == 400
+    assert seen.value == 400 - done and 0 < done < 400
+    # A changed prompt is another question.
+    changed = answered(asked.withColumn("prompt", F.concat("prompt", F.lit("!"))), model(str.upper), ["id"], folder)
+    assert changed.where("response like '%!'").count() == changed.count() == 400
 
 
 def test_sql_candidates_gate_and_vote(spark):
@@ -127,10 +208,27 @@ def test_sql_candidates_gate_and_vote(spark):
     def judge(prompt):
         return "the first"
 
-    made = S.make_sql(items, schemas, model(generate), candidates_per_item=3, make_judge=model(judge))
+    def check(candidates, schemas):
+        return candidates.where("sql like '%gone%'").select("item_id", "round_no")
+
+    folder = run_folder(spark, "sql")
+    ask = lambda items, one, **more: S.make_sql(items, schemas, model(one), candidates_per_item=3, make_judge=model(judge), **more)
+    made = ask(items, generate, check=check)
     got = {r.item_id: (r.prompt, r.sql_statement, r.cmd_type) for r in made.collect()}
     assert got == {1: ("count all", "SELECT count(*) FROM t;", "SELECT"), 2: ("broken", "SELECT 1;", "SELECT"), 3: ("pick", "SELECT count(*) FROM e;", "SELECT")}
     assert S.with_flat_schema(made, schemas).where("item_id = 3").first().schema == "CREATE TABLE e (id INT);"
+    # Without a check the candidate stays; an old folder doesn't hide a new item.
+    assert {r.item_id for r in ask(items.where("item_id = 1"), generate, folder=folder).collect()} == {1}
+    grown = {r.item_id: r.sql_statement for r in ask(items, generate, folder=folder).collect()}
+    assert grown == {1: "SELECT count(*) FROM t;", 2: "SELECT gone FROM t;", 3: "SELECT count(*) FROM e;"}
+
+
+def test_jobs_shuffle_no_text_before_the_first_round(spark):
+    from sqlloom.operators.inference import answered
+
+    asked = spark.range(10).select("id", F.lit("p").alias("prompt"))
+    plan = answered(asked, model(str.upper), ["id"], run_folder(spark, "plan"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_paraphrases(spark):

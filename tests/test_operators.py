@@ -5,6 +5,7 @@ import itertools
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from sqlloom.operators import attempts as W
@@ -16,7 +17,6 @@ from sqlloom.operators import lookups as L
 from sqlloom.operators import profiles as P
 from sqlloom.operators import ranking as R
 from sqlloom.operators import sampling as A
-from sqlloom.operators import sqlite_gate as Q
 from sqlloom.operators.inference import infer
 from sqlloom.plans import schemas as J
 
@@ -56,12 +56,36 @@ def test_with_position_matches_sorting(spark):
     assert sorted(got) == [(n, i) for i, n in enumerate(sorted(n for n, _ in got))]
 
 
-def test_position_ranges_share_the_work(spark):
-    df = spark.range(50_000)
-    sample = [r[0] for r in df.orderBy(F.xxhash64("id")).limit(R.SAMPLE_KEYS).collect()]
-    cuts = sorted(sample)[:: R.SAMPLE_KEYS // R.CUTS]
-    largest = df.groupBy(R._cut_number(F.col("id"), cuts)).count().agg(F.max("count")).first()[0]
-    assert largest < 50_000 / R.CUTS * 6
+def exchanges(spark, df) -> int:
+    """Exchanges of the static plan, without broadcasts."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") + plan.count("Exchange rangepartitioning")
+
+
+@pytest.fixture
+def static_plans(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_positions_are_exact_and_sum_up_partitions_only(spark, static_plans):
+    ranked = R.with_position(spark.range(50_000).repartition(7), "id")
+    assert ranked.where("id <> position").count() == 0
+    # Only the sizes of the stored partitions are grouped and summed, the rows stay where they are.
+    assert exchanges(spark, ranked) == 2
+
+
+def test_a_vote_is_one_shuffle_of_the_candidates(spark, static_plans):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items, cands = spark.range(10).select(F.col("id").alias("item_id")), spark.range(10).select(
+            F.col("id").alias("item_id"), F.lit(0).alias("round_no"), F.lit("SELECT 1;").alias("sql"), F.lit("select 1").alias("norm"))
+        judged = spark.range(10).select(F.col("id").alias("item_id"), F.lit("```sql\nSELECT 1\n```").alias("raw"))
+        # Items, candidates and verdicts are each dealt out by item, once.
+        assert exchanges(spark, C.voted(items, cands, judged)) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_slices_and_chunks(spark):
@@ -246,6 +270,53 @@ def test_catalog_agrees_with_sqlite(spark):
     assert K.compressed_schemas(catalog, "k", 2).first().compressed == "a(x:UNSIGNED BIG INT, y:TEXT, ...)\nb t(id:INTEGER, a b:VARCHAR(20), ...)"
 
 
+def varied_schema(seed: int) -> str:
+    """A schema text with the shapes that trip up simple patterns, valid for SQLite."""
+    import random
+
+    rng = random.Random(seed)
+    out, names = [], rng.sample(range(1000), 12)
+    for n in names[: rng.randrange(1, 12)]:
+        name = rng.choice([f"t{n}", f'"T {n}"', f"`t-{n}`", f"[t {n}]", f"'t{n}'", f"main.t{n}", f'"a""{n}"', f"main . [t {n}]"])
+        columns = [rng.choice([
+            f"c{k} INTEGER", f'"c {k}" TEXT NOT NULL', f"[c{k}] DECIMAL(10, 2) DEFAULT 1.5", f"`c{k}` TEXT DEFAULT 'x);'",
+            f"c{k} TEXT DEFAULT 'it''s -- not a comment'", f"c{k} /* a, b */ INT", f"c{k} UNSIGNED BIG INT -- one, two\n", f"c{k}",
+            f"'c{k}' VARCHAR(20) CHECK ('c{k}' <> '/* ;')", f"c{k} TEXT COLLATE NOCASE", f"c{k} INT DEFAULT (1 + (2))",
+        ]) for k in range(rng.randrange(1, 6))]
+        rest = rng.choice(["", ", UNIQUE (p)", ", CONSTRAINT u UNIQUE (p)", ", CHECK (p > 0)", ", FOREIGN KEY (p) REFERENCES z (q)"])
+        tail = rng.choice(["", " WITHOUT ROWID", " STRICT"]) if rng.random() < 0.3 else ""
+        if tail == " STRICT":
+            columns = [f"c{k} TEXT" for k in range(3)]
+        exists = rng.choice(["", "IF NOT EXISTS "])
+        out.append(f"CREATE TABLE {exists}{name} (p INTEGER PRIMARY KEY, {', '.join(columns)}{rest}){tail};")
+        if rng.random() < 0.3:
+            out.append(f"create table if not exists {name} (other TEXT);")
+        if rng.random() < 0.3:
+            out.append(rng.choice([
+                f"-- CREATE TABLE x{n} (a INT);\n", f"/* CREATE TABLE y{n} (a INT);\n; */", f"CREATE TEMP TABLE q{n} (a INT);",
+                f"CREATE TEMPORARY TABLE r{n} (a INT);", f"CREATE INDEX i{n} ON {name.split('.')[-1]} (p);" if "." not in name else ";", ";",
+                f"CREATE VIEW v{n} AS SELECT ';' AS a;",
+            ]))
+    return rng.choice(["\n", " ", "\n\n"]).join(out)
+
+
+def test_catalog_of_varied_schemas_agrees_with_sqlite(spark):
+    import sqlite3
+
+    texts = [(n, varied_schema(n)) for n in range(200)] + [(900, "\n".join(f"CREATE TABLE b{n} (x INT, y TEXT);" for n in range(5000)))]
+    expected = set()
+    for n, ddl in texts:
+        db = sqlite3.connect(":memory:")
+        db.executescript(ddl)
+        for (t,) in db.execute("select name from sqlite_master where type='table' and name not like 'sqlite_%'").fetchall():
+            quoted = t.replace('"', '""')
+            expected |= {(n, t, c[0], c[1], c[2]) for c in db.execute(f'pragma table_info("{quoted}")')}
+        db.close()
+    catalog = K.catalog_from_ddl(spark.createDataFrame(texts, "k int, ddl string").repartition(8), "k", "ddl")
+    got = {tuple(r) for r in catalog.select("k", "table_name", "col_idx", "col_name", "col_type").collect()}
+    assert sorted(got - expected)[:3] == [] and sorted(expected - got)[:3] == []
+
+
 def test_spark_types():
     got = [K.spark_type(t) for t in ("int", "UNSIGNED BIG INT", "Double Precision", "VARCHAR(3)", "DATE", "BLOB", "null")]
     assert got == ["bigint", "bigint", "double", "string", "date", "binary", "void"]
@@ -297,34 +368,18 @@ def test_a_hot_item_is_voted_like_any_other(spark):
     assert got[0] == "SELECT 321;" and got[5] == "SELECT x;" and got[200] == "SELECT 1;"
 
 
-# --- execution
-
-
-def test_execution_gate(spark):
-    schemas = [("a", "CREATE TABLE t (id INTEGER PRIMARY KEY, v TEXT NOT NULL); CREATE TABLE `u` (t_id INT REFERENCES t (id));"), ("broken", "CREATE TABLE ("),
-               ("pragma", "PRAGMA foreign_keys=ON; CREATE TABLE t (x INT);")]
-    cands = [("a", 1, "SELECT * FROM t;", True), ("a", 2, "SELECT nope FROM t;", False), ("a", 3, "DROP TABLE t;", True), ("a", 4, "SELECT v FROM t JOIN u ON id = t_id;", True),
-             ("a", 5, "INSERT INTO t VALUES (1, 'x');", True), ("a", 6, "INSERT INTO t VALUES (1, 'y');", True), ("a", 7, "INSERT INTO u VALUES (5);", False),
-             ("a", 8, "ATTACH 'x.db' AS y;", False), ("a", 9, "BEGIN;", True), ("a", 10, "SELECT CASE WHEN 1 THEN 2 END FROM t;", True),
-             ("a", 11, "WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r) SELECT count(*) FROM r;", False),
-             ("broken", 12, "SELECT 1;", False), ("missing", 13, "SELECT 1;", False), ("pragma", 14, "SELECT x FROM t;", True)]
-    for group_rows in (2000, 3):
-        checked = Q.execution_errors(
-            spark.createDataFrame([(s, i, 0, q) for s, i, q, _ in cands], "schema_file string, item_id long, round_no int, sql string"),
-            spark.createDataFrame(schemas, "schema_file string, schema_sql string"), group_rows)
-        got = {r.item_id: r.exec_error for r in checked.collect()}
-        assert {i: e is None for i, e in got.items()} == {i: ok for _, i, _, ok in cands}, got
-
-
-def test_schema_errors_and_additions(spark):
-    df = spark.createDataFrame([("a", "CREATE TABLE t (x INT);"), ("b", "CREATE TABLE t (x INT); CREATE TABLE t (y INT);"), ("c", None)], "schema_file string, schema_sql string")
-    assert {r.schema_file: r.ddl_error is None for r in Q.schema_errors(df).collect()} == {"a": True, "b": False, "c": True}
-    new = "CREATE INDEX i ON n (x); CREATE TABLE t (z INT); CREATE TABLE n (x INT); CREATE INDEX j ON gone (x);"
-    got = Q.with_additions(df.withColumn("new", F.lit(new)), "schema_sql", "new").collect()
-    assert {r.schema_file: (r.kept, r.n_kept) for r in got if r.schema_file != "c"} == {
-        "a": ("CREATE TABLE n (x INT);\n\nCREATE INDEX i ON n (x);", 2), "b": ("", 0)}
-    good, failed = J.loadable(df, "schema_file")
-    assert sorted(r.schema_file for r in good.collect()) == ["a", "c"] and [r.schema_file for r in failed.collect()] == ["b"]
+# --- additions and model calls
+
+
+def test_additions_without_conflicts(spark):
+    old = "CREATE TABLE t (x INT); /* CREATE TABLE n (x INT); */ create table main.[Big One] (y INT); CREATE INDEX i0 ON t (x);"
+    new = ("CREATE TABLE T (z INT); CREATE TABLE n (x INT); CREATE TABLE N (y INT); CREATE TABLE IF NOT EXISTS t (q INT); "
+           'CREATE TABLE "big one" (z INT); CREATE INDEX I0 ON n (x); CREATE INDEX j ON n (x);')
+    rows = [("a", old, new), ("b", None, "CREATE TABLE n (x INT);"), ("c", old, "CREATE INDEX k ON t (x);"), ("d", old, "")]
+    got = G.additions_without_conflicts(spark.createDataFrame(rows, "k string, old string, new string"), "old", "new").collect()
+    assert {r.k: (r.kept, r.n_new) for r in got} == {
+        "a": ("CREATE TABLE n (x INT);\n\nCREATE TABLE IF NOT EXISTS t (q INT);\n\nCREATE INDEX j ON n (x);", 1),
+        "b": ("CREATE TABLE n (x INT);", 1), "c": ("CREATE INDEX k ON t (x);", 0), "d": ("", 0)}
 
 
 def test_infer_reports_failures_per_batch(spark):

@@ -44,7 +44,7 @@ def test_schema_folder(spark, tmp_path):
     (tmp_path / "a_3.FAILED.sql").write_text("x")
     (tmp_path / "note.txt").write_text("x")
     (tmp_path / "sub" / "b.sql").write_text("é")
-    flat = {r.schema_file: r.schema_sql for r in S.read_schemas(spark, str(tmp_path)).collect()}
+    flat = {r.schema_file: r.schema_sql for r in S.read_schemas(spark, str(tmp_path), skip_failed=True).collect()}
     assert flat == {"a.sql": "CREATE TABLE t (x INT);"}
     deep = {r.schema_file for r in S.read_schemas(spark, str(tmp_path), recursive=True, skip_failed=False).collect()}
     assert deep == {"a.sql", "a_3.FAILED.sql", "b.sql"}
@@ -67,7 +67,7 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     rows = [('say "hi",\nthere', "1"), ("plain", "2")]
     df = spark.createDataFrame(rows, "nl_prompt string, num_joins string")
     W.write_csv(df, str(tmp_path / "c"))
-    assert sorted(tuple(r) for r in S.read_csv(spark, str(tmp_path / "c")).collect()) == sorted(rows)
+    assert sorted(tuple(r) for r in S.read_csv(spark, str(tmp_path / "c"), line_breaks=True).collect()) == sorted(rows)
 
 
 def test_load_dispatch(spark, tmp_path):
@@ -114,9 +114,8 @@ def test_chunks_publish_and_resume(spark, tmp_path):
     W.write_chunks(df, "name", 10, str(tmp_path / "c"))
     got = spark.read.parquet(str(tmp_path / "c")).groupBy("chunk").agg(F.count("name").alias("n"), F.min("name").alias("m")).orderBy("chunk").collect()
     assert [tuple(r) for r in got] == [(1, 10, "f00.sql"), (2, 10, "f10.sql"), (3, 5, "f20.sql")]
-    told = W.publish(df.coalesce(1), str(tmp_path / "p"), "train", rows_per_file=10)
+    told = W.publish(df.coalesce(1), str(tmp_path / "p"), "train", files=3)
     assert told == {"rows": 25, "columns": ["name"]}
-    assert W.rows_for_size(df, 1) == 1_000_000 // 18
     assert len(list((tmp_path / "p" / "train").glob("*.parquet"))) == 3
     assert spark.read.parquet(str(tmp_path / "p" / "train")).count() == 25
     out = str(tmp_path / "done")
@@ -143,12 +142,6 @@ def test_quarantine_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "g")).where("round_no = 1").first().schema_sql == "y"
 
 
-def test_small_tables_are_spread(spark):
-    assert S.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(100).repartition(16)
-    assert S.spread(wide) is wide
-
-
 def test_totals_come_from_the_write(spark, tmp_path):
     out, seen = W.watched(spark.range(10), large=F.count_if(F.col("id") > 6))
     out.write.parquet(str(tmp_path / "o"))
@@ -169,3 +162,44 @@ def test_json_objects_stand_alone(ev):
     good = ['{"a": 1}', "{}", '{"a": {"b": [1, "]}"]}}', '{"a": 1, "a": 2}']
     bad = ['{"a": 1} tail', '{"a": 1}{"a": 2}', '{"a": 1},{"a": 2}', '{"a": 1}]', '{"a": 1}] {"b": 2}', '{"a": 1}}', '{"a": 1}, "b": {}', '{"a": 1', "[1]", "1", '"x"', "", None]
     assert ev(L.is_json_object, *good, *bad) == [True] * len(good) + [False] * len(bad)
+
+
+def test_other_fields_of_json_lines_stay(spark, tmp_path):
+    lines = ['{"a": 1, "b": "x", "c": [1, {"d": null}], "e": 1.50}', '{"a": 2}', '{"a": 3, "z": "ü"} tail', '{"a": "no number"}', ""]
+    (tmp_path / "x.jsonl").write_text("\n".join(lines), encoding="utf-8")
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    got = L.read_jsonl(spark, str(tmp_path / "x.jsonl"), schema, rest="rest")
+    assert {r.a: r.rest and json.loads(r.rest) for r in got.collect()} == {1: {"b": "x", "c": [1, {"d": None}], "e": 1.5}, 2: None}
+    whole = sorted(r.line for r in L.whole_lines(got.withColumn("n", F.lit(None).cast("int")), "rest").collect())
+    assert [json.loads(x) for x in whole] == [{"a": 1, "n": None, "b": "x", "c": [1, {"d": None}], "e": 1.5}, {"a": 2, "n": None}]
+
+
+def test_records_from_files_have_keys_and_typed_defaults(spark, tmp_path):
+    from sqlloom.plans.schemas import render_records
+
+    def record(*columns):
+        return json.dumps({"TABLES": [{"TABLE_NAME": "t", "COLUMNS": list(columns), "PRIMARY_KEY": ["a"], "FOREIGN_KEYS": []}]})
+
+    column = {"NAME": "a", "TYPE": "INT", "NULLABLE": True, "UNIQUE": False}
+    rows = [record({**column, "DEFAULT": 5}), record({**column, "DEFAULT": "5"}), "", record({**column, "NULLABLE": None, "DEFAULT": None}), record({**column, "DEFAULT": "it's"})]
+    (tmp_path / "r.jsonl").write_text("\n".join(rows))
+    found = S.read_records(spark, str(tmp_path / "r.jsonl"))
+    got = {r.record_no: r.schema_sql for r in render_records(found, "record_no").collect()}
+    text = "CREATE TABLE t (\n  a INT{},\n  PRIMARY KEY (a)\n);"
+    assert got == {0: text.format(" DEFAULT 5"), 1: text.format(" DEFAULT '5'"), 3: text.format(" NOT NULL"), 4: text.format(" DEFAULT 'its'")}
+    found.write.parquet(str(tmp_path / "r.parquet"))
+    again = S.read_records(spark, str(tmp_path / "r.parquet"))
+    assert sorted(r.record_no for r in again.collect()) == [0, 1, 2, 3]
+    assert sorted(r.schema_sql for r in render_records(again, "record_no").collect()) == sorted(got.values())
+
+
+def test_no_shard_is_larger_than_wanted(spark, tmp_path):
+    wide = F.when(F.col("id") % 50 == 0, F.repeat(F.lit("x"), 3000)).otherwise(F.lit("y"))
+    df = spark.range(2000).select("id", wide.alias("text"))
+    told = W.publish(df, str(tmp_path / "p"), megabytes=0.02)
+    assert told == {"rows": 2000, "columns": ["id", "text"]}
+    back = spark.read.parquet(str(tmp_path / "p" / "train"))
+    sizes = [r[1] for r in back.groupBy("shard").agg(F.sum(F.octet_length(F.to_json(F.struct("id", "text"))))).collect()]
+    assert back.count() == 2000 and max(sizes) <= 20_000 and len(sizes) >= sum(sizes) / 20_000
+    assert all(len(list(d.glob("*.parquet"))) == 1 for d in (tmp_path / "p" / "train").glob("shard=*"))
+    assert back.drop("shard").exceptAll(df).count() == 0

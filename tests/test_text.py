@@ -214,7 +214,7 @@ def test_render(spark):
     ]
     row = render_records(spark.createDataFrame([("s", tables)], f"k string, {RECORD}"), "k").first()
     assert row.schema_sql == (
-        "CREATE TABLE a_b_c (\n  id integer NOT NULL UNIQUE,\n  \"Order\" TEXT DEFAULT 'its',\n  \"2nd\" TEXT,\n"
+        "CREATE TABLE a_b_c (\n  id integer NOT NULL UNIQUE,\n  \"Order\" TEXT DEFAULT 'its',\n  \"2nd\" TEXT NOT NULL,\n"
         "  PRIMARY KEY (id, 2nd),\n"
         "  FOREIGN KEY (a) REFERENCES x_order (id) ON DELETE SET DEFAULT ON UPDATE odd\n);\n\n"
         'CREATE TABLE "Group" (\n  \n);'
