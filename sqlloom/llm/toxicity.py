@@ -2,7 +2,8 @@
 
 The model is P(grade <= k) = 1 / (1 + exp(w.x - t_k)): one weight vector for all thresholds
 t_0 < t_1 < ..., so grades differ by their threshold only.  A document's score is its expected
-grade.  x holds 1 + ln(count) for each word of the vocabulary that the text has.
+grade.  x holds 1 + ln(count) for each feature of the vocabulary that the text has: words, and
+beginnings of words, which carry over to forms that the sample doesn't hold.
 
 ``labels`` knows toxic and not toxic only.  Grades come from it in two steps: 0 for documents
 labelled clean; for toxic ones 1, or 2 if marker words (words in at least ``MARKER_ROWS``
@@ -47,6 +48,21 @@ FOLD = bytes.maketrans(
 )
 
 
+# Lengths in bytes of the beginnings; a beginning is marked by a hyphen, which no folded word holds.
+BEGINNINGS = (4, 5)
+
+
+def features(text: bytes) -> Counter:
+    """Words and beginnings of words with their counts."""
+    words = Counter(text.translate(FOLD).split())
+    found = Counter(words)
+    for n in BEGINNINGS:
+        for w, count in words.items():
+            if len(w) > n:
+                found[w[:n] + b"-"] += count
+    return found
+
+
 @dataclass
 class Model:
     words: dict[bytes, int]
@@ -58,9 +74,14 @@ class Model:
         return (1 / (1 + np.exp(self.thresholds[None, :] - logits[:, None]))).sum(axis=1)
 
     def logit(self, text: bytes) -> float:
-        known = self.words
-        hits = [k for w in text.translate(FOLD).split() if (k := known.get(w)) is not None]
-        return float(sum(self.weights[k] * (1 + np.log(n)) for k, n in Counter(hits).items()))
+        known, hits = self.words, Counter()
+        for w, n in Counter(text.translate(FOLD).split()).items():
+            if (k := known.get(w)) is not None:
+                hits[k] += n
+            for size in BEGINNINGS:
+                if len(w) > size and (k := known.get(w[:size] + b"-")) is not None:
+                    hits[k] += n
+        return float(sum(self.weights[k] * (1 + np.log(n)) for k, n in hits.items()))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
@@ -84,13 +105,12 @@ def _word_counts(sample: DataFrame) -> DataFrame:
     def task(batches):
         for batch in batches:
             for doc_id, text, toxic in zip(*[c.to_pylist() for c in batch.columns]):
-                words = text.translate(FOLD).split()
-                counts = Counter(words)
-                n = len(counts)
+                counts = features(text)
+                total, n = len(text.translate(FOLD).split()), len(counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([doc_id] * n, pa.int64()), pa.array([toxic] * n, pa.int32()), pa.array(list(counts), pa.binary()),
-                        pa.array(list(counts.values()), pa.int64()), pa.array([len(words)] * n, pa.int64()),
+                        pa.array(list(counts.values()), pa.int64()), pa.array([total] * n, pa.int64()),
                     ],
                     ["doc_id", "toxic", "word", "n", "n_words"],
                 )
