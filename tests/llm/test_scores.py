@@ -40,10 +40,9 @@ def test_held_out_documents_are_told_apart(spark):
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     model = toxicity.fit(docs, labels.where(~held_out))
     assert len(model.thresholds) == 2
-    told = toxicity.scored(docs, model).join(labels.where(held_out), "doc_id").select("toxic", F.lit(1)).count()
     pairs = toxicity.scored(docs, model).withColumnRenamed("toxic", "found").join(labels.where(held_out), "doc_id")
     counts = Counter((r.toxic, r.found) for r in pairs.collect())
-    assert told == sum(counts.values()) > 200
+    assert sum(counts.values()) > 200
     assert counts[0, True] <= 0.01 * (counts[0, True] + counts[0, False])
     assert counts[1, True] >= 0.8 * (counts[1, True] + counts[1, False])
 
