@@ -34,13 +34,13 @@ from sqlloom.functions.text import keyed_hash
 from sqlloom.llm.common import saved, text_bytes
 
 MAX_LABELLED = 20_000
-MAX_WORDS = 4096
+MAX_WORDS = 1024
 LEAST_ROWS = 3
 MARKER_ROWS = 5
 STRONG_SHARE = 0.02
 TOXIC_FROM = 0.5
 RIDGE = 1e-4
-STEPS = 400
+STEPS = 300
 SEED = 11
 # Words are what stands between blanks and ASCII punctuation, in lower case (A-Z only).
 FOLD = bytes.maketrans(
@@ -186,17 +186,18 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, graded: b
         .agg(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "n"))).alias("hits"))
         .toArrow()
     )
-    grades = np.array(per_row["toxic"].to_pylist())
-    hits = per_row["hits"].to_pylist()
+    grades = per_row["toxic"].to_numpy()
+    hits = per_row["hits"].combine_chunks()
+    lengths = np.diff(hits.offsets.to_numpy())
+    at = np.repeat(np.arange(len(lengths)), lengths)
+    k, n = (hits.flatten().field(c).to_numpy() for c in ("k", "n"))
     if not graded:
-        strong = np.array([sum(h["n"] for h in own if marker[h["k"]]) >= STRONG_SHARE * n for own, n in zip(hits, per_row["n_words"].to_pylist())])
-        grades = np.where(grades > 0, 1 + strong, 0)
+        share = np.bincount(at, n * marker[k], len(grades)) / np.maximum(per_row["n_words"].to_numpy(), 1)
+        grades = np.where(grades > 0, 1 + (share >= STRONG_SHARE), 0)
     _, grades = np.unique(grades, return_inverse=True)  # grades that the sample has, without gaps
-    entries = [(r, h["k"], 1 + np.log(h["n"])) for r, own in enumerate(hits) for h in own]
-    if not entries or grades.max() == 0:
+    if not len(k) or grades.max() == 0:
         return nothing
-    at, k, value = zip(*entries)
-    weights, thresholds = fit_ordinal(np.array(at), np.array(k), np.array(value), grades, len(words))
+    weights, thresholds = fit_ordinal(at, k, 1 + np.log(n), grades, len(words))
     return Model(words, weights, thresholds)
 
 
