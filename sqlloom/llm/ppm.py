@@ -1,16 +1,17 @@
 """Language-model scores by prediction by partial matching over bytes, with a word unigram beside it.
 
-The byte trie is pretrained: counts of every byte after its last three bytes, over all training
+The byte trie is pretrained: counts of every byte after its last five bytes, over all training
 texts, merged in Spark.  A byte is coded in the longest context that has seen it; a context that
-hasn't seen it codes an escape with chance u / (n + u) for u different bytes in n, and the next
-shorter context leaves out the bytes that the longer one has seen (symbol exclusion).  Because a
-pretrained trie doesn't change while it codes, the whole path of escapes for a byte after a
-context is one number, so the trie becomes two tables and a text is scored by two look-ups a
-byte.  Texts start after, and end with, the byte 255, which UTF-8 never holds.
+hasn't seen it codes an escape with chance u / 2n for u different bytes in n (each byte seen c times
+gets (2c - 1) / 2n), and the next shorter context leaves out the bytes that the longer one has
+seen (symbol exclusion).  Because a pretrained trie doesn't change while it codes, both the
+chance of a byte after a context and the cost of an escape are fixed numbers, which stand in hash
+tables by order; texts are scored many bytes at a time.  Texts start after, and end with, the
+byte 255, which UTF-8 never holds.
 
-Trie nodes for two-byte contexts are bounded by the alphabet (at most 257 cubed).  Three-byte contexts
-are kept up to ``MAX_CONTEXTS``, the most frequent first, ties by value; their shorter contexts
-stand in for the rest.  That bound makes the broadcast tables' size known.
+Trie nodes for contexts of up to two bytes are bounded by the alphabet.  Longer contexts are kept up to
+``MAX_CONTEXTS`` for each length, the most frequent first, ties by value; their shorter contexts stand
+in for the rest.  That bound makes the broadcast tables' size known.
 
 The unigram needs the training count of every word of every document.  Documents are
 dealt into blocks of about ``BLOCK_BYTES``; a block's distinct words go to the shuffle once, meet the
@@ -41,7 +42,10 @@ BLOCK_BYTES = 8 << 20
 FOLDS, HELD_FOLD = 5, 1
 EDGE = 255
 END_TOKEN = b"\n"  # no word holds a blank, so this can't be one
-MERGE_AT = 1 << 21
+MERGE_AT = 1 << 22
+ORDER = 5
+ALL_CONTEXTS = 2  # up to this length
+SCORED_AT_ONCE = 1 << 19
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -74,28 +78,40 @@ def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _padded(text: bytes) -> bytes:
+    return bytes((EDGE,) * ORDER) + text + bytes((EDGE,))
+
+
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Every byte from ``ORDER`` on with the bytes before it, the byte itself in the lowest 8 bits."""
+    n = len(data) - ORDER
+    keys = np.zeros(n, np.uint64)
+    for k in range(ORDER + 1):
+        keys = keys << np.uint64(8) | data[k : k + n]
+    return keys
+
+
 def gram_counts(blocks: DataFrame) -> DataFrame:
-    """(gram, n): how often a byte (lowest 8 bits) follows three bytes, over all training texts."""
+    """(gram, n): how often a byte (lowest 8 bits) follows the bytes before it, over all training texts."""
 
     def task(batches):
-        keys, counts = np.empty(0, np.uint32), np.empty(0, np.int64)
+        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         waiting, held = [], 0
 
         def fold():
-            data = np.frombuffer(b"".join(waiting), np.uint8).astype(np.uint32)
-            grams = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
+            grams = _grams(np.frombuffer(b"".join(waiting), np.uint8))
             # A gram that reaches over the end of a text has its end byte in the context.
-            starts = np.cumsum([0, *map(len, waiting)])
-            inside = np.ones(len(data), bool)
-            for k in range(3):
-                inside[np.minimum(starts[1:] - 1 - k, len(data) - 1)] = False
+            ends = np.cumsum([*map(len, waiting)])
+            inside = np.ones(ends[-1], bool)
+            for k in range(ORDER):
+                inside[ends - 1 - k] = False
             found = np.sort(grams[inside[: len(grams)]])
             first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
             return _merged(np.concatenate((keys, found[first])), np.concatenate((counts, np.diff(np.append(first, len(found))))))
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                waiting.append(bytes((EDGE,) * 3) + text + bytes((EDGE,)))
+                waiting.append(_padded(text))
                 held += len(waiting[-1])
                 if held > MERGE_AT:
                     keys, counts = fold()
@@ -104,81 +120,124 @@ def gram_counts(blocks: DataFrame) -> DataFrame:
             keys, counts = fold()
         for at in range(0, len(keys), 1 << 16):
             part = slice(at, at + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[part].astype(np.int64)), pa.array(counts[part])], ["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(counts[part])], ["gram", "n"])
 
     return blocks.where("not held_out").select("text").mapInArrow(task, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+class HashTable:
+    """Numbers by 48-bit keys: open addressing, half full at most, looked up many at a time."""
+
+    EMPTY = np.uint64(2**64 - 1)
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, self.EMPTY), np.zeros(1 << bits, np.float32)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = self.keys[at[left]] == self.EMPTY
+            slots, taker = np.unique(at[left[free]], return_index=True)
+            taker = left[free][taker]
+            self.keys[slots], self.values[slots] = keys[taker], values[taker]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = at[left] + 1 & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether a key is known, its number or 0)."""
+        at = self._slot(keys)
+        found = self.keys[at]
+        known = found == keys
+        values = np.where(known, self.values[at], np.float32(0))
+        left = np.flatnonzero(~known & (found != self.EMPTY))
+        while len(left):
+            at[left] = at[left] + 1 & self.mask
+            found = self.keys[at[left]]
+            hit = left[found == keys[left]]
+            known[hit], values[hit] = True, self.values[at[hit]]
+            left = left[(found != keys[left]) & (found != self.EMPTY)]
+        return known, values
+
+
 class ByteModel:
-    """log10 chance of every byte after its context, as two tables over the bytes met in training."""
-
-    def __init__(self, short: np.ndarray, short_n: np.ndarray, long: np.ndarray, long_n: np.ndarray):
-        """short: grams of three bytes with counts; long: grams of four bytes of the kept contexts."""
-        seen = np.unique(np.concatenate((short & 255, short >> 8 & 255, short >> 16 & 255, [EDGE]))).astype(np.int64)
-        self.size = a = len(seen) + 1  # the last symbol stands for every byte not seen
-        self.symbol = np.full(256, a - 1, np.int64)
-        self.symbol[seen] = np.arange(a - 1)
-        unseen = max(1, 256 - len(seen))
-        cells = self.symbol[short >> 16 & 255] * a * a + self.symbol[short >> 8 & 255] * a + self.symbol[short & 255]
-        counts2 = np.bincount(cells, short_n, a**3).reshape(a * a, a)
-        counts1 = counts2.reshape(a, a, a).sum(axis=0)
-        counts0 = counts1.sum(axis=0, keepdims=True)
-        base = np.full((1, a), 1 / 256)
-        base[0, -1] = unseen / 256
-        order0 = self._mixed(counts0, base, np.zeros(1, np.int64))
-        order1 = self._mixed(counts1, order0, np.zeros(a, np.int64))
-        self.order2 = self._mixed(counts2, order1, np.tile(np.arange(a), a))
-        contexts, row = np.unique(long >> 8, return_inverse=True)
-        counts3 = np.zeros((len(contexts), a))
-        counts3[row, self.symbol[long & 255]] = long_n
-        shorter = self.symbol[contexts >> 8 & 255] * a + self.symbol[contexts & 255]
-        self.order3 = self._mixed(counts3, self.order2, shorter)
-        self.context = np.full(a**3, -1, np.int32)
-        self.context[self.symbol[contexts >> 16 & 255] * a * a + shorter] = np.arange(len(contexts), dtype=np.int32)
-        for chances in (self.order2, self.order3):
-            chances[:, -1] /= unseen  # the symbol's share of each byte that it stands for
-        self.order2, self.order3 = (np.log10(t).astype(np.float32) for t in (self.order2, self.order3))
-
-    @staticmethod
-    def _mixed(counts, below, to):
-        """Chances after each context: its own share, or the escape times the chance one order down.
-
-        ``to`` is each context's shorter one.  Bytes that the context has seen are left out there, so
-        the chances of the others are raised to add up to one.
-        """
-        n, u = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-        out = np.empty(counts.shape, np.float64)
-        for at in range(0, len(counts), 4096):
-            c, low = counts[at : at + 4096], below[to[at : at + 4096]]
-            total, kinds = n[at : at + 4096], u[at : at + 4096]
-            left = np.where(c > 0, 0.0, low).sum(axis=1, keepdims=True)
-            escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
-            escape = np.where(left > 0, escape, 0.0)  # a context that has seen everything never escapes
-            own = c / np.maximum(total, 1) * (1 - escape)
-            out[at : at + 4096] = np.where(c > 0, own, low * escape / np.maximum(left, 1e-300))
-        return np.maximum(out, 1e-300)
-
-    def log10(self, text: bytes) -> float:
-        data = self.symbol[np.frombuffer(bytes((EDGE,) * 3) + text + bytes((EDGE,)), np.uint8)]
-        a, total = self.size, 0.0
-        for at in range(0, len(data) - 3, 1 << 18):
-            part = data[at : at + (1 << 18) + 3]
-            shorter = part[1:-2] * a + part[2:-1]
-            row = self.context[part[:-3] * a * a + shorter]
-            next_ = part[3:]
-            total += float(np.where(row >= 0, self.order3[row, next_], self.order2[shorter, next_]).sum(dtype=np.float64))
+    """log10 chance of every byte after its context: a table of chances and one of escapes for each order."""
+
+    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
+        """orders: for context lengths 0, 1, ... the grams of context and byte, and their counts."""
+        self.tables: list[tuple[HashTable, HashTable]] = []
+        for order, (grams, counts) in enumerate(orders):
+            grams = grams.astype(np.uint64)
+            contexts, row = np.unique(grams >> np.uint64(8), return_inverse=True)
+            n, u = np.bincount(row, counts, len(contexts)), np.bincount(row, minlength=len(contexts))
+            below = 10.0 ** self.chances(grams & np.uint64((1 << 8 * max(order, 1)) - 1))
+            # What the shorter context leaves for bytes that this one hasn't seen.
+            left = 1 - np.bincount(row, below, len(contexts))
+            escape = np.where(left > 1e-9, u / (2 * n), 0.0) if len(n) else n
+            own = (2 * counts - 1) / (2 * n[row] - np.where(escape > 0, 0, u)[row])
+            cost = np.log10(np.where(escape > 0, escape, 1e-300) / np.maximum(left, 1e-9))
+            self.tables.append((HashTable(grams, np.log10(own)), HashTable(contexts, cost)))
+
+    def chances(self, keys: np.ndarray) -> np.ndarray:
+        """log10 chance of the lowest byte of each key after the bytes above it, as far as orders reach."""
+        total = np.zeros(len(keys))
+        left = np.arange(len(keys))
+        for order in range(len(self.tables) - 1, -1, -1):
+            grams, escapes = self.tables[order]
+            own = keys[left] & np.uint64((1 << 8 * (order + 1)) - 1)
+            known, value = grams.get(own)
+            total[left] += value
+            left, own = left[~known], own[~known]
+            if not len(left):
+                return total
+            total[left] += escapes.get(own >> np.uint64(8))[1]
+        total[left] += math.log10(1 / 256)
         return total
 
+    def log10(self, texts: list[bytes]) -> np.ndarray:
+        """log10 chance of each text with its end, scored in pieces of bounded size."""
+        sums, waiting, numbers, held = np.zeros(len(texts)), [], [], 0
+
+        def score():
+            data = np.frombuffer(b"".join(waiting), np.uint8)
+            sizes = np.array([*map(len, waiting)])
+            values = self.chances(_grams(data))
+            # A piece's first ORDER bytes are context only.
+            starts = np.cumsum(sizes) - sizes
+            running = np.concatenate(([0.0], np.cumsum(values)))
+            np.add.at(sums, numbers, running[starts + sizes - ORDER] - running[starts])
+
+        for number, text in enumerate(texts):
+            text = _padded(text)
+            for at in range(0, len(text) - ORDER, SCORED_AT_ONCE):
+                waiting.append(text[at : at + SCORED_AT_ONCE + ORDER])
+                numbers.append(number)
+                held += len(waiting[-1])
+                if held > SCORED_AT_ONCE:
+                    score()
+                    waiting, numbers, held = [], [], 0
+        if waiting:
+            score()
+        return sums
+
 
 def byte_model(blocks: DataFrame, max_contexts: int = MAX_CONTEXTS) -> ByteModel:
     """Train on all texts that aren't held out."""
     grams = saved(gram_counts(blocks), "ppm-grams")
-    context = F.shiftright("gram", 8)
-    common = grams.groupBy(context.alias("context")).agg(F.sum("n").alias("uses")).orderBy(F.desc("uses"), "context").limit(max_contexts)
-    long = grams.join(F.broadcast(common.select("context")), context == F.col("context"), "left_semi").toArrow()
-    short = grams.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 24) - 1)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
-    columns = [t[c].to_numpy() for t in (short, long) for c in ("gram", "n")]
-    return ByteModel(*columns)
+    orders = []
+    for order in range(ORDER + 1):
+        own = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("gram")
+        counted = grams.groupBy(own).agg(F.sum("n").alias("n"))
+        if order > ALL_CONTEXTS:
+            context = F.shiftright("gram", 8)
+            common = counted.groupBy(context.alias("context")).agg(F.sum("n").alias("uses")).orderBy(F.desc("uses"), "context").limit(max_contexts)
+            # At most ``max_contexts`` numbers.
+            counted = counted.join(F.broadcast(common.select("context")), context == F.col("context"), "left_semi")
+        table = counted.toArrow()
+        orders.append((table["gram"].to_numpy(), table["n"].to_numpy().astype(float)))
+    return ByteModel(orders)
 
 
 def _hash(word: bytes) -> int:
@@ -245,20 +304,20 @@ def scores(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
                 if kind[a] == 0:
                     known.update(zip(batch.column(2)[a:b].to_pylist(), batch.column(3)[a:b].to_pylist()))
                     continue
-                rows = []
-                for text in batch.column(6)[a:b].to_pylist():
+                rows, texts = [], batch.column(6)[a:b].to_pylist()
+                for text in texts:
                     counts = Counter(text.split())
                     counts[END_TOKEN] = 1
                     totals = [known[_hash(w)] for w in counts]
                     uses = [*counts.values()]
                     n = sum(uses)
                     base = sum(k * math.log10(c + 0.5) for k, c in zip(uses, totals)) - n * scale
-                    rows.append((n, sum(k for k, c in zip(uses, totals) if c), base, model.value.log10(text)))
-                n, found, base, score = zip(*rows)
+                    rows.append((n, sum(k for k, c in zip(uses, totals) if c), base))
+                n, found, base = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(4)[a:b], batch.column(5)[a:b], pa.array(n, pa.int64()), pa.array(found, pa.int64()),
-                        pa.array([train] * (b - a), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
+                        pa.array([train] * (b - a), pa.int64()), pa.array(base, pa.float64()), pa.array(model.value.log10(texts)),
                     ],
                     names,
                 )
