@@ -206,7 +206,7 @@ def test_automaton_names_the_first_document():
 
 
 def test_empty_tables(docs_of):
-    none = docs_of([("x", "y")]).where("false")
+    none = docs_of([(1, "y")]).where("false")
     assert simhash.near_groups(none).count() == 0 and simhash.one_per_group(none).count() == 0
     assert lines.dedup_lines(none).count() == 0
     assert exact.exact_dedup(none).count() == 0

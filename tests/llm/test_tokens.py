@@ -225,7 +225,7 @@ def test_mix_of_repeated_rows(docs_of, corpus):
 
 
 def test_empty_tables(spark, docs_of, tmp_path):
-    none = docs_of([("x", "y")]).where("false")
+    none = docs_of([(1, "y")]).where("false")
     assert packing.pack(none, tokenizer_path(BYTE_TOKENIZER)).count() == 0
     assert records.tokenized(none, tokenizer_path(WORD_TOKENIZER), str(tmp_path / "none")).count() == 0
     assert mixing.plan(none).count() == 0 and mixing.mix(none).count() == 0
