@@ -6,10 +6,10 @@ from running sums over the sources ordered by size / weight, which gives the sam
 sharing the excess again and again.  A target is then met by whole repetitions of every
 document plus a seeded part: documents in the order of a keyed hash as long as their words fit.
 
-The hash order is dealt over ``BINS`` bins for each source, so a source with a third of all rows
+The hash order is dealt over 16 ** ``BIN_DIGITS`` bins for each source, so a source with a third of all rows
 is ranked in thousands of groups, and the word sums combine before the shuffle.
 
-Defined cases: a null text has size 0 and takes 0; the null source is a source of its own and
+Defined cases: a null text has size 0, takes 0 words and is repeated as often as its whole source; the null source is a source of its own and
 comes last; sources without words have target 0; an empty table gives an empty result; equal rows
 share a hash, any order among them gives the same sums; other columns are kept by ``mix`` and not
 read by ``plan``.
@@ -75,7 +75,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int
     ranked = rows.withColumn("in_bin", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = ranked.join(offers, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bin") == F.col("_bin"))).drop("_source", "_bin")
     rest = F.col("target") - F.col("whole") * F.col("source_size")
-    drawn = F.col("words_before") + F.col("in_bin") + F.col("size") / 2 <= rest
+    drawn = (F.col("size") > 0) & (F.col("words_before") + F.col("in_bin") + F.col("size") / 2 <= rest)
     return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") + drawn.cast("bigint")).alias("epochs"), *keep)
 
 
