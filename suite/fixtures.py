@@ -49,10 +49,10 @@ select o_orderkey as rec_id,
  else 'CREATE TABLE t (id INT, x DECIMAL(5,2)); CREATE TABLE u (id INT, '||lower(o_orderpriority)||'_v TEXT, PRIMARY KEY (id));' end as schema
 from orders""",
     "fx_questions": """
-select (conv_id*1000+turn)*2 as row_idx, 'schema_'||cast(conv_id%50 as varchar(20))||'.sql' as schema_file,
+select (conv_id*1000+turn)*2 as row_idx, 'schema_'||cast(cast(floor(conv_id/4) as bigint) as varchar(20))||'.sql' as schema_file,
  replace(text,chr(10),' ') as question from conversations where role='user'
 union all
-select (conv_id*1000+turn)*2+1, 'schema_'||cast(conv_id%50 as varchar(20))||'.sql',
+select (conv_id*1000+turn)*2+1, 'schema_'||cast(cast(floor(conv_id/4) as bigint) as varchar(20))||'.sql',
  replace(text,chr(10),' ') from conversations where role='user' and conv_id%7=0""",
     "fx_examples": """
 select replace(text,chr(10),' ') as nl_prompt,
