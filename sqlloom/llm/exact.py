@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from sqlloom.llm.common import ascii_lower, saved
 from sqlloom.session import path_exists, run_folder
 
+# Buckets of a new index: at least so many, and more as its first batch is larger.
 BUCKETS = 64
+BUCKET_ROWS = 2_000_000
 
 
 def digest(text) -> Column:
@@ -92,6 +94,6 @@ def decisions(rows: DataFrame, index: DigestIndex) -> DataFrame:
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """Digest docs, add them to the index (a new one if none is given) and decide on each row."""
     rows = digests(docs)
-    index = index or DigestIndex(docs.sparkSession)
+    index = index or DigestIndex(docs.sparkSession, buckets=max(BUCKETS, -(-rows.count() // BUCKET_ROWS)))
     index.add(rows)
     return decisions(rows, index)
