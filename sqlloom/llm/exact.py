@@ -1,6 +1,6 @@
 """Exact dedup against a persistent digest index, bucketed and sorted by digest.
 
-The index is a table of (digest, doc_id, n, batch) in ``buckets`` buckets.  A batch of documents is
+The index is a table of (digest, doc_id, n, known) in ``buckets`` buckets.  A batch of documents is
 digested, grouped by digest (sums and maxima combine before the shuffle, so a text that a third
 of all rows share costs one row a task), and dealt once into the index's own buckets; a
 sort-merge anti-join drops what the index holds already, and the rest is appended.  The
@@ -9,8 +9,8 @@ with ``known`` set, so that nothing in the index is rewritten.
 
 Within a batch the row with the largest doc_id stays; across batches what the index holds stays.
 
-Defined cases: a null text counts as empty; a null doc_id loses against any other and a group of
-such rows keeps a null id, of which one row is kept; repeated rows with the same doc_id are all
+Defined cases: a null text counts as empty; a null doc_id loses against any other, and a group of
+such rows has a null keep_id and no row marked as kept; repeated rows with the same doc_id are all
 marked alike; an empty table leaves the index as it is; other columns are not read.
 """
 
