@@ -2,7 +2,7 @@
 
 The library spends about ten microseconds on every word.  Both supported layouts cut a text before
 a blank or line feed that follows another character, whatever comes next, so a text is split there
-and each worker remembers the ids of the pieces it has seen, at most two generations of ``MEMO``.  A new piece
+and each worker remembers the ids of the pieces it has seen, at most two generations of ``memo``.  A new piece
 is cut by the layout's own pattern and given to the tokenizer's model.  Texts and pieces
 outside the cases for which this is exact (other white space, runs of blanks, control
 characters, letters beyond U+024F) go through the tokenizer as they are, and so does every
@@ -37,7 +37,8 @@ def byte_letters() -> str:
 class Encoder:
     """Texts to ids, as little-endian numbers of ``dtype``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
+        self.memo = memo
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
@@ -81,7 +82,7 @@ class Encoder:
                 else:
                     written = part.encode().decode("latin-1").translate(self.letters)
                 known = np.array([t.id for t in self.tokenizer.model.tokenize(written)], self.dtype).tobytes()
-            if len(self.parts) >= MEMO:
+            if len(self.parts) >= self.memo:
                 self.old_parts, self.parts = self.parts, {}
             self.parts[part] = known
         return known
@@ -118,7 +119,7 @@ class Encoder:
             head = b""
         found = [*map(self.pieces.get, pieces)]
         if None in found:
-            if len(self.pieces) + len(pieces) > MEMO:
+            if len(self.pieces) + len(pieces) > self.memo:
                 self.old_pieces, self.pieces = self.pieces, {}
             known, before = self.pieces, self.old_pieces
             for n, ids in enumerate(found):
@@ -136,9 +137,9 @@ class Encoder:
         return head + b"".join(found)
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, memo: int = MEMO) -> Encoder:
     """The worker's encoder for this tokenizer file, with what it has seen so far."""
     held = task_cache()
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+    if (path, memo) not in held:
+        held[path, memo] = Encoder(path, memo)
+    return held[path, memo]

@@ -29,6 +29,8 @@ from sqlloom.llm.encoding import encoder
 
 CAPACITY = 2048
 END_ID = 0
+# Workers keep what they remember while other stages of a pipeline run beside them, so it is less than for records.
+MEMO = 200_000
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids binary, ids_crc32 bigint, part int, nth bigint"
 
 
@@ -42,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int
     """Pieces of every document with their ids (32-bit little-endian), numbered by part and length."""
 
     def task(batches):
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, MEMO)
         part, seen = TaskContext.get().partitionId(), Counter()
         end = np.array([end_id], "<u4")
         for batch in batches:
