@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions.text import col
-from sqlloom.session import run_folder, written
+from sqlloom.session import run_folder
 
 # A word is a run of other characters than blank, tab and the four line and page breaks.
 # bytes.split() without arguments splits at exactly these six, bytes.lower() changes A-Z only.
@@ -50,10 +50,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     Spark deletes shuffle files once the driver has collected what refers to them; asking for that
     after each written step keeps the disk at the needs of one step.
     """
-    table = written(df, run_folder(df.sparkSession, name))
+    spark, path = df.sparkSession, run_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return table
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def task_cache() -> dict:

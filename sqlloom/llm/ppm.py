@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from sqlloom.llm.common import saved, text_bytes
 
-MAX_CONTEXTS = 1 << 17
+MAX_CONTEXTS = 1 << 16
 BLOCK_BYTES = 8 << 20
 FOLDS, HELD_FOLD = 5, 1
 EDGE = 255
