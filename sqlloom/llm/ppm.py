@@ -9,9 +9,10 @@ chance of a byte after a context and the cost of an escape are fixed numbers, wh
 tables by order; texts are scored many bytes at a time.  Texts start after, and end with, the
 byte 255, which UTF-8 never holds.
 
-Trie nodes for contexts of up to two bytes are bounded by the alphabet.  Longer contexts are kept up to
-``MAX_CONTEXTS`` for each length, the most frequent first, ties by value; their shorter contexts stand
-in for the rest.  That bound makes the broadcast tables' size known.
+Trie nodes for contexts of up to two bytes are bounded by the alphabet and are broadcast.  Longer contexts
+grow with the corpus and stay in Spark: a block's distinct grams go to the shuffle once, meet the training
+grams with the same three bytes of context there, which hold all that longer contexts need, and come back to
+the block with their chances.  No context is left out.
 
 The unigram needs the training count of every word of every document.  Documents are
 dealt into blocks of about ``BLOCK_BYTES``; a block's distinct words go to the shuffle once, meet the
@@ -37,15 +38,15 @@ from pyspark.sql import functions as F
 
 from sqlloom.llm.common import saved, text_bytes
 
-MAX_CONTEXTS = 1 << 16
 BLOCK_BYTES = 8 << 20
 FOLDS, HELD_FOLD = 5, 1
 EDGE = 255
 END_TOKEN = b"\n"  # no word holds a blank, so this can't be one
 MERGE_AT = 1 << 22
 ORDER = 5
-ALL_CONTEXTS = 2  # up to this length
+BROADCAST_ORDER = 2  # up to this context length
 SCORED_AT_ONCE = 1 << 19
+GRAMS_AT_ONCE = 1 << 19
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -91,6 +92,19 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return keys
 
 
+def _distinct_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different grams of padded texts, and their counts."""
+    grams = _grams(np.frombuffer(b"".join(texts), np.uint8))
+    # A gram that reaches over the end of a text has its end byte in the context.
+    ends = np.cumsum([*map(len, texts)])
+    inside = np.ones(ends[-1], bool)
+    for k in range(ORDER):
+        inside[ends - 1 - k] = False
+    found = np.sort(grams[inside[: len(grams)]])
+    first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+    return found[first], np.diff(np.append(first, len(found)))
+
+
 def gram_counts(blocks: DataFrame) -> DataFrame:
     """(gram, n): how often a byte (lowest 8 bits) follows the bytes before it, over all training texts."""
 
@@ -99,15 +113,8 @@ def gram_counts(blocks: DataFrame) -> DataFrame:
         waiting, held = [], 0
 
         def fold():
-            grams = _grams(np.frombuffer(b"".join(waiting), np.uint8))
-            # A gram that reaches over the end of a text has its end byte in the context.
-            ends = np.cumsum([*map(len, waiting)])
-            inside = np.ones(ends[-1], bool)
-            for k in range(ORDER):
-                inside[ends - 1 - k] = False
-            found = np.sort(grams[inside[: len(grams)]])
-            first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-            return _merged(np.concatenate((keys, found[first])), np.concatenate((counts, np.diff(np.append(first, len(found))))))
+            found, uses = _distinct_grams(waiting)
+            return _merged(np.concatenate((keys, found)), np.concatenate((counts, uses)))
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -125,6 +132,39 @@ def gram_counts(blocks: DataFrame) -> DataFrame:
     return blocks.where("not held_out").select("text").mapInArrow(task, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def gram_rows(blocks: DataFrame) -> DataFrame:
+    """(block, gram): each block's distinct grams, of all its texts."""
+
+    def task(batches):
+        grams, waiting, held, now = np.empty(0, np.uint64), [], 0, None
+
+        def fold():
+            return np.union1d(grams, _distinct_grams(waiting)[0])
+
+        def rows():
+            for at in range(0, len(grams), 1 << 16):
+                part = grams[at : at + (1 << 16)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now, np.int64)), pa.array(part)], ["block", "gram"])
+
+        for batch in batches:
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if block != now:
+                    if waiting:
+                        grams = fold()
+                    yield from rows()
+                    grams, waiting, held, now = grams[:0], [], 0, block
+                waiting.append(_padded(text))
+                held += len(waiting[-1])
+                if held > MERGE_AT:
+                    grams = fold()
+                    waiting, held = [], 0
+        if waiting:
+            grams = fold()
+        yield from rows()
+
+    return blocks.select("block", "text").mapInArrow(task, "block bigint, gram bigint")
+
+
 class HashTable:
     """Numbers by 48-bit keys: open addressing, half full at most, looked up many at a time."""
 
@@ -165,10 +205,10 @@ class HashTable:
 class ByteModel:
     """log10 chance of every byte after its context: a table of chances and one of escapes for each order."""
 
-    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
-        """orders: for context lengths 0, 1, ... the grams of context and byte, and their counts."""
-        self.tables: list[tuple[HashTable, HashTable]] = []
-        for order, (grams, counts) in enumerate(orders):
+    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]], shorter: ByteModel | None = None):
+        """orders: for context lengths 0, 1, ... the grams of context and byte, and their counts; those of a shorter model come first."""
+        self.tables: list[tuple[HashTable, HashTable]] = list(shorter.tables) if shorter else []
+        for order, (grams, counts) in enumerate(orders, len(self.tables)):
             grams = grams.astype(np.uint64)
             contexts, row = np.unique(grams >> np.uint64(8), return_inverse=True)
             n, u = np.bincount(row, counts, len(contexts)), np.bincount(row, minlength=len(contexts))
@@ -223,14 +263,26 @@ class ByteModel:
         return sums
 
 
-def byte_model(blocks: DataFrame, max_contexts: int = MAX_CONTEXTS) -> ByteModel:
-    """Train on all texts that aren't held out."""
-    grams = saved(gram_counts(blocks), "ppm-grams")
+class BlockModel(ByteModel):
+    """The chances of a block's own grams, as ``gram_chances`` has sent them."""
+
+    def __init__(self, parts: list[bytes]):
+        sizes = [len(p) // 12 for p in parts]
+        keys = [np.frombuffer(p, np.uint64, n) for p, n in zip(parts, sizes)]
+        values = [np.frombuffer(p, np.float32, n, 8 * n) for p, n in zip(parts, sizes)]
+        self.table = HashTable(np.concatenate([np.empty(0, np.uint64), *keys]), np.concatenate([np.empty(0, np.float32), *values]))
+
+    def chances(self, keys: np.ndarray) -> np.ndarray:
+        """As in ByteModel; 0 for a gram that no text of the block has."""
+        return self.table.get(keys)[1].astype(float)
+
+
+def _collected_model(grams: DataFrame, longest: int, max_contexts: int | None = None) -> ByteModel:
     orders = []
-    for order in range(ORDER + 1):
+    for order in range(longest + 1):
         own = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("gram")
         counted = grams.groupBy(own).agg(F.sum("n").alias("n"))
-        if order > ALL_CONTEXTS:
+        if max_contexts is not None and order > BROADCAST_ORDER:
             context = F.shiftright("gram", 8)
             common = counted.groupBy(context.alias("context")).agg(F.sum("n").alias("uses")).orderBy(F.desc("uses"), "context").limit(max_contexts)
             # At most ``max_contexts`` numbers.
@@ -240,6 +292,61 @@ def byte_model(blocks: DataFrame, max_contexts: int = MAX_CONTEXTS) -> ByteModel
     return ByteModel(orders)
 
 
+def byte_model(blocks: DataFrame, max_contexts: int | None = None) -> ByteModel:
+    """All orders trained on the texts that aren't held out, in the driver's memory: for small tables, ``scores`` doesn't use it.
+
+    ``max_contexts`` keeps the most frequent contexts of each length above ``BROADCAST_ORDER`` only.
+    """
+    return _collected_model(saved(gram_counts(blocks), "ppm-grams"), ORDER, max_contexts)
+
+
+def gram_chances(blocks: DataFrame) -> DataFrame:
+    """(block, chances): log10 chances of each block's grams after all training texts, packed for ``BlockModel``; several rows a block."""
+    grams = saved(gram_counts(blocks), "ppm-grams")
+    shorter = blocks.sparkSession.sparkContext.broadcast(_collected_model(grams, BROADCAST_ORDER))
+    # Training grams have no block; they come before the grams that ask for them.
+    rows = grams.select(F.lit(-1).cast("bigint").alias("block"), "gram", "n").unionByName(gram_rows(blocks).withColumn("n", F.lit(0).cast("bigint")))
+    context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * (BROADCAST_ORDER + 1)) - 1))
+
+    def task(batches):
+        waiting, held = [], 0
+        known, uses = np.empty(0, np.uint64), np.empty(0, np.int64)  # of the context that may go on
+
+        def settled():
+            nonlocal known, uses
+            block, gram, n = (np.concatenate(x) for x in zip(*waiting))
+            training, gram = block < 0, gram.view(np.uint64)
+            known, uses = np.concatenate((known, gram[training])), np.concatenate((uses, n[training]))
+            asked, block = gram[~training], block[~training]
+            if len(asked):
+                orders = []
+                for order in range(BROADCAST_ORDER + 1, ORDER + 1):
+                    keys, counts = _merged(known & np.uint64((1 << 8 * (order + 1)) - 1), uses)
+                    orders.append((keys, counts.astype(float)))
+                order = np.argsort(block, kind="stable")
+                asked, block = asked[order], block[order]
+                values = ByteModel(orders, shorter.value).chances(asked).astype(np.float32)
+                cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+                parts = [asked[a:b].tobytes() + values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]]), pa.array(parts, pa.binary())], ["block", "chances"])
+            mask = np.uint64((1 << 8 * (BROADCAST_ORDER + 1)) - 1)
+            last = known >> np.uint64(8) & mask == gram[-1] >> np.uint64(8) & mask
+            known, uses = known[last], uses[last]
+
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append([c.to_numpy() for c in batch.columns])
+                held += batch.num_rows
+            if held > GRAMS_AT_ONCE:
+                yield from settled()
+                waiting, held = [], 0
+        if waiting:
+            yield from settled()
+
+    placed = rows.repartition(context).sortWithinPartitions(context, F.col("block") >= 0)
+    return placed.mapInArrow(task, "block bigint, chances binary")
+
+
 def _hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
@@ -276,23 +383,25 @@ def word_rows(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", "held_out", "text").mapInArrow(task, "block bigint, word bigint, n bigint")
 
 
-def scores(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
+def scores(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
-    spark = docs.sparkSession
     blocks = blocks_of(docs)
-    model = spark.sparkContext.broadcast(byte_model(blocks, max_contexts))
+    chances = saved(gram_chances(blocks), "ppm-chances")
     # A word has at most a row or two for each block here, so its group stays small.
     everywhere = F.sum("n").over(Window.partitionBy("word"))
     words = saved(word_rows(blocks).withColumn("total", everywhere).select("block", "word", "n", "total"), "ppm-words")
     train = words.agg(F.sum("n")).first()[0] or 0
     seen = words.where("total > 0").select("word").distinct().count()
     scale = math.log10(train + 0.5 * (seen + 1))
-    mixed = words.select("block", F.lit(0).alias("kind"), "word", "total", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("binary").alias("text")).unionByName(
-        blocks.select("block", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("word"), F.lit(None).cast("bigint").alias("total"), "doc_id", "held_out", "text")
-    )
+    empty = {"word": "bigint", "total": "bigint", "doc_id": "bigint", "held_out": "boolean", "text": "binary"}
+
+    def of_kind(kind, rows, **own):
+        return rows.select("block", F.lit(kind).alias("kind"), *[F.col(own.get(c, c)).alias(c) if own.get(c, c) in rows.columns else F.lit(None).cast(t).alias(c) for c, t in empty.items()])
+
+    mixed = of_kind(0, words).unionByName(of_kind(1, chances, text="chances")).unionByName(of_kind(2, blocks))
 
     def task(batches):
-        known, now = {}, None
+        known, parts, model, now = {}, [], None, None
         for batch in batches:
             block, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), len(block)]
@@ -300,10 +409,15 @@ def scores(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
                 if a == b:
                     continue
                 if block[a] != now:
-                    known, now = {}, block[a]
+                    known, parts, model, now = {}, [], None, block[a]
                 if kind[a] == 0:
                     known.update(zip(batch.column(2)[a:b].to_pylist(), batch.column(3)[a:b].to_pylist()))
                     continue
+                if kind[a] == 1:
+                    parts += batch.column(6)[a:b].to_pylist()
+                    continue
+                if model is None:
+                    model, parts = BlockModel(parts), []
                 rows, texts = [], batch.column(6)[a:b].to_pylist()
                 for text in texts:
                     counts = Counter(text.split())
@@ -317,7 +431,7 @@ def scores(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(4)[a:b], batch.column(5)[a:b], pa.array(n, pa.int64()), pa.array(found, pa.int64()),
-                        pa.array([train] * (b - a), pa.int64()), pa.array(base, pa.float64()), pa.array(model.value.log10(texts)),
+                        pa.array([train] * (b - a), pa.int64()), pa.array(base, pa.float64()), pa.array(model.log10(texts)),
                     ],
                     names,
                 )

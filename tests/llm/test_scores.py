@@ -187,6 +187,27 @@ def test_grams_of_all_training_texts(docs_of, corpus):
     assert [(e.keys != e.EMPTY).sum() for _, e in few.tables[3:]] == [5, 5, 5]
 
 
+@pytest.mark.parametrize("at_once", [ppm.GRAMS_AT_ONCE, 50])
+def test_scores_hold_all_contexts(docs_of, at_once, monkeypatch):
+    monkeypatch.setattr(ppm, "GRAMS_AT_ONCE", at_once)
+    monkeypatch.setattr(ppm, "BLOCK_BYTES", 20_000)
+    rng = np.random.default_rng(8)
+    count = 170 if at_once > 50 else 20
+    texts = ["".join(map(chr, rng.integers(97, 123, 600))) for _ in range(count)] + ["", "abc abc"]
+    docs = docs_of(texts)
+    grams = {r.gram: r.n for r in ppm.gram_counts(ppm.blocks_of(docs)).collect()}
+    assert at_once == 50 or len({g >> 8 for g in grams}) > 1 << 16
+    orders = []
+    for order in range(ppm.ORDER + 1):
+        own = Counter()
+        for g, n in grams.items():
+            own[g & (1 << 8 * (order + 1)) - 1] += n
+        orders.append((np.array(list(own)), np.array(list(own.values()), float)))
+    expected = ppm.ByteModel(orders).log10([t.encode() for t in texts])
+    got = {r.doc_id: r.score for r in ppm.scores(docs).collect()}
+    assert [got[n] for n in range(len(texts))] == pytest.approx(expected.tolist(), rel=1e-5)
+
+
 def test_scores_of_real_texts(spark):
     # On a thousand documents the unigram is still ahead.
     rows = ppm.scores(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").collect()
