@@ -33,6 +33,7 @@ def infer(
     options: dict | None = None,
     partitions: int | None = None,
     key: str | None = None,
+    told: Sequence[str] = (),
 ) -> DataFrame:
     """Add (response, error).
 
@@ -40,6 +41,7 @@ def infer(
     and the error text.  With a ``key`` the prompts are first spread over ``partitions``
     tasks by that key, which is repeatable when a task is run again; the number is fixed
     because prompts are short and answers are not, so sizes say nothing about the work.
+    With ``told`` the model also finds these columns' values, a list for each, under ``options["rows"]``.
     Write the result before reading it twice, or the model is called twice.
     """
     if key:
@@ -56,11 +58,13 @@ def infer(
         model = make_model()
         for batch in batches:
             prompts = batch.column(prompt).to_pylist()
+            values = {c: batch.column(c).to_pylist() for c in told}
             answers, errors = [], []
             for start in range(0, len(prompts), batch_size):
                 part = prompts[start : start + batch_size]
+                rows = {"rows": {c: v[start : start + batch_size] for c, v in values.items()}} if told else {}
                 try:
-                    texts = [_one_text(a) for a in model(part, options)]
+                    texts = [_one_text(a) for a in model(part, {**options, **rows})]
                     if len(texts) != len(part):
                         raise ValueError(f"{len(texts)} answers to {len(part)} prompts")
                     error = None
@@ -91,7 +95,7 @@ def stored_answers(spark: SparkSession, folder: str) -> DataFrame | None:
 
 def answered(
     asked: DataFrame, make_model: Callable[[], Model], keys: Sequence[str], folder: str, batch_size: int = 32,
-    options: dict | None = None, partitions: int | None = None, slices: int = 1,
+    options: dict | None = None, partitions: int | None = None, slices: int = 1, told: Sequence[str] = (),
 ) -> DataFrame:
     """The rows of ``asked`` without ``prompt``, with (prompt_hash, response, error).
 
@@ -110,6 +114,6 @@ def answered(
             TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-part.count() // PROMPTS_PER_TASK)
         )
         spread = part.repartition(tasks, *keys)
-        infer(spread, make_model, batch_size=batch_size, options=options).write.parquet(f"{folder}/batch-{uuid.uuid4().hex}")
+        infer(spread, make_model, batch_size=batch_size, options=options, told=told).write.parquet(f"{folder}/batch-{uuid.uuid4().hex}")
     everything = stored_answers(spark, folder)
     return everything if before is None else everything.join(marked.select(same), same, "left_semi")

@@ -51,13 +51,14 @@ def gated_candidates(extracted: DataFrame, items: DataFrame, schemas: DataFrame,
 def make_sql(
     items: DataFrame, schemas: DataFrame, make_model, candidates_per_item: int = 2, batch_size: int = 16,
     generate_options: dict | None = None, vote_options: dict | None = None, make_judge=None, partitions: int | None = None,
-    folder: str | None = None, slices: int = 1, check=None,
+    folder: str | None = None, slices: int = 1, check=None, tell_rounds: bool = False,
 ) -> DataFrame:
     """Triplets (item_id, prompt, sql_statement, schema_file, cmd_type).
 
     All candidate rounds are one model pass over items times rounds; the judge is a
     second pass.  Answers are committed to ``folder`` in slices; given the folder of an earlier
-    run, the model is asked for what is missing there.
+    run, the model is asked for what is missing there.  With ``tell_rounds`` the generating model
+    finds each prompt's round in ``options["rows"]["round_no"]``.
     """
     spark = items.sparkSession
     rounds = max(1, candidates_per_item)
@@ -71,7 +72,8 @@ def make_sql(
     )
     asked = written(asked, f"{steps}/asked")
     answers = answered(
-        asked, make_model, ["item_id", "round_no"], f"{folder}/answers", batch_size, generate_options, partitions, slices
+        asked, make_model, ["item_id", "round_no"], f"{folder}/answers", batch_size, generate_options, partitions, slices,
+        told=["round_no"] if tell_rounds else [],
     )
     responses = answers.select("item_id", "round_no", F.col("response").alias("raw"))
     extracted = written(C.extracted_candidates(responses), f"{steps}/extracted")

@@ -112,12 +112,9 @@ def _sql_writer():
         return f"```sql\nSELECT id FROM {name.group(1)}{tail}\n```" if name else "I cannot tell"
 
     def model(prompts, options):
-        # Both candidates of an item have the same prompt; their turn in a batch makes them differ.
-        turns, out = {}, []
-        for p in prompts:
-            turns[p] = turns.get(p, -1) + 1
-            out.append(one(p, turns[p]))
-        return out
+        # Both candidates of an item have the same prompt; their round makes them differ.
+        rounds = options["rows"]["round_no"] if "rows" in options else [0] * len(prompts)
+        return [one(p, r) for p, r in zip(prompts, rounds)]
 
     return model
 
@@ -130,8 +127,7 @@ SELECT i.item_id, trim(i.question) AS prompt, CASE WHEN t IS NULL THEN 'SELECT 1
 def make_sql(fx):
     schemas = assembled(fx).selectExpr("'schema_' || schema_id || '.sql' AS schema_file", "schema_sql")
     items = first_questions(fx.fx_questions).withColumnRenamed("row_idx", "item_id")
-    # One task per item key keeps both rounds of an item in one batch of the stand-in.
-    made = S.make_sql(items, schemas, _sql_writer, candidates_per_item=2, batch_size=100_000, partitions=1)
+    made = S.make_sql(items, schemas, _sql_writer, candidates_per_item=2, tell_rounds=True)
     return made.select("item_id", "prompt", "sql_statement", "cmd_type")
 
 

@@ -21,6 +21,17 @@ def test_query(spark, con, name):
     assert SIZES[name] > 0
 
 
+def test_sql_candidates_apart_from_each_other(spark, con):
+    """Each prompt in a batch of its own: the stand-in can't see an item's other candidate."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        assert difference(spark, "make_sql", SF_DIR, con) is None
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
 
