@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sqlloom.llm import exact, lines, mixing, packing, ppm, quality, records, simhash, substrings, toxicity
+from sqlloom.llm import exact, jaccard, lines, mixing, packing, ppm, quality, records, simhash, spelling, substrings, toxicity, vectorcodes
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -75,10 +75,27 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.scores(_documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vectorcodes.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return codes.select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", F.lit(books.sha256() if books else None).alias("codebooks_sha256")
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_groups(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_records, op3_lines, op4_toxicity, op5_exact, op6_substrings, op7_packing, op8_mixing, op9_quality, op10_ppm,
+        op11_vector_codes, op12_spelling, op13_jaccard,
     )
 }
 
@@ -86,6 +103,84 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL_BLANKS = "' '||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 SQL_WORD = r"[^\x20\x09-\x0D]+"
 
+
+
+def _codebook_sql() -> str:
+    """All rounds of training, one after the other, and the last assignment."""
+
+    def nearest(n):
+        product = "list_inner_product"
+        return f"""n{n} AS MATERIALIZED (SELECT a.vec_id, a.label, a.p, any_value(a.x) AS x,
+ min({{'d': {product}(a.x, a.x) - 2 * {product}(a.x, b.x) + {product}(b.x, b.x), 'entry': b.entry}}) AS best
+ FROM parts a JOIN b{n} b USING (p) GROUP BY ALL)"""
+
+    rounds = ",\n".join(
+        f"""{nearest(n)},
+m{n} AS (SELECT p, entry, list(v ORDER BY i) AS x FROM (SELECT p, best.entry AS entry, i, floor(sum(x[i]) / count(*)) AS v
+ FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM n{n}) GROUP BY ALL) GROUP BY ALL),
+b{n + 1} AS MATERIALIZED (SELECT b.p, b.entry, coalesce(m.x, b.x) AS x FROM b{n} b LEFT JOIN m{n} m USING (p, entry))"""
+        for n in range(vectorcodes.ROUNDS)
+    )
+    last = vectorcodes.ROUNDS
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor({vectorcodes.SCALE} * x::double)) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // {vectorcodes.PARTS} + 1 : (p + 1) * len(v) // {vectorcodes.PARTS}] AS x
+ FROM kept, (SELECT unnest(range({vectorcodes.PARTS})) AS p)),
+b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS entry, x FROM parts QUALIFY entry < {vectorcodes.ENTRIES}),
+{rounds},
+{nearest(last)},
+book AS (SELECT sha256(string_agg(cast(cast(v AS bigint) AS varchar), ',' ORDER BY p, entry, i)) AS codebooks_sha256
+ FROM (SELECT p, entry, unnest(x) AS v, unnest(range(len(x))) AS i FROM b{last})),
+coded AS (SELECT vec_id, label, string_agg(lower(printf('%02x', cast(best.entry AS int))), '' ORDER BY p) AS code, cast(sum(best.d) AS bigint) AS error
+ FROM n{last} GROUP BY ALL)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256 FROM coded, book"""
+
+
+def _crc32_table() -> list[int]:
+    def step(c):
+        return c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+
+    found = []
+    for c in range(256):
+        for _ in range(8):
+            c = step(c)
+        found.append(c)
+    return found
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE crc AS (SELECT {_crc32_table()}::bigint[] AS t),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), '{UPPER}', '{LOWER}') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL),
+coded AS (SELECT *, hex(encode(coalesce(cast(doc_id AS varchar), '')||':'||run)) AS code FROM counted),
+hashed AS (SELECT run, n, xor(list_reduce(list_transform(range(1, length(code), 2), lambda i: ('0x'||substr(code, i, 2))::bigint),
+  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::bigint), 4294967295::bigint) AS h FROM coded, crc),
+words AS (SELECT CASE WHEN h % {spelling.DELETE_ONE_IN} = 0 THEN substr(run, 1, h % length(run))||substr(run, h % length(run) + 2) ELSE run END AS word, sum(n) AS n
+  FROM hashed GROUP BY 1),
+vocabulary AS MATERIALIZED (SELECT word, cast(n AS bigint) AS n FROM words WHERE length(word) >= {spelling.LEAST_LENGTH} AND n >= {spelling.LEAST_COUNT}),
+shorter AS (SELECT word, n, substr(word, 1, i - 1)||substr(word, i + 1) AS less, substr(word, 1, i - 1)||'*'||substr(word, i + 1) AS key
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+near AS (SELECT a.word, b.word AS other, b.n FROM shorter a JOIN shorter b USING (key) WHERE a.word <> b.word
+  UNION SELECT s.word, v.word, v.n FROM shorter s JOIN vocabulary v ON s.less = v.word
+  UNION SELECT v.word, s.word, s.n FROM shorter s JOIN vocabulary v ON s.less = v.word),
+best AS (SELECT word, min({{'less': -n, 'other': other}}) AS b, count(*) AS n_near FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= {spelling.RATIO} * v.n THEN b.other END AS form,
+  CASE WHEN -b.less >= {spelling.RATIO} * v.n THEN -b.less END AS form_n FROM vocabulary v LEFT JOIN best USING (word)),
+walk(word, here, onward) AS (SELECT word, word, form FROM forms UNION ALL SELECT w.word, f.word, f.form FROM walk w JOIN forms f ON w.onward = f.word)
+SELECT f.word, f.form, w.here AS root, f.n, f.n_near, cast(f.form_n AS bigint) AS form_n FROM forms f JOIN walk w ON f.word = w.word AND w.onward IS NULL"""
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SQL_WORD}') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {jaccard.SHINGLE} THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - {jaccard.SHINGLE - 2}), lambda i: array_to_string(w[i : i + {jaccard.SHINGLE - 1}], ' ')) END) AS s FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM both_ JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * k >= {jaccard.PERCENT} * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, to_) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, b FROM reach r JOIN ways ON r.to_ = a)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(to_) AS component_id FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id"""
+
 ORACLES = {
     "op3_lines": f"""
 WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
@@ -155,4 +250,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
  n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words AS base_failed,
  NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words) AND lost <= {quality.MOST_LOST} * n_words AS kept
 FROM together""",
+    "op11_vector_codes": _codebook_sql(),
+    "op12_spelling": SPELLING_SQL,
+    "op13_jaccard": JACCARD_SQL,
 }
