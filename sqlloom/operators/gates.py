@@ -61,13 +61,6 @@ def has_required(*names: str) -> Column:
     return test
 
 
-def work_items(questions: DataFrame) -> DataFrame:
-    """Trimmed schema and question; rows that lack one of them go."""
-    return questions.where(has_required("schema_sql", "question")).withColumns(
-        {"schema_sql": strip("schema_sql"), "question": strip("question")}
-    )
-
-
 def flatten_fields(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: flatten(n) for n in names})
 
@@ -100,38 +93,45 @@ def without_name_conflicts(new: DataFrame, existing: DataFrame) -> DataFrame:
     return kept.select(*new.columns)
 
 
-def additions_without_conflicts(states: DataFrame, old: str, new: str) -> DataFrame:
-    """Add (kept, n_new): the CREATE statements of ``new`` that fit on top of the schema text ``old``.
+def index_names(ddl) -> Column:
+    """Names of the indexes that a schema text creates, in lower case."""
+    return F.transform(index_statements(ddl), lambda s: F.lower(statement_name(s)))
+
+
+def additions_to_names(states: DataFrame, names: str, indexes: str, new: str) -> DataFrame:
+    """Add (kept, n_new): the CREATE statements of ``new`` that fit to a schema with these names.
 
     The rule of :func:`without_name_conflicts` for one row, without a shuffle: a table must be new to
     the schema unless it says IF NOT EXISTS.  Tables come first, then indexes whose name
-    is new among the indexes.  ``n_new`` counts tables that the schema didn't have.
+    is new among the indexes.  ``n_new`` counts tables that the schema didn't have.  Names known and
+    names asked for are sorted together, so that a name is new exactly if no equal one stands before it; the
+    work grows with the names, not with their square.
     """
-    nothing = F.array().cast("array<string>")
-
-    def fold(statements: str, taken: Column) -> Column:
-        start = F.struct(taken.alias("names"), nothing.alias("kept"), F.lit(0).alias("n_new"))
-
-        def step(state, s):
-            name = F.lower(statement_name(s))
-            fresh = ~F.array_contains(state["names"], name) & (name != "")
-            keep = fresh | has_if_not_exists(s)
-            return F.struct(
-                F.when(fresh, F.array_append(state["names"], name)).otherwise(state["names"]).alias("names"),
-                F.when(keep, F.array_append(state["kept"], s)).otherwise(state["kept"]).alias("kept"),
-                (state["n_new"] + fresh.cast("int")).alias("n_new"),
-            )
-
-        return F.aggregate(statements, start, step)
-
-    split = computed(
-        states, _have=F.transform(table_names(old), F.lower), _had=F.transform(index_statements(old), lambda s: F.lower(statement_name(s))),
-        _tables=table_statements(new), _indexes=index_statements(new),
-    )
-    done = computed(split, _table=fold("_tables", F.col("_have")), _index=fold("_indexes", F.col("_had")))
-    return done.select(
-        *states.columns, F.array_join(F.concat("_table.kept", "_index.kept"), "\n\n").alias("kept"), F.col("_table.n_new").alias("n_new")
-    )
+
+    def sorted_names(taken, statements):
+        known = F.transform(taken, lambda n: F.struct(n.alias("name"), F.lit(-1).alias("ord"), F.lit("").alias("text")))
+        asked = F.transform(statements, lambda s, i: F.struct(F.lower(statement_name(s)).alias("name"), i.alias("ord"), s.alias("text")))
+        return F.array_sort(F.concat(known, asked))
+
+    def judged(entries: str):
+        def one(e, place):
+            before = F.get(F.col(entries), place - 1)["name"]
+            fresh = (e["name"] != "") & F.coalesce(before != e["name"], F.lit(True))
+            return F.struct(e["ord"].alias("ord"), e["text"].alias("text"), fresh.alias("fresh"))
+
+        asked = F.filter(F.transform(F.col(entries), one), lambda e: e["ord"] >= 0)
+        return F.array_sort(F.filter(asked, lambda e: e["fresh"] | has_if_not_exists(e["text"])))
+
+    split = computed(states, _t=sorted_names(F.col(names), table_statements(new)), _i=sorted_names(F.col(indexes), index_statements(new)))
+    done = computed(split, _tables=judged("_t"), _indexes=judged("_i"))
+    texts = F.transform(F.concat("_tables", "_indexes"), lambda e: e["text"])
+    return done.select(*states.columns, F.array_join(texts, "\n\n").alias("kept"), F.size(F.filter("_tables", lambda e: e["fresh"])).alias("n_new"))
+
+
+def additions_without_conflicts(states: DataFrame, old: str, new: str) -> DataFrame:
+    """Add (kept, n_new) as :func:`additions_to_names` does, for a schema text ``old``."""
+    named = computed(states, _have=F.transform(table_names(old), F.lower), _had=index_names(old))
+    return additions_to_names(named, "_have", "_had", new).drop("_have", "_had")
 
 
 def first_questions(questions: DataFrame, order: str = "row_idx") -> DataFrame:

@@ -12,7 +12,7 @@ from sqlloom.functions import prompts
 from sqlloom.functions.responses import paraphrase_lines, with_new_wordings, without_self_reference
 from sqlloom.functions.text import computed, token_count
 from sqlloom.operators.inference import answered
-from sqlloom.session import opened_run, run_folder, written
+from sqlloom.session import Steps, opened_run
 
 
 def paraphrase_prompts(records: DataFrame, count: int, key: str) -> DataFrame:
@@ -71,19 +71,23 @@ def make_paraphrases(
     """Records with their paraphrases; rounds, folder and slices as in :func:`make_questions`."""
     spark = records.sparkSession
     parameters = {"job": "paraphrase", "model": model_name, "n": n, "options": options or {}, "templates": prompts.templates_digest()}
-    folder, steps = opened_run(spark, "paraphrase", folder, parameters), run_folder(spark, "paraphrase-steps")
-    base = written(paraphrase_prompts(records, n, key), f"{steps}/prompts")
+    folder = opened_run(spark, "paraphrase", folder, parameters)
+    steps = Steps(spark, folder, records.select(key, "question", "query"), retries=retries)
+    base = steps.table("prompts", lambda: paraphrase_prompts(records, n, key))
     asked, rounds = base, []
     for attempt in range(retries + 1):
-        got = answered(asked, make_model, [key], f"{folder}/answers", batch_size, options, partitions, slices)
-        usable = usable_lines(got.select(key, F.lit(attempt).alias("attempt"), F.col("response").alias("raw")), key)
-        rounds.append(written(usable, f"{steps}/lines/{attempt}"))
+
+        def usable():
+            got = answered(asked, make_model, [key], f"{folder}/answers", batch_size, options, partitions, slices)
+            return usable_lines(got.select(key, F.lit(attempt).alias("attempt"), F.col("response").alias("raw")), key)
+
+        rounds.append(steps.table(f"lines/{attempt}", usable))
         still = rounds[-1].where(F.size("lines") <= 0).select(key)
         if attempt == retries or still.isEmpty():
             break
-        asked = written(
-            base.join(still, key, "left_semi").withColumn("prompt", prompts.paraphrase_retry("prompt", attempt + 1)),
-            f"{steps}/asked/{attempt + 1}",
+        asked = steps.table(
+            f"asked/{attempt + 1}",
+            lambda: base.join(still, key, "left_semi").withColumn("prompt", prompts.paraphrase_retry("prompt", attempt + 1)),
         )
     lines = first_usable(reduce(DataFrame.union, rounds), key)
     return with_originals(records, paraphrased(records, lines, key, n, model_name), skip_original)

@@ -13,7 +13,7 @@ from sqlloom.operators import sampling
 from sqlloom.operators.attempts import first_valid, numbered_lines, parsed_questions
 from sqlloom.operators.examples import draw_examples
 from sqlloom.operators.inference import answered
-from sqlloom.session import opened_run, run_folder, written
+from sqlloom.session import Steps, opened_run
 
 SPECIFIC_SHARE = 0.3
 SHOWN_EXAMPLES = 4
@@ -48,31 +48,35 @@ def make_questions(
 ) -> DataFrame:
     """Question records.  At most ``retries`` + 1 rounds; a round asks for the open schemas only.
 
-    Answers are committed to ``folder`` in slices; given the folder of an earlier run, the model is
-    asked for what is missing there.
+    Answers are committed to ``folder`` in slices, and finished steps beside them; given the folder of an earlier run, the
+    model is asked for what is missing there, and with the same input no finished step is done again.
     """
     spark = schemas.sparkSession
     parameters = {"job": "questions", "model": model_name, "seed": seed, "options": options or {}, "templates": prompts.templates_digest()}
-    folder, steps = opened_run(spark, "questions", folder, parameters), run_folder(spark, "questions-steps")
-    requests = written(question_requests(schemas, examples, seed), f"{steps}/requests")
-    base = written(question_prompts(schemas, requests, per_schema), f"{steps}/prompts")
+    folder = opened_run(spark, "questions", folder, parameters)
+    steps = Steps(spark, folder, schemas, examples, per_schema=per_schema, retries=retries)
+    requests = steps.table("requests", lambda: question_requests(schemas, examples, seed))
+    base = steps.table("prompts", lambda: question_prompts(schemas, requests, per_schema))
     asked, rounds = base, []
     for attempt in range(retries + 1):
-        got = answered(asked, make_model, ["schema_file"], f"{folder}/answers", batch_size, options, partitions, slices)
-        stamped = got.select(
-            F.col("schema_file").alias("item_id"), F.lit(attempt).alias("attempt"),
-            F.col("response").alias("raw"), "error", F.current_timestamp().alias("timestamp"),
-        )
-        rounds.append(written(stamped, f"{steps}/answers/{attempt}"))
+
+        def stamped():
+            got = answered(asked, make_model, ["schema_file"], f"{folder}/answers", batch_size, options, partitions, slices)
+            return got.select(
+                F.col("schema_file").alias("item_id"), F.lit(attempt).alias("attempt"),
+                F.col("response").alias("raw"), "error", F.current_timestamp().alias("timestamp"),
+            )
+
+        rounds.append(steps.table(f"answers/{attempt}", stamped))
         parsed = parsed_questions(rounds[-1])
         still = parsed.where("not valid").select(F.col("item_id").alias("schema_file"))
         if attempt == retries or still.isEmpty():
             break
         # Only the keys of what is open meet the stored prompts.
-        open_keys = written(still, f"{steps}/open/{attempt}")
-        asked = written(
-            base.join(open_keys, "schema_file", "left_semi").withColumn("prompt", prompts.question_retry("prompt", attempt + 1)),
-            f"{steps}/asked/{attempt + 1}",
+        open_keys = steps.table(f"open/{attempt}", lambda: still)
+        asked = steps.table(
+            f"asked/{attempt + 1}",
+            lambda: base.join(open_keys, "schema_file", "left_semi").withColumn("prompt", prompts.question_retry("prompt", attempt + 1)),
         )
     answers = reduce(DataFrame.union, rounds)
     lines = numbered_lines(first_valid(parsed_questions(answers), retries), per_schema)

@@ -11,7 +11,7 @@ from sqlloom.functions.text import flatten
 from sqlloom.operators import candidates as C
 from sqlloom.operators.catalog import catalog_from_ddl, compressed_schemas
 from sqlloom.operators.inference import answered
-from sqlloom.session import opened_run, run_folder, written
+from sqlloom.session import Steps, opened_run
 
 
 def generation_prompts(items: DataFrame, compressed: DataFrame) -> DataFrame:
@@ -56,32 +56,36 @@ def make_sql(
     """Triplets (item_id, prompt, sql_statement, schema_file, cmd_type).
 
     All candidate rounds are one model pass over items times rounds; the judge is a
-    second pass.  Answers are committed to ``folder`` in slices; given the folder of an earlier
-    run, the model is asked for what is missing there.  With ``tell_rounds`` the generating model
+    second pass.  Answers are committed to ``folder`` in slices, and finished steps beside them; given the
+    folder of an earlier run, the model is asked for what is missing there, and with the same input no finished step is done
+    again.  With ``tell_rounds`` the generating model
     finds each prompt's round in ``options["rows"]["round_no"]``.
     """
     spark = items.sparkSession
     rounds = max(1, candidates_per_item)
     parameters = {"job": "sql", "generate": generate_options or {}, "vote": vote_options or {}, "templates": prompts.templates_digest()}
-    folder, steps = opened_run(spark, "sql", folder, parameters), run_folder(spark, "sql-steps")
-    compressed = written(
-        compressed_schemas(catalog_from_ddl(schemas, "schema_file", "schema_sql"), "schema_file"), f"{steps}/compressed"
+    folder = opened_run(spark, "sql", folder, parameters)
+    steps = Steps(spark, folder, items, schemas, rounds=rounds, check=getattr(check, "__qualname__", None))
+    compressed = steps.table(
+        "compressed", lambda: compressed_schemas(catalog_from_ddl(schemas, "schema_file", "schema_sql"), "schema_file")
     )
-    asked = generation_prompts(items, compressed).withColumn(
+    asked = steps.table("asked", lambda: generation_prompts(items, compressed).withColumn(
         "round_no", F.explode(F.array(*[F.lit(r) for r in range(rounds)]))
-    )
-    asked = written(asked, f"{steps}/asked")
-    answers = answered(
-        asked, make_model, ["item_id", "round_no"], f"{folder}/answers", batch_size, generate_options, partitions, slices,
-        told=["round_no"] if tell_rounds else [],
-    )
-    responses = answers.select("item_id", "round_no", F.col("response").alias("raw"))
-    extracted = written(C.extracted_candidates(responses), f"{steps}/extracted")
-    usable = written(C.with_fallback(items, C.distinct_candidates(gated_candidates(extracted, items, schemas, check))), f"{steps}/usable")
-    judged = written(vote_prompts(items, compressed, usable), f"{steps}/judged")
-    verdicts = answered(
+    ))
+
+    def candidates():
+        answers = answered(
+            asked, make_model, ["item_id", "round_no"], f"{folder}/answers", batch_size, generate_options, partitions, slices,
+            told=["round_no"] if tell_rounds else [],
+        )
+        return C.extracted_candidates(answers.select("item_id", "round_no", F.col("response").alias("raw")))
+
+    extracted = steps.table("extracted", candidates)
+    usable = steps.table("usable", lambda: C.with_fallback(items, C.distinct_candidates(gated_candidates(extracted, items, schemas, check))))
+    judged = steps.table("judged", lambda: vote_prompts(items, compressed, usable))
+    verdicts = steps.table("verdicts", lambda: answered(
         judged, make_judge or make_model, ["item_id"], f"{folder}/verdicts", batch_size, vote_options, partitions, slices
-    )
+    ))
     winners = C.voted(items, usable, verdicts.select("item_id", F.col("response").alias("raw")))
     return items.join(winners, "item_id").select(
         "item_id", flatten("question").alias("prompt"), flatten("winner").alias("sql_statement"),

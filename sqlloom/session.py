@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that suit these jobs; a session that already exists keeps its own.
 SETTINGS = {
@@ -88,6 +92,44 @@ def opened_run(spark: SparkSession, job: str, folder: str | None, parameters: di
     return folder
 
 
+def content_mark(*tables: DataFrame) -> str:
+    """A mark of the tables' rows, whatever their order; one pass over each."""
+    marks = []
+    for df in tables:
+        # Hashes don't take maps or variants; their JSON text does.
+        values = [
+            F.to_json(F.struct(F.col(f"`{f.name}`"))) if re.search("map<|variant", f.dataType.simpleString()) else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+        found = df.select(F.xxhash64(*values).alias("h")).agg(F.count("h"), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("h")))
+        marks.append([df.columns, *map(str, found.first())])
+    return hashlib.sha256(json.dumps(marks).encode()).hexdigest()[:24]
+
+
+class Steps:
+    """The written tables of one run, by name, in the run's folder: a ledger of what is done.
+
+    A run that gets the folder of a broken one, with the same settings and the same input rows, finds the
+    tables that were finished and goes on behind them; what was half written is replaced.  Other input has
+    steps of its own.  ``made`` and ``found`` name the tables that were written and those that were there.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, *inputs: DataFrame, **settings):
+        self.spark, self.made, self.found = spark, [], []
+        told = json.dumps([content_mark(*inputs), settings], sort_keys=True, default=str)
+        self.folder = f"{folder}/steps-{hashlib.sha256(told.encode()).hexdigest()[:24]}"
+
+    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table ``name``, built and written unless an earlier run has finished it."""
+        path = f"{self.folder}/{name}"
+        if path_exists(self.spark, f"{path}/_SUCCESS"):
+            self.found.append(name)
+            return self.spark.read.parquet(path)
+        done = written(build(), path)
+        self.made.append(name)
+        return done
+
+
 def remove_run(spark: SparkSession, folder: str) -> bool:
     """Delete a run's folder, once nothing reads its tables any more."""
     there = spark._jvm.org.apache.hadoop.fs.Path(folder)

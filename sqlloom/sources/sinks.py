@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sqlloom.functions import fixed_values as fv
 from sqlloom.functions.text import computed
 from sqlloom.operators.ranking import with_chunk
-from sqlloom.session import path_exists
+from sqlloom.session import run_folder, written
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -20,12 +20,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
-def write_growth_steps(steps: DataFrame, path: str, mode: str = "append") -> None:
-    """(schema_file, num_tables, schema_sql): one text per schema and step, in files by round.
+def write_growth_steps(log: DataFrame, path: str, mode: str = "append") -> None:
+    """What each round of growth added to each schema, in files by round.
 
-    A file per schema would mean millions of tiny files; the keys are columns instead.
+    A file per schema and step would mean millions of tiny files that repeat the text so far;
+    ``plans.growth.versions`` puts the whole texts of all steps together again.
     """
-    steps.select("round_no", "schema_file", "num_tables", "schema_sql").write.mode(mode).partitionBy("round_no").parquet(path)
+    log.select("round_no", "schema_file", "num_tables", "added").write.mode(mode).partitionBy("round_no").parquet(path)
 
 
 def write_quarantine(rows: DataFrame, path: str, reason: str, mode: str = "append") -> None:
@@ -44,25 +45,58 @@ def write_chunks(df: DataFrame, order: str, size: int, path: str, mode: str = "e
     chunked.repartition("chunk").write.mode(mode).partitionBy("chunk").parquet(path)
 
 
-# Hash digits that rows are sized by: 65,536 cells, a bounded table.
-CELL_DIGITS = 4
+# Rows are sized by the first bits of their hash: 65,536 cells, a bounded table.
+CELLS = 1 << 16
+# A cell above this part of a shard is split; its pieces are this much smaller again.
+GRAINS = 8
 
 
 def sized_shards(df: DataFrame, megabytes: float) -> DataFrame:
     """Add ``shard``: rows of a shard hold at most so many megabytes as JSON text.
 
-    Bytes are added up by ranges of a row hash, and ranges are joined into shards one after the other; a
-    shard is larger only where a single range is.
+    A size histogram in up to three levels: bytes are added up by the first bits of a row hash; cells that hold too
+    much for a shard's grain are cut by the rest of the hash; pieces that still do hold equal rows, which are
+    written with a row number and cut by that.  Cells and pieces follow each other in one order, prefix sums of
+    their bytes give the shard.  A shard is larger only where a single row is.  The tables of cells and pieces grow with the number of
+    shards, not of rows, and reach the rows by a join.
     """
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    celled = computed(df, _bytes=F.octet_length(row), _cell=F.substring(F.md5(row), 1, CELL_DIGITS))
-    cells = celled.groupBy("_cell").agg(F.sum("_bytes").alias("_bytes"))
-    everything, upto = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy("_cell")
-    before = F.coalesce(F.sum("_bytes").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # A shard starts at a multiple of the step and ends with the range that reaches the next one.
-    step = F.greatest(F.lit(int(megabytes * 1_000_000)) - F.max("_bytes").over(everything), F.lit(1))
-    shards = cells.select("_cell", F.floor(before / step).cast("int").alias("shard"))
-    return celled.join(F.broadcast(shards), "_cell").select(*df.columns, "shard")
+    folder, limit = run_folder(df.sparkSession, "publish"), int(megabytes * 1_000_000)
+    grain, none = max(1, limit // GRAINS), F.lit(-1).cast("bigint")
+    columns = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = computed(df.select(columns.alias("_row")), _text=F.to_json("_row"))
+    rows = rows.select("_row", F.octet_length("_text").alias("_bytes"), F.xxhash64("_text").alias("_hash"))
+    rows = rows.withColumns({"_cell": F.shiftrightunsigned("_hash", 48), "_piece": none, "_turn": none})
+    total = F.sum("_bytes").alias("_bytes")
+
+    def too_large(sums, parts):
+        return sums.where(F.col("_bytes") > grain).withColumn(parts, F.ceil(F.col("_bytes") * GRAINS / grain).cast("bigint")).drop("_bytes")
+
+    sums = written(rows.groupBy("_cell").agg(total), f"{folder}/cells")
+    large = too_large(sums, "_pieces")
+    ends = sums.where(F.col("_bytes") <= grain).select("_cell", none.alias("_piece"), none.alias("_turn"), "_bytes")
+    if not large.isEmpty():
+        # At most CELLS rows.
+        piece = F.coalesce(F.pmod(F.xxhash64("_hash"), F.col("_pieces")), none)
+        rows = rows.join(F.broadcast(large), "_cell", "left").withColumn("_piece", piece).drop("_pieces")
+        sums = written(rows.where("_piece >= 0").groupBy("_cell", "_piece").agg(total), f"{folder}/pieces")
+        equal = too_large(sums, "_turns")
+        ends = ends.unionByName(sums.where(F.col("_bytes") <= grain).select("_cell", "_piece", none.alias("_turn"), "_bytes"))
+        if not equal.isEmpty():
+            numbered = written(rows.join(equal, ["_cell", "_piece"]).withColumn("_number", F.monotonically_increasing_id()), f"{folder}/equal-rows")
+            numbered = numbered.withColumn("_turn", F.pmod("_number", F.col("_turns"))).drop("_number", "_turns")
+            ends = ends.unionByName(numbered.groupBy("_cell", "_piece", "_turn").agg(total))
+            rows = rows.join(equal, ["_cell", "_piece"], "left_anti").unionByName(numbered)
+    ends = written(ends, f"{folder}/ends")
+    # Sums before a cell, of at most CELLS rows, and before a piece inside its cell.
+    upto = Window.partitionBy(F.lit(0)).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.groupBy("_cell").agg(F.sum("_bytes").alias("_all")).select("_cell", F.coalesce(F.sum("_all").over(upto), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_cell").orderBy("_piece", "_turn").rowsBetween(Window.unboundedPreceding, -1)
+    # A shard starts at a multiple of the step and ends with the piece that reaches the next one.
+    step = max(1, limit - (ends.agg(F.max("_bytes")).first()[0] or 0))
+    before = F.col("_start") + F.coalesce(F.sum("_bytes").over(inside), F.lit(0))
+    shards = ends.join(starts, "_cell").select("_cell", "_piece", "_turn", F.floor(before / step).alias("shard"))
+    placed = rows.join(written(shards, f"{folder}/shards"), ["_cell", "_piece", "_turn"])
+    return placed.select(*[F.col("_row").getField(c).alias(c) for c in df.columns], "shard")
 
 
 def publish(
@@ -79,6 +113,13 @@ def publish(
     return {"rows": seen.get["rows"], "columns": df.columns}
 
 
+def published(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
+    """(shard, rows, bytes): what is in each shard of a publication, by the JSON text that the limit is about."""
+    rows = spark.read.parquet(f"{path.rstrip('/')}/{split}")
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "shard"]))
+    return rows.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text)).alias("bytes"))
+
+
 def watched(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     """The same rows, and an observation that knows their number once they have been written.
 
@@ -87,15 +128,3 @@ def watched(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     seen = Observation()
     counts = {"rows": F.count(F.lit(1)), **metrics}
     return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
-
-
-def append_batch(df: DataFrame, path: str) -> None:
-    """Add one finished batch; what was written before stays if the job dies."""
-    df.write.mode("append").parquet(path)
-
-
-def not_yet_written(items: DataFrame, path: str, key: str) -> DataFrame:
-    """Items that an earlier run has not finished."""
-    if not path_exists(items.sparkSession, path):
-        return items
-    return items.join(items.sparkSession.read.parquet(path).select(key).distinct(), key, "left_anti")

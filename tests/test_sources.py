@@ -109,7 +109,7 @@ def test_jsonl_sink_keeps_nulls_and_accents(spark, tmp_path):
     assert text == '{"a":"é","b":null}\n'
 
 
-def test_chunks_publish_and_resume(spark, tmp_path):
+def test_chunks_and_publish(spark, tmp_path):
     df = spark.range(25).select(F.format_string("f%02d.sql", "id").alias("name"))
     W.write_chunks(df, "name", 10, str(tmp_path / "c"))
     got = spark.read.parquet(str(tmp_path / "c")).groupBy("chunk").agg(F.count("name").alias("n"), F.min("name").alias("m")).orderBy("chunk").collect()
@@ -118,11 +118,6 @@ def test_chunks_publish_and_resume(spark, tmp_path):
     assert told == {"rows": 25, "columns": ["name"]}
     assert len(list((tmp_path / "p" / "train").glob("*.parquet"))) == 3
     assert spark.read.parquet(str(tmp_path / "p" / "train")).count() == 25
-    out = str(tmp_path / "done")
-    assert W.not_yet_written(df, out, "name").count() == 25
-    W.append_batch(df.limit(5), out)
-    W.append_batch(df.where("name >= 'f20.sql'"), out)
-    assert W.not_yet_written(df, out, "name").count() == 15
 
 
 def test_several_files_are_one_dataset(spark, tmp_path):
@@ -137,9 +132,9 @@ def test_quarantine_sinks(spark, tmp_path):
     assert [r.text for r in got] == ["-- Execution failed: bad\nx\n", "-- Execution failed: \ny\n"]
     W.write_quarantine(rows.fillna("none"), str(tmp_path / "q"), "err")
     assert {r.err for r in spark.read.parquet(str(tmp_path / "q")).collect()} == {"bad", "none"}
-    steps = spark.createDataFrame([(0, "a", 1, "x"), (1, "a", 2, "y")], "round_no int, schema_file string, num_tables int, schema_sql string")
+    steps = spark.createDataFrame([(0, "a", 1, "x"), (1, "a", 2, "y")], "round_no int, schema_file string, num_tables int, added string")
     W.write_growth_steps(steps, str(tmp_path / "g"))
-    assert spark.read.parquet(str(tmp_path / "g")).where("round_no = 1").first().schema_sql == "y"
+    assert spark.read.parquet(str(tmp_path / "g")).where("round_no = 1").first().added == "y"
 
 
 def test_totals_come_from_the_write(spark, tmp_path):
@@ -203,3 +198,22 @@ def test_no_shard_is_larger_than_wanted(spark, tmp_path):
     assert back.count() == 2000 and max(sizes) <= 20_000 and len(sizes) >= sum(sizes) / 20_000
     assert all(len(list(d.glob("*.parquet"))) == 1 for d in (tmp_path / "p" / "train").glob("shard=*"))
     assert back.drop("shard").exceptAll(df).count() == 0
+
+
+def test_publish_keeps_the_limit_with_a_third_of_equal_rows(spark, tmp_path):
+    different = spark.range(3000).select(F.concat(F.lit("row "), "id", F.repeat(F.lit("x"), F.pmod("id", F.lit(40)).cast("int"))).alias("text"))
+    df = different.unionAll(spark.range(1500).select(F.lit("the same " * 9).alias("text"))).unionAll(spark.range(1).select(F.lit(None).cast("string")))
+    df = df.withColumns({"_cell": F.lit("own"), "_bytes": F.lit(1)}).repartition(5)
+    told = W.publish(df, str(tmp_path / "p"), megabytes=0.01)
+    assert told == {"rows": 4501, "columns": ["text", "_cell", "_bytes"]}
+    shards = W.published(spark, str(tmp_path / "p")).collect()
+    total = sum(r.bytes for r in shards)
+    assert sum(r.rows for r in shards) == 4501 and max(r.bytes for r in shards) <= 10_000 and len(shards) <= 2 * total / 10_000
+    assert spark.read.parquet(str(tmp_path / "p" / "train")).drop("shard").exceptAll(df).count() == 0
+
+
+def test_publish_of_one_large_row_and_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([("a",), ("b" * 5000,), ("c",)], "text string")
+    W.publish(df, str(tmp_path / "p"), megabytes=0.001)
+    assert sorted(r.rows for r in W.published(spark, str(tmp_path / "p")).collect()) in ([1, 1, 1], [1, 2])
+    assert W.publish(df.where("false"), str(tmp_path / "q"), megabytes=1)["rows"] == 0
