@@ -188,52 +188,45 @@ def near_words(index: WordIndex, questions: list[str], left: bool) -> tuple[np.n
 
 
 def _one_error(index: WordIndex, who: np.ndarray, text: np.ndarray, half: int, left: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Exact steps over the half, then one step a letter for all intervals at once, with and without their error."""
     length, outward = text.shape[1], not left
+    nothing = np.empty(0, np.int64)
 
-    def step(states, letters):
-        return index.extend(states, letters, outward)
-
-    def alive(states, *more):
-        held = states[2] > 0
-        return tuple(s[held] for s in states), *(m[held] for m in more)
-
-    def finished(states, q, place):
-        """Spell the rest of each question from ``place`` and the delimiter."""
-        ended = []
-        while len(q):
-            done = place >= length
-            if done.any():
-                ends, own = alive(step(tuple(s[done] for s in states), np.ones(int(done.sum()), np.int64)), q[done])
-                ended.append((who[own], ends[0] - index.first))
-                states, q, place = tuple(s[~done] for s in states), q[~done], place[~done]
-            if len(q):
-                letters = text[q, place]
-                states, q, place, letters = tuple(s[letters > 0] for s in states), q[letters > 0], place[letters > 0], letters[letters > 0]
-                states, q, place = alive(step(states, letters), q, place + 1)
-        return ended
-
-    # The delimiter, then the half towards the other side.
-    q = np.arange(len(who))
-    states = step(index.whole(len(q)), np.ones(len(q), np.int64))
+    def only(held, *columns):
+        return [c[held] for c in columns]
+
+    def step(columns, letters):
+        """Columns (three of the interval, question, ...) one letter on; what has no place in the index goes."""
+        columns = only(letters > 0, *columns)
+        grown = index.extend(tuple(columns[:3]), letters[letters > 0], outward)
+        return only(grown[2] > 0, *grown, *columns[3:])
+
+    exact = step([*index.whole(len(who)), np.arange(len(who))], np.ones(len(who), np.int64))
     for at in range(half):
-        states, q = alive(step(states, text[q, at]), q)
-    found = []
-    for at in range(half, length + 1):
-        if not len(q):
-            break
-        next_to, letter = index.branches(states, outward)
-        grown = step(tuple(s[next_to] for s in states), letter)
-        asked = q[next_to]
-        found += finished(grown, asked, np.full(len(asked), at))  # one more letter
-        if at < length:
-            found += finished(states, q, np.full(len(q), at + 1))  # one letter less
-            other = letter != text[asked, at]
-            found += finished(tuple(s[other] for s in grown), asked[other], np.full(int(other.sum()), at + 1))
-            letters = text[q, at]
-            states, q, letters = tuple(s[letters > 0] for s in states), q[letters > 0], letters[letters > 0]
-            states, q = alive(step(states, letters), q)
+        exact = step(exact, text[exact[3], at])
+    found, changed, at = [], [nothing] * 5, half
+    while len(exact[3]) or len(changed[3]):
+        if len(exact[3]):
+            next_to, letter = index.branches(tuple(exact[:3]), outward)
+            grown = [*index.extend(tuple(c[next_to] for c in exact[:3]), letter, outward), exact[3][next_to]]
+            fresh = [[*grown, np.full(len(letter), at)]]  # one more letter
+            if at < length:
+                fresh.append([*exact, np.full(len(exact[3]), at + 1)])  # one letter less
+                other = letter != text[grown[3], at]
+                fresh.append([*only(other, *grown), np.full(int(other.sum()), at + 1)])
+                exact = step(exact, text[exact[3], at])
+            else:
+                exact = [nothing] * 4
+            changed = [np.concatenate(c) for c in zip(changed, *fresh)]
+            at += 1
+        done = changed[4] >= length
+        ended = step(only(done, *changed), np.ones(int(done.sum()), np.int64))
+        found.append((who[ended[3]], ended[0] - index.first))
+        changed = only(~done, *changed)
+        changed = step(changed, text[changed[3], changed[4]])
+        changed[4] = changed[4] + 1
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return nothing, nothing
     numbers, words = (np.concatenate(x) for x in zip(*found))
     return numbers, words
 
@@ -307,7 +300,9 @@ def near_pairs(words: DataFrame, at_once: int = WORDS_AT_ONCE, least: int = LEAS
                 rows = [list(c) for c in zip(*kept)] if kept else [[] for _ in range(5)]
         yield from searched(rows)
 
-    dealt = dealt.repartition("left", "half", "piece").sortWithinPartitions("left", "half", "piece", F.col("held").desc())
+    # Each task has a few indexes to build, however many words there are.
+    tasks = max(words.sparkSession.sparkContext.defaultParallelism, -(-4 * words.count() // WORDS_AT_ONCE))
+    dealt = dealt.repartition(tasks, "left", "half", "piece").sortWithinPartitions("left", "half", "piece", F.col("held").desc())
     found = dealt.mapInArrow(task, "word string, near string, near_n bigint").where("word <> near")
     # Pairs are found from several halves and places of the error.
     return found.repartition("word").dropDuplicates(["word", "near"])
