@@ -6,11 +6,13 @@ and each worker remembers the ids of the pieces it has seen, at most two generat
 is cut by the layout's own pattern and given to the tokenizer's model.  Texts and pieces
 outside the cases for which this is exact (other white space, runs of blanks, control
 characters, letters beyond U+024F) go through the tokenizer as they are, and so does every
-text of a tokenizer with another layout.
+text of a tokenizer with another layout.  A text that holds the string of an added token, ``<|endoftext|>``
+for example, goes through the tokenizer too, which makes one id of it.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -20,7 +22,7 @@ import regex
 
 from sqlloom.llm.common import task_cache
 
-MEMO = 500_000
+MEMO = 400_000
 ODD = re.compile(r"[^\S \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0]")
 # The patterns of the two layouts.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,10 +45,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
             layout = json.load(f)
+        # Strings that the tokenizer looks for before anything else, in whatever case they may match.
+        self.added = [t["content"].lower() for t in layout.get("added_tokens", [])]
+        # What all of them begin with, letters aside: most texts hold no such mark.
+        self.mark = "".join(itertools.takewhile(lambda c: not c.isalpha(), os.path.commonprefix(self.added)))
         before, normal, model = layout["pre_tokenizer"] or {}, layout["normalizer"], layout["model"]
         steps = before.get("pretokenizers", [])
         self.layout = None
@@ -64,27 +69,30 @@ class Encoder:
             self.cut = regex.compile(pattern).findall
             letters = byte_letters()
             self.letters, self.blank = str.maketrans(dict(enumerate(letters))), letters[32]
-        # What was seen lately, and the generation before it, out of which what is still used comes back.
+        # What was seen lately, and the generation before it, out of which what is still used comes back.  Pieces
+        # and the parts that the pattern cuts them into share one memory: most parts are pieces elsewhere.
         self.pieces: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.old_pieces, self.old_parts = self.pieces, self.parts
+        self.old_pieces = self.pieces
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _part(self, part: str) -> bytes:
-        known = self.parts.get(part)
+        if self.layout == "word":
+            key = part
+        else:
+            # In the byte layout a piece's key leaves its blank out; a part without a blank is marked.
+            key = part[1:] if part[0] == " " else "\0" + part
+        known = self.pieces.get(key)
         if known is None:
-            known = self.old_parts.get(part)
+            known = self.old_pieces.get(key)
             if known is None:
                 if part.isascii() and part.isprintable():
                     written = part.replace(" ", self.blank)
                 else:
                     written = part.encode().decode("latin-1").translate(self.letters)
                 known = np.array([t.id for t in self.tokenizer.model.tokenize(written)], self.dtype).tobytes()
-            if len(self.parts) >= self.memo:
-                self.old_parts, self.parts = self.parts, {}
-            self.parts[part] = known
+            self.pieces[key] = known
         return known
 
     def _piece(self, piece: str) -> bytes:
@@ -96,6 +104,9 @@ class Encoder:
             piece = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
         return b"".join([self._part(p) for p in self.cut(piece)])
 
+    def _holds_added(self, text: str) -> bool:
+        return self.mark in text and any(t in text.lower() for t in self.added)
+
     def _split(self, text: str) -> list[str] | None:
         """Pieces whose ids, one after the other, are those of the text; None if it can't be cut so."""
         if self.layout == "word":
@@ -109,7 +120,7 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        pieces = self._split(text) if self.layout else None
+        pieces = self._split(text) if self.layout and not self._holds_added(text) else None
         if pieces is None:
             return self.plain(text)
         if self.layout == "byte":

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from sqlloom.llm import mixing, packing, records
 from sqlloom.llm.encoding import Encoder
@@ -25,7 +26,10 @@ def encoder(name):
 
 
 def plain_ids(name, text):
-    return encoder(name).tokenizer.encode(text or "", add_special_tokens=False).ids
+    """By a tokenizer of its own, loaded from the file and left as it is."""
+    if (name, "plain") not in ENCODERS:
+        ENCODERS[name, "plain"] = Tokenizer.from_file(tokenizer_path(name))
+    return ENCODERS[name, "plain"].encode(text or "", add_special_tokens=False).ids
 
 
 def ids_of(name, text):
@@ -48,6 +52,22 @@ def test_ids_of_any_text(name, text):
     assert ids_of(name, text) == plain_ids(name, text)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_strings_of_added_tokens(name):
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y <|endoftext|", "<|ENDOFTEXT|> z", "<| endoftext |> w", "a\n<|endoftext|><|endoftext|> c"):
+        for _ in range(2):
+            assert ids_of(name, text) == plain_ids(name, text)
+    assert len(ids_of(name, "a <|endoftext|> b")) == {WORD_TOKENIZER: 3, BYTE_TOKENIZER: 4}[name]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_a_small_memory_forgets_and_stays_right(name):
+    small, rng = Encoder(tokenizer_path(name), memo=50), random.Random(4)
+    for _ in range(60):
+        text = " ".join(rng.choice(["red", "Red,", "blue", "it's", "(a", "b)", f"w{rng.randrange(80)}"]) for _ in range(40))
+        assert np.frombuffer(small(text), small.dtype).tolist() == plain_ids(name, text)
+
+
 def test_records_round_trip(spark, docs_of, corpus, tmp_path):
     path = str(tmp_path / "records")
     index = records.tokenized(docs_of(corpus), tokenizer_path(WORD_TOKENIZER), path).cache()
