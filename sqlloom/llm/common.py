@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions.text import col
-from sqlloom.session import run_folder
+from sqlloom.session import remove_run, run_folder
 
 # A word is a run of other characters than blank, tab and the four line and page breaks.
 # bytes.split() without arguments splits at exactly these six, bytes.lower() changes A-Z only.
@@ -54,7 +54,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.saved_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``saved`` has written and no later step reads."""
+    for table in tables:
+        remove_run(table.sparkSession, table.saved_at)
 
 
 def task_cache() -> dict:

@@ -33,12 +33,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sqlloom.llm.common import saved, text_bytes
+from sqlloom.llm.common import forget, saved, text_bytes
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 32 << 20
 FOLDS, HELD_FOLD = 5, 1
 EDGE = 255
 END_TOKEN = b"\n"  # no word holds a blank, so this can't be one
@@ -47,6 +47,7 @@ ORDER = 5
 BROADCAST_ORDER = 2  # up to this context length
 SCORED_AT_ONCE = 1 << 19
 GRAMS_AT_ONCE = 1 << 19
+HEAVY = 1 << 22  # rows that one context may bring to a task
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -277,36 +278,44 @@ class BlockModel(ByteModel):
         return self.table.get(keys)[1].astype(float)
 
 
-def _collected_model(grams: DataFrame, longest: int, max_contexts: int | None = None) -> ByteModel:
+def _collected_model(grams: DataFrame, longest: int) -> ByteModel:
     orders = []
     for order in range(longest + 1):
         own = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("gram")
         counted = grams.groupBy(own).agg(F.sum("n").alias("n"))
-        if max_contexts is not None and order > BROADCAST_ORDER:
-            context = F.shiftright("gram", 8)
-            common = counted.groupBy(context.alias("context")).agg(F.sum("n").alias("uses")).orderBy(F.desc("uses"), "context").limit(max_contexts)
-            # At most ``max_contexts`` numbers.
-            counted = counted.join(F.broadcast(common.select("context")), context == F.col("context"), "left_semi")
         table = counted.toArrow()
         orders.append((table["gram"].to_numpy(), table["n"].to_numpy().astype(float)))
     return ByteModel(orders)
 
 
-def byte_model(blocks: DataFrame, max_contexts: int | None = None) -> ByteModel:
-    """All orders trained on the texts that aren't held out, in the driver's memory: for small tables, ``scores`` doesn't use it.
+def byte_model(blocks: DataFrame) -> ByteModel:
+    """All orders trained on the texts that aren't held out, in the driver's memory: for small tables, ``scores`` doesn't use it."""
+    return _collected_model(saved(gram_counts(blocks), "ppm-grams"), ORDER)
 
-    ``max_contexts`` keeps the most frequent contexts of each length above ``BROADCAST_ORDER`` only.
-    """
-    return _collected_model(saved(gram_counts(blocks), "ppm-grams"), ORDER, max_contexts)
 
+def gram_chances(blocks: DataFrame, grams: DataFrame) -> DataFrame:
+    """(block, chances): log10 chances of each block's grams after all training texts, packed for ``BlockModel``; several rows a block.
 
-def gram_chances(blocks: DataFrame) -> DataFrame:
-    """(block, chances): log10 chances of each block's grams after all training texts, packed for ``BlockModel``; several rows a block."""
-    grams = saved(gram_counts(blocks), "ppm-grams")
+    Grams meet the training counts by context.  A context that very many blocks ask for is dealt out over several tasks by
+    block, and its training counts, which are bounded by the bytes that may follow, go to each of them.
+    """
     shorter = blocks.sparkSession.sparkContext.broadcast(_collected_model(grams, BROADCAST_ORDER))
     # Training grams have no block; they come before the grams that ask for them.
-    rows = grams.select(F.lit(-1).cast("bigint").alias("block"), "gram", "n").unionByName(gram_rows(blocks).withColumn("n", F.lit(0).cast("bigint")))
     context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * (BROADCAST_ORDER + 1)) - 1))
+    asked = gram_rows(blocks).withColumn("n", F.lit(0).cast("bigint"))
+    # A block asks for a gram at most once, so a context's training grams times the blocks bound what is asked of it.
+    per_context = grams.groupBy(context.alias("context")).agg(F.count("*").alias("grams"))
+    n_blocks = max(1, blocks.select("block").distinct().count())
+    pieces = F.ceil(F.col("grams") * n_blocks / HEAVY).cast("int")
+    large = saved(per_context.select("context", pieces.alias("pieces")).where("pieces > 1"), "ppm-large-contexts")
+    training, first = grams.select(F.lit(-1).cast("bigint").alias("block"), "gram", "n"), F.lit(0)
+    if large.isEmpty():
+        rows = training.unionByName(asked).withColumn("piece", first)
+    else:
+        training, asked = (rows.join(large, context == F.col("context"), "left") for rows in (training, asked))
+        every = F.explode(F.sequence(first, F.coalesce("pieces", F.lit(1)) - 1))
+        one = F.pmod(F.xxhash64("block"), F.coalesce("pieces", F.lit(1))).cast("int")
+        rows = training.select("block", "gram", "n", every.alias("piece")).unionByName(asked.select("block", "gram", "n", one.alias("piece")))
 
     def task(batches):
         waiting, held = [], 0
@@ -314,9 +323,11 @@ def gram_chances(blocks: DataFrame) -> DataFrame:
 
         def settled():
             nonlocal known, uses
-            block, gram, n = (np.concatenate(x) for x in zip(*waiting))
+            block, gram, n, _ = (np.concatenate(x) for x in zip(*waiting))
             training, gram = block < 0, gram.view(np.uint64)
-            known, uses = np.concatenate((known, gram[training])), np.concatenate((uses, n[training]))
+            # A task may get several pieces of a context, each with the same training counts.
+            known, place = np.unique(np.concatenate((known, gram[training])), return_index=True)
+            uses = np.concatenate((uses, n[training]))[place]
             asked, block = gram[~training], block[~training]
             if len(asked):
                 orders = []
@@ -343,7 +354,7 @@ def gram_chances(blocks: DataFrame) -> DataFrame:
         if waiting:
             yield from settled()
 
-    placed = rows.repartition(context).sortWithinPartitions(context, F.col("block") >= 0)
+    placed = rows.repartition(context, "piece").sortWithinPartitions(context, "piece", F.col("block") >= 0).select("block", "gram", "n", "piece")
     return placed.mapInArrow(task, "block bigint, chances binary")
 
 
@@ -386,12 +397,14 @@ def word_rows(blocks: DataFrame) -> DataFrame:
 def scores(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     blocks = blocks_of(docs)
-    chances = saved(gram_chances(blocks), "ppm-chances")
-    # A word has at most a row or two for each block here, so its group stays small.
-    everywhere = F.sum("n").over(Window.partitionBy("word"))
-    words = saved(word_rows(blocks).withColumn("total", everywhere).select("block", "word", "n", "total"), "ppm-words")
-    train = words.agg(F.sum("n")).first()[0] or 0
-    seen = words.where("total > 0").select("word").distinct().count()
+    grams = saved(gram_counts(blocks), "ppm-grams")
+    chances = saved(gram_chances(blocks, grams), "ppm-chances")
+    forget(grams)
+    own = saved(word_rows(blocks), "ppm-block-words")
+    totals = saved(own.groupBy("word").agg(F.sum("n").alias("total")), "ppm-word-totals")
+    words = saved(own.select("block", "word").distinct().join(totals, "word"), "ppm-words")
+    train, seen = totals.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count_if(F.col("total") > 0)).first()
+    forget(own, totals)
     scale = math.log10(train + 0.5 * (seen + 1))
     empty = {"word": "bigint", "total": "bigint", "doc_id": "bigint", "held_out": "boolean", "text": "binary"}
 
@@ -438,6 +451,6 @@ def scores(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return (
-        mixed.repartition("block").sortWithinPartitions("block", "kind")
+        mixed.repartition(max(1, blocks.select("block").distinct().count()), "block").sortWithinPartitions("block", "kind")
         .mapInArrow(task, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     )

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sqlloom.llm.common import saved, text_bytes
+from sqlloom.llm.common import forget, saved, text_bytes
 
 SPAN = 13
 GRAM = 5
@@ -346,19 +346,24 @@ def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_str
         answers = answers.select(F.col("anchor").alias("code"), F.col("stretch_hash").alias("window_hash"), F.get("firsts", F.lit(0)).alias("first"))
         again = single.join(answers, ["code", "window_hash"]).groupBy("anchor", "stretch_hash").agg(F.array_sort(F.collect_set(F.struct("k", "first"))).alias("all"))
         firsts = firsts.unionByName(again.select("anchor", "stretch_hash", F.col("all.first").alias("firsts")))
+    firsts = saved(firsts, "first-documents")
+    forget(texts)
     earlier = F.filter(F.transform("firsts", lambda f, k: F.when(f < F.col("doc_id"), F.col("start") + k)), lambda s: s.isNotNull())
     hits = found.select("anchor", "stretch_hash", "doc_id", "mark", "start").join(firsts, ["anchor", "stretch_hash"])
-    return (
+    removed = (
         hits.select("doc_id", "mark", earlier.alias("starts"))
         .where(F.size("starts") > 0)
         .groupBy("doc_id", "mark")
         .agg(F.flatten(F.collect_list("starts")).alias("starts"))
     )
+    removed = saved(removed, "removed-windows")
+    forget(found, firsts)
+    return removed
 
 
 def dedup_substrings(docs: DataFrame, span: int = SPAN, **options) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): kept words joined by blanks, for every row of docs."""
-    hits = saved(removed_windows(docs, span, **options), "removed-windows")
+    hits = removed_windows(docs, span, **options)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), _mark("text").alias("_mark"), text_bytes("text").alias("text"))
     joined = rows.join(hits, (F.col("_id") == F.col("doc_id")) & (F.col("_mark") == F.col("mark")), "left").select("_id", "text", "starts")
 

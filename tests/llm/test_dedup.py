@@ -102,14 +102,6 @@ def test_joined_labels():
     assert joined_labels(6, np.array([5, 3, 1]), np.array([3, 1, 4])).tolist() == [0, 1, 2, 1, 1, 1]
 
 
-def test_one_row_of_each_group_stays(docs_of, corpus):
-    docs = docs_of(corpus)
-    kept = simhash.one_per_group(docs)
-    assert kept.columns == docs.columns
-    groups = simhash.near_groups(docs).collect()
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({r.component_id for r in groups if r.component_id is not None})
-    assert kept.where("doc_id is null").count() == len({r.fingerprint for r in groups if r.component_id is None})
-
 
 def slow_lines(rows):
     """Kept texts; rows with the same id and text count as one document."""
@@ -207,7 +199,7 @@ def test_automaton_names_the_first_document():
 
 def test_empty_tables(docs_of):
     none = docs_of([(1, "y")]).where("false")
-    assert simhash.near_groups(none).count() == 0 and simhash.one_per_group(none).count() == 0
+    assert simhash.near_groups(none).count() == 0
     assert lines.dedup_lines(none).count() == 0
     assert exact.exact_dedup(none).count() == 0
     assert substrings.dedup_substrings(none).count() == 0
