@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sqlloom.functions import ddl as D
+from sqlloom.functions import fixed_values as fv
 from sqlloom.functions import sqltext as S
 from sqlloom.functions.text import computed, token_count
 from sqlloom.operators.gates import drop_reason, good_question_length, unify_fields
 from sqlloom.operators.ranking import scattered
+from sqlloom.sources.sinks import watched
 
 
 def classified(records: DataFrame) -> DataFrame:
@@ -41,16 +43,35 @@ def enrich(records: DataFrame, with_commands: bool = False) -> DataFrame:
     return with_counts(kept, with_commands)
 
 
-def skip_counts(records: DataFrame) -> DataFrame:
-    """(reason, n): rows dropped by reason, question length counted after the other reasons."""
-    reason = F.coalesce("reason", F.when(~good_question_length("question"), "Question length"))
-    return (
-        classified(records).select(reason.alias("reason")).where("reason is not null")
-        .groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+QUESTION_LENGTH = "Question length"
+REASONS = (fv.REASON_NO_SQL, fv.REASON_ONLY_COMMENTS, QUESTION_LENGTH)
+
+
+def judged(records: DataFrame) -> DataFrame:
+    """All records with ``reason``: null for those that stay, question length counted after the other reasons."""
+    return classified(records).withColumn(
+        "reason", F.coalesce("reason", F.when(~good_question_length("question"), QUESTION_LENGTH))
     )
 
 
-def write_enriched(records: DataFrame, path: str, key: str, seed, files: int) -> None:
-    """Enrich, shuffle by a seeded hash of ``key`` and write JSON lines: one shuffle in all."""
-    out = scattered(enrich(records), key, seed, files)
-    out.write.option("ignoreNullFields", False).json(path)
+def skip_counts(records: DataFrame) -> DataFrame:
+    """(reason, n): rows dropped by reason."""
+    return judged(records).select("reason").where("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_enriched(records: DataFrame, path: str, key: str, seed, files: int) -> dict:
+    """Enrich, shuffle by a seeded hash of ``key`` and write JSON lines: one shuffle in all.
+
+    Returns the numbers of processed and written records and of those dropped, by reason.  They come from the pass
+    that writes: dropped records travel as key and reason only, and are counted and left out in the tasks that write, where
+    a task that is run again counts once.
+    """
+    rows = judged(records)
+    done = with_counts(rows.drop("reason"))
+    payload = F.when(F.col("reason").isNull(), F.struct(*[F.col(f"`{c}`") for c in done.columns])).alias("_record")
+    dealt = scattered(with_counts(rows).select(F.col(key).alias("_key"), "reason", payload), "_key", seed, files)
+    counts = {f"reason_{n}": F.count_if(F.col("reason") == r) for n, r in enumerate(REASONS)}
+    out, seen = watched(dealt, written=F.count("_record"), **counts)
+    out.where("_record is not null").select("_record.*").write.option("ignoreNullFields", False).json(path)
+    found = seen.get
+    return {"processed": found["rows"], "written": found["written"], "dropped": {r: found[f"reason_{n}"] for n, r in enumerate(REASONS)}}

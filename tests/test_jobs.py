@@ -284,3 +284,84 @@ def test_stream_enriches_new_files_once(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.question for r in out.collect()) == [f"Which orders does customer {n} have?" for n in (1, 2, 3)]
     assert out.first().number_of_columns == 1
+
+
+def test_a_job_goes_on_behind_its_last_finished_step(spark, monkeypatch):
+    from sqlloom import session
+
+    schemas = spark.createDataFrame([(f"s{i}", ddl(f"t{i}_", 2)) for i in range(4)], "schema_file string, schema_sql string")
+    examples = spark.createDataFrame([("how many?", n) for n in range(11)], "nl_prompt string, num_joins int")
+    runs = []
+
+    class Counted(session.Steps):
+        limit = None
+
+        def __init__(self, *args, **settings):
+            super().__init__(*args, **settings)
+            runs.append(self)
+
+        def table(self, name, build):
+            if self.limit is not None and len(self.made) == self.limit:
+                raise KeyboardInterrupt
+            return super().table(name, build)
+
+    monkeypatch.setattr(Q, "Steps", Counted)
+
+    def one(prompt):
+        return "One?" if "# Format reminder" in prompt or "t1_0" in prompt else "<First Question>"
+
+    def ask(folder, **more):
+        return {(r.schema_file, r.line_no, r.question) for r in Q.make_questions(schemas, examples, model(one), "m", retries=1, folder=folder, **more).collect()}
+
+    whole = ask(run_folder(spark, "whole"))
+    every = runs[-1].made
+    assert len(every) == 6 and not runs[-1].found and len(whole) == 4
+    for n in range(1, len(every)):
+        folder = run_folder(spark, "broken")
+        Counted.limit = n
+        with pytest.raises(KeyboardInterrupt):
+            ask(folder)
+        Counted.limit = None
+        assert ask(folder) == whole
+        assert runs[-1].found == every[:n] and runs[-1].made == every[n:]
+    # Other settings have steps of their own.
+    assert len(ask(folder, per_schema=1)) == 4 and runs[-1].made == every
+
+
+def test_growth_writes_what_it_adds(spark, tmp_path):
+    def one(prompt):
+        n = int(re.search(r"exactly (\d+) new tables", prompt).group(1))
+        return ddl(f"new_{len(re.findall('CREATE TABLE', prompt))}_", n) + " CREATE INDEX i1 ON s0 (id);"
+
+    schemas = spark.createDataFrame([("s", ddl("s", 2) + " -- " + "long " * 2000)], "schema_file string, schema_sql string")
+    log = G.growth_log(schemas, model(one), mode=60, max_tables=62, seed=1, steps_path=str(tmp_path / "steps"))
+    rows = log.orderBy("round_no").collect()
+    assert len(rows) > 2 and len(rows[0].added) > 10_000 and all(len(r.added) < 3_000 for r in rows[1:])
+    stored = G.versions(spark.read.parquet(str(tmp_path / "steps"))).orderBy("round_no").collect()
+    whole = G.versions(log).orderBy("round_no").collect()
+    assert [r.schema_sql for r in stored] == [r.schema_sql for r in whole]
+    assert all(a.schema_sql.rstrip() in b.schema_sql for a, b in zip(whole, whole[1:]))
+    assert whole[-1].schema_sql.count("CREATE TABLE") == whole[-1].num_tables >= whole[-1].target and whole[-1].schema_sql.count("CREATE INDEX") == 1
+    names = G.names_of(log, log.select("schema_file").distinct()).first()
+    assert len(names.names) == whole[-1].num_tables and names.indexes == ["i1"]
+
+
+def test_totals_of_the_enrichment(spark, tmp_path):
+    rows = [(1, "How many orders are there?", "SELECT a FROM t WHERE b = 3;"), (2, "How many orders are there?", "SELECT 1;"), (3, "How many orders are there?", "-- nothing"), (4, "Short", "SELECT a FROM t WHERE b = 3;")]
+    df = spark.createDataFrame(rows, "id int, question string, query string").repartition(3)
+    told = E.write_enriched(df, str(tmp_path / "out"), "id", 1, 2)
+    assert told == {"processed": 4, "written": 1, "dropped": {"Error generating SQL": 1, "Only comments present": 1, "Question length": 1}}
+    assert json.loads(spark.read.text(str(tmp_path / "out")).first()[0])["id"] == 1
+    assert E.write_enriched(df.where("false"), str(tmp_path / "none"), "id", 1, 2)["processed"] == 0
+
+
+def test_a_stream_without_end_of_memory_takes_each_record_once(spark, tmp_path):
+    def line(n):
+        return json.dumps({"prompt": f"Which orders does customer {n} have?", "sql_statement": "SELECT a FROM t WHERE b = 3;", "schema": "s"}) + "\n"
+
+    (tmp_path / "in").mkdir()
+    for run, numbers in enumerate(([1, 2, 2], [2, 3], [1, 3, 4])):
+        (tmp_path / "in" / f"{run}.jsonl").write_text("".join(map(line, numbers)))
+        stream_enrich(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), keep=None).awaitTermination()
+    assert sorted(r.question for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [f"Which orders does customer {n} have?" for n in (1, 2, 3, 4)]
+

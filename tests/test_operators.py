@@ -393,3 +393,13 @@ def test_infer_reports_failures_per_batch(spark):
     asked = spark.range(20).repartition(2, "id").select("id", F.col("id").cast("string").alias("prompt"))
     got = {r.id: (r.response, r.error) for r in infer(asked, make, batch_size=1, options={"tail": "!"}, key="id").collect()}
     assert got[3] == ("3!", None) and got[7] == (None, "RuntimeError: down") and got[8] == ("", None) and len(got) == 20
+
+
+def test_additions_to_schemas_of_thousands_of_tables(spark):
+    def sql(names):
+        return "\n".join(f"CREATE TABLE {n} (id INT);" for n in names)
+
+    old, new = [f"t{n}" for n in range(3000)], [f"T{n * 2}" for n in range(2500)]
+    got = G.additions_without_conflicts(spark.createDataFrame([(sql(old), sql(new + new))], "old string, new string"), "old", "new").first()
+    assert got.n_new == 1000 and got.kept == "\n\n".join(f"CREATE TABLE T{n} (id INT);" for n in range(3000, 5000, 2))
+
