@@ -40,11 +40,23 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 class DigestIndex:
-    """A digest index in a folder that all executors share; opening a folder again goes on with it."""
+    """A digest index in a folder that all executors share; opening a folder again goes on with it.
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
+    The number of buckets is kept beside the folder.  It is the index's own from then on: another one is refused.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.path = path or run_folder(spark, "digest-index")
+        note = f"{self.path}-buckets"
+        if path_exists(spark, f"{note}/_SUCCESS"):
+            held = int(spark.read.text(note).first()[0])
+            if buckets not in (None, held):
+                raise ValueError(f"{self.path} has {held} buckets, not {buckets}")
+            buckets = held
+        else:
+            buckets = buckets or BUCKETS
+            spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.mode("overwrite").text(note)
         self.buckets = buckets
         self.table = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(

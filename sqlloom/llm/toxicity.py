@@ -34,13 +34,13 @@ from sqlloom.functions.text import keyed_hash
 from sqlloom.llm.common import saved, text_bytes
 
 MAX_LABELLED = 20_000
-MAX_WORDS = 1024
+MAX_WORDS = 4096
 LEAST_ROWS = 3
 MARKER_ROWS = 5
 STRONG_SHARE = 0.02
 TOXIC_FROM = 0.5
 RIDGE = 1e-4
-STEPS = 300
+STEPS = 400
 SEED = 11
 # Words are what stands between blanks and ASCII punctuation, in lower case (A-Z only).
 FOLD = bytes.maketrans(

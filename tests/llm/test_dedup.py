@@ -155,6 +155,19 @@ def test_index_goes_on_where_it_was(spark, docs_of):
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
 
+def test_index_keeps_its_number_of_buckets(spark, docs_of):
+    rows = exact.digests(docs_of([f"text {n}" for n in range(2000)]))
+    index = exact.DigestIndex(spark, buckets=128)
+    assert index.add(rows).count() == 2000
+    again = exact.DigestIndex(spark, index.path)
+    assert again.buckets == 128 and again.rows().count() == 2000
+    assert again.add(rows).count() == 0
+    held = again.rows().where("not known").select("digest")
+    assert rows.hint("merge").join(held.hint("merge"), "digest").count() == 2000
+    with pytest.raises(ValueError, match="128 buckets"):
+        exact.DigestIndex(spark, index.path, buckets=64)
+
+
 def slow_substrings(rows, span=13):
     first = {}
     split = [(i, WORDS.findall(t or "")) for i, t in rows]

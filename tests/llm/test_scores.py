@@ -47,6 +47,51 @@ def test_held_out_documents_are_told_apart(spark):
     assert counts[1, True] >= 0.8 * (counts[1, True] + counts[1, False])
 
 
+def slow_severity(model, text):
+    """Expected grade of one text, feature by feature."""
+    folded = re.sub(r"[!-/:-@\[-`{-~]", " ", lowered(text)).encode()
+    logit, counts = 0.0, Counter(folded.split())
+    for feature, k in model.words.items():
+        if feature.endswith(b"-"):
+            n = sum(c for w, c in counts.items() if len(w) > len(feature) - 1 and w.startswith(feature[:-1]))
+        else:
+            n = counts[feature]
+        if n:
+            logit += model.weights[k] * (1 + math.log(n))
+    return sum(1 / (1 + math.exp(t - logit)) for t in model.thresholds)
+
+
+def test_severity_by_plain_arithmetic(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    assert len(model.words) > 100 and len(model.thresholds) >= 1
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = toxicity.scored(docs, model).collect()
+    assert len(rows) == len(texts) and all(r.severity == pytest.approx(slow_severity(model, texts[r.doc_id]), rel=1e-9) for r in rows)
+
+
+def test_fit_is_a_minimum():
+    """No small step from the fitted weights and thresholds lowers the penalised mean loss by much."""
+    rng = np.random.default_rng(2)
+    n, words = 300, 6
+    x = rng.poisson(0.7, (n, words)).astype(float)
+    grades = np.digitize(x @ np.array([1.5, -1, 0.5, 0, 0, 2]) + rng.logistic(size=n), [1, 3])
+    rows, cols = np.nonzero(x)
+    weights, cuts = toxicity.fit_ordinal(rows, cols, x[rows, cols], grades, words)
+
+    def loss(w, t):
+        below = np.hstack((np.zeros((n, 1)), 1 / (1 + np.exp((x @ w)[:, None] - t[None, :])), np.ones((n, 1))))
+        return -np.log(below[np.arange(n), grades + 1] - below[np.arange(n), grades]).mean() + toxicity.RIDGE / 2 * (w**2).sum()
+
+    best = loss(weights, cuts)
+    for k in range(words):
+        for step in (-0.05, 0.05):
+            assert loss(weights + step * (np.arange(words) == k), cuts) > best - 1e-3
+    for k in range(len(cuts)):
+        for step in (-0.05, 0.05):
+            assert loss(weights, cuts + step * (np.arange(len(cuts)) == k)) > best - 1e-3
+
+
 def test_toxicity_cases(spark, docs_of, corpus):
     docs = docs_of(corpus)
     labels = spark.createDataFrame([(n, int(n % 2)) for n in range(60)] + [(None, 1), (7, None), (9999, 1)], "doc_id bigint, toxic int")
