@@ -37,7 +37,7 @@ TONE_SPECIFIC = "Name tables and columns of the schema and use values that could
 TONE_GENERAL = "Keep the wording general; do not name tables, columns or values."
 QUESTION_RETRY = """{prompt}
 
-# Format reminder, retry {attempt}
+The answer before this one could not be read (try {attempt}).
 Reply with a single ```plaintext``` block, one question per line, and nothing else."""
 
 GROWTH = """You design SQLite databases. Reply with SQLite DDL only.
@@ -96,7 +96,7 @@ Give {count} other wordings that ask for the same result, one per line, in a ```
 without numbering or remarks."""
 PARAPHRASE_RETRY = """{prompt}
 
-# Format reminder, retry {attempt}
+The answer before this one could not be read (try {attempt}).
 Reply with a single ```plaintext``` block holding only the new wordings, one per line."""
 
 

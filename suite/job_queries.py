@@ -83,7 +83,7 @@ def grow_schemas(fx):
 def _asker():
     def one(prompt):
         joins = int(re.search(r"exactly (\d+) JOIN\(s\), unless", prompt).group(1))
-        if joins % 2 and "# Format reminder" not in prompt:
+        if joins % 2 and "could not be read" not in prompt:
             return "```plaintext\n<First Question>\n```"
         return f"```plaintext\n1. Needs {joins} joins\n2. Also needs {joins}\n3. One too many\n```"
 
@@ -134,7 +134,7 @@ def make_sql(fx):
 def _reworder():
     def one(prompt):
         question = prompt.split("Question:\n", 1)[1].split("\n", 1)[0]
-        if "customer 1" in question and "# Format reminder" not in prompt:
+        if "customer 1" in question and "could not be read" not in prompt:
             return "Paraphrase 1\nParaphrase 2"
         return f"```plaintext\n1) {question.upper()}\n2) Tell me: {question}\n3) Say: {question}\n4) Extra\n```"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sqlloom.functions import fixed_values as fv
 from sqlloom.functions import sqltext as S
 from sqlloom.functions.text import flatten, token_count
 from sqlloom.operators.gates import flatten_fields, has_required
@@ -16,11 +17,10 @@ from suite.registry import query
 KEY_RECORD = T.StructType([T.StructField("k", T.LongType())])
 
 # The cleaned query and drop reason in DuckDB, shared by several checks below.
-CLASSIFIED = r"""
+CLASSIFIED = rf"""
 , cleaned AS (
   SELECT rec_id, prompt AS question, schema,
-    trim(regexp_replace(sql_statement,
-      '--[^;]*?(\bSELECT\b|\bWITH\b|\bINSERT\b|\bUPDATE\b|\bDELETE\b|\bFROM\b|\bJOIN\b|;|$)', '\1', 'gi')) AS query
+    trim(regexp_replace(sql_statement, '--[^;]*?({"|".join(rf"\b{w}\b" for w in fv.COMMENT_STOP_WORDS)}|;|$)', '\1', 'gi')) AS query
   FROM fx_triplets),
 classified AS (
   SELECT *, CASE WHEN upper(query) = 'SELECT 1;' THEN 'Error generating SQL'
@@ -31,7 +31,7 @@ TOKENS = r"len(regexp_extract_all({0}, '[A-Za-z0-9_%/*.+<>!=\\-]+'))"
 JOINS = r"len(regexp_extract_all({0}, '(?i)\bjoin\b'))"
 KINDS = (
     "CASE " + " ".join(f"WHEN starts_with(upper(trim({{0}})), '{k}') THEN '{k}'"
-                       for k in ("SELECT", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTER")) + " ELSE 'OTHER' END"
+                       for k in fv.STATEMENT_KINDS) + " ELSE 'OTHER' END"
 )
 
 
@@ -93,12 +93,12 @@ def sql_kind(fx):
     return fx.fx_triplets.select("rec_id", S.statement_kind("sql_statement").alias("kind"))
 
 
-@query(r"""
+@query(rf"""
 , words AS (
   SELECT rec_id, unnest(list_transform(regexp_extract_all(sql_statement,
-      '\b(WITH|SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|TRUNCATE|UNION|INTERSECT|EXCEPT|MERGE|CALL)\b', 1, 'i'),
+      '\b({"|".join(fv.SQL_COMMANDS)})\b', 1, 'i'),
       lambda x: upper(x))) AS w, generate_subscripts(regexp_extract_all(sql_statement,
-      '\b(WITH|SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|TRUNCATE|UNION|INTERSECT|EXCEPT|MERGE|CALL)\b', 1, 'i'), 1) AS i
+      '\b({"|".join(fv.SQL_COMMANDS)})\b', 1, 'i'), 1) AS i
   FROM fx_triplets),
 firsts AS (SELECT rec_id, w, min(i) AS i FROM words GROUP BY rec_id, w)
 SELECT t.rec_id, coalesce(string_agg(f.w, ',' ORDER BY f.i), '') AS commands
