@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sqlloom.functions.text import col, computed, is_blank, strip
+from sqlloom.sources.sinks import watched
 
 CORRUPT = "_corrupt"
 
@@ -54,6 +55,21 @@ def malformed_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.where(bad).withColumn(line, strip(line)).withColumn("error", F.lit("not a JSON object"))
 
 
+def tagged_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Every line that isn't blank with ``status``, good or malformed; each line is looked at once."""
+    status = F.when(is_blank(line), "blank").when(is_json_object(strip(line)), "good").otherwise("malformed")
+    return computed(lines, status=status).where("status <> 'blank'")
+
+
+def split_lines(lines: DataFrame, path: str, line: str = "line") -> tuple[DataFrame, DataFrame, dict]:
+    """Good lines, malformed lines with an error column, and their numbers: one scan writes both to folders below ``path``."""
+    out, seen = watched(tagged_lines(lines, line), **{s: F.count_if(F.col("status") == s) for s in ("good", "malformed")})
+    out.write.partitionBy("status").parquet(path)
+    back = lines.sparkSession.read.schema(out.schema).parquet(path)
+    good, bad = (back.where(F.col("status") == s).drop("status") for s in ("good", "malformed"))
+    return good, bad.withColumn(line, strip(line)).withColumn("error", F.lit("not a JSON object")), {s: seen.get[s] for s in ("good", "malformed")}
+
+
 def parsed(lines: DataFrame, schema: T.StructType, line: str = "line", rest: str | None = None) -> DataFrame:
     """Typed columns from good lines, in place of the text; rows that break the schema go too.
 

@@ -121,6 +121,15 @@ def jsonl_many_files(fx):
     return jsonl.read_jsonl(fx.spark, [f"{folder}/{n}" for n in range(3)], schema)
 
 
+@query("""SELECT line_no, CASE WHEN json_valid(line) THEN line END AS line, CASE WHEN json_valid(line) THEN 'good' ELSE 'malformed' END AS status,
+  count(*) FILTER (WHERE NOT json_valid(line)) OVER () AS n_malformed FROM fx_jsonl WHERE line <> ''""")
+def jsonl_split(fx):
+    """Good and malformed lines, both written by one scan, which also counts them."""
+    good, bad, told = jsonl.split_lines(fx.fx_jsonl, f"{run_folder(fx.spark, 'split')}/lines")
+    lines = good.select("line_no", "line", F.lit("good").alias("status")).unionByName(bad.select("line_no", F.lit(None).cast("string").alias("line"), F.lit("malformed").alias("status")))
+    return lines.withColumn("n_malformed", F.lit(told["malformed"]))
+
+
 @query("""SELECT replace(schema_file, '.sql', '') AS folder, count(*) AS files, sum(n) AS lines FROM
   (SELECT schema_file, question, count(*) AS n FROM fx_questions GROUP BY ALL) GROUP BY 1""")
 def folder_listing(fx):

@@ -217,3 +217,13 @@ def test_publish_of_one_large_row_and_of_nothing(spark, tmp_path):
     W.publish(df, str(tmp_path / "p"), megabytes=0.001)
     assert sorted(r.rows for r in W.published(spark, str(tmp_path / "p")).collect()) in ([1, 1, 1], [1, 2])
     assert W.publish(df.where("false"), str(tmp_path / "q"), megabytes=1)["rows"] == 0
+
+
+def test_one_scan_splits_good_and_malformed_lines(spark, tmp_path):
+    lines = spark.createDataFrame([(n, x) for n, x in enumerate(['{"a": 1}', "", " broken ", None, '{"a": 2} tail', ' {"b": []} '])], "line_no int, line string")
+    good, bad, told = L.split_lines(lines, str(tmp_path / "split"))
+    assert told == {"good": 2, "malformed": 2}
+    assert sorted(r.line_no for r in good.collect()) == [0, 5] and good.columns == lines.columns
+    assert sorted((r.line_no, r.line, r.error) for r in bad.collect()) == [(2, "broken", "not a JSON object"), (4, '{"a": 2} tail', "not a JSON object")]
+    assert L.split_lines(lines.where("false"), str(tmp_path / "none"))[2] == {"good": 0, "malformed": 0}
+
