@@ -9,7 +9,7 @@ it has used, so a pass shuffles sums only; the driver holds the codebooks, whose
 Defined cases: vectors that are null or hold null, NaN or infinite components are dropped; repeated rows count and return one
 by one; a null id comes after all others, and equal ids go by their components; fewer vectors than entries make shorter codebooks; vectors
 of another length than the one with the smallest id have no code and a null error; an empty table gives no rows; other columns are not
-read.  Numbers of 2^48 and more in size, or a length that the parts don't divide, are refused.
+read.  Numbers of 2^48 and more in size, errors beyond a long, or a length that the parts don't divide, are refused.
 """
 
 from __future__ import annotations
@@ -180,6 +180,8 @@ def coded(numbers: DataFrame, books: Codebooks | None) -> DataFrame:
                 for p, part in enumerate(np.split(x[at : at + ROWS_AT_ONCE], len(held), axis=1)):
                     codes[at : at + ROWS_AT_ONCE, p], e = nearest(part, held[p])
                     error[at : at + ROWS_AT_ONCE] += e
+            if (error < 0).any():
+                raise OverflowError("an error doesn't fit a long")
             ends = pa.array(np.arange(0, codes.size + 1, len(held), dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(codes.ravel())), pa.array(error)],
