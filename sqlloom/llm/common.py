@@ -48,10 +48,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a table into a fresh folder of the shared work folder and read it back.
 
     Spark deletes shuffle files once the driver has collected what refers to them; asking for that
-    after each written step keeps the disk at the needs of one step.
+    after each written step keeps the disk at the needs of one step.  The listeners of a session hold on to
+    the last query that has ended, so an empty one ends after the write.
     """
     spark, path = df.sparkSession, run_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    spark.createDataFrame([], "nothing int").collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     table = spark.read.schema(df.schema).parquet(path)
