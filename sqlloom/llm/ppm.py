@@ -27,7 +27,6 @@ itself; without training tokens scores follow the formulas with N = V = 0; other
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +35,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sqlloom.llm.common import forget, saved, text_bytes
+from sqlloom.llm.common import BLANKS, forget, saved, text_bytes
 
 BLOCK_BYTES = 32 << 20
 FOLDS, HELD_FOLD = 5, 1
 EDGE = 255
-END_TOKEN = b"\n"  # no word holds a blank, so this can't be one
+END_TOKEN = np.uint64(0x452821E638D01377)  # stands among the hashes of words
+FACTOR = 0x9E3779B97F4A7C15
+LONG_WORD = 64
+HASHED_AT_ONCE = 1 << 21
 MERGE_AT = 1 << 22
 ORDER = 5
 BROADCAST_ORDER = 2  # up to this context length
 SCORED_AT_ONCE = 1 << 19
 GRAMS_AT_ONCE = 1 << 19
 HEAVY = 1 << 22  # rows that one context may bring to a task
+_IS_BLANK = np.isin(np.arange(256), [*BLANKS.encode()])
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the lowest n bytes
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -167,14 +171,14 @@ def gram_rows(blocks: DataFrame) -> DataFrame:
 
 
 class HashTable:
-    """Numbers by 48-bit keys: open addressing, half full at most, looked up many at a time."""
+    """Numbers by keys other than ``EMPTY``: open addressing, half full at most, looked up many at a time."""
 
     EMPTY = np.uint64(2**64 - 1)
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
+    def __init__(self, keys: np.ndarray, values: np.ndarray, kind: type = np.float32):
         bits = max(4, (2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, self.EMPTY), np.zeros(1 << bits, np.float32)
+        self.keys, self.values = np.full(1 << bits, self.EMPTY), np.zeros(1 << bits, kind)
         at, left = self._slot(keys), np.arange(len(keys))
         while len(left):
             free = self.keys[at[left]] == self.EMPTY
@@ -192,7 +196,7 @@ class HashTable:
         at = self._slot(keys)
         found = self.keys[at]
         known = found == keys
-        values = np.where(known, self.values[at], np.float32(0))
+        values = np.where(known, self.values[at], self.values.dtype.type(0))
         left = np.flatnonzero(~known & (found != self.EMPTY))
         while len(left):
             at[left] = at[left] + 1 & self.mask
@@ -358,38 +362,76 @@ def gram_chances(blocks: DataFrame, grams: DataFrame) -> DataFrame:
     return placed.mapInArrow(task, "block bigint, chances binary")
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+def _token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all tokens of all texts, the end of each text last, number of tokens of each text).
+
+    A word's hash takes its length and eight bytes at a time; words over ``LONG_WORD`` bytes are hashed one by one.
+    """
+    data = b" ".join([*texts, bytes(8)])  # a blank behind each text, and room for the last eight bytes
+    codes = np.frombuffer(data, np.uint8)[: len(data) - 8]
+    edges = np.flatnonzero(np.diff(_IS_BLANK[codes].view(np.int8), prepend=np.int8(1), append=np.int8(1)))
+    starts, ends = edges[::2], edges[1::2]
+    size = ends - starts
+    hashes = size.astype(np.uint64) * np.uint64(FACTOR)
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    left = np.flatnonzero(size <= LONG_WORD)
+    for at in range(0, LONG_WORD, 8):
+        left = left[size[left] > at]
+        if not len(left):
+            break
+        limb = eight[starts[left] + at] & _LOW_BYTES[np.minimum(size[left] - at, 8)]
+        h = (hashes[left] ^ limb) * np.uint64(FACTOR)
+        hashes[left] = h ^ h >> np.uint64(32)
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
+    hashes[hashes == HashTable.EMPTY] = 0
+    lengths = np.array([*map(len, texts)])
+    upto = np.searchsorted(starts, np.cumsum(lengths + 1))  # words up to the end of each text
+    tokens = np.empty(len(hashes) + len(texts), np.uint64)
+    is_word = np.ones(len(tokens), bool)
+    is_word[upto + np.arange(len(texts))] = False
+    tokens[is_word], tokens[~is_word] = hashes, END_TOKEN
+    return tokens, np.diff(upto, prepend=0) + 1
+
+
+def _pieces(texts: list[bytes]) -> list[slice]:
+    """Slices of texts of about ``HASHED_AT_ONCE`` bytes; each text is in one of them."""
+    cuts, held = [0], 0
+    for k, text in enumerate(texts):
+        if held and held + len(text) > HASHED_AT_ONCE:
+            cuts.append(k)
+            held = 0
+        held += len(text)
+    return [slice(a, b) for a, b in zip(cuts, [*cuts[1:], len(texts)]) if a < b]
 
 
 def word_rows(blocks: DataFrame) -> DataFrame:
     """(block, word, n): a block's distinct tokens as 64-bit hashes, with their training count there."""
 
-    def rows(block, counts):
-        n = len(counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, block, np.int64)), pa.array([*map(_hash, counts)], pa.int64()), pa.array([*counts.values()], pa.int64())],
-            ["block", "word", "n"],
-        )
-
     def task(batches):
-        counts, now = Counter(), None
+        words, counts, now = np.empty(0, np.uint64), np.empty(0, np.int64), None
+
+        def rows():
+            for at in range(0, len(words), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                own = words[part].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), now, np.int64)), pa.array(own), pa.array(counts[part])], ["block", "word", "n"])
+
         for batch in batches:
-            for block, held_out, text in zip(*[c.to_pylist() for c in batch.columns]):
-                if block != now:
-                    if counts:
-                        yield rows(now, counts)
-                    counts, now = Counter(), block
-                words = text.split()
-                words.append(END_TOKEN)
-                if held_out:
-                    for w in words:
-                        if w not in counts:
-                            counts[w] = 0
-                else:
-                    counts.update(words)
-        if counts:
-            yield rows(now, counts)
+            block, trains = batch.column(0).to_numpy(), ~batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            texts = batch.column(2).to_pylist()
+            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if block[a] != now:
+                    yield from rows()
+                    words, counts, now = words[:0], counts[:0], block[a]
+                for part in _pieces(texts[a:b]):
+                    found, n = _token_hashes(texts[a:b][part])
+                    uses = np.repeat(trains[a:b][part].astype(np.int64), n)
+                    words, counts = _merged(np.concatenate((words, found)), np.concatenate((counts, uses)))
+        yield from rows()
 
     return blocks.select("block", "held_out", "text").mapInArrow(task, "block bigint, word bigint, n bigint")
 
@@ -414,7 +456,7 @@ def scores(docs: DataFrame) -> DataFrame:
     mixed = of_kind(0, words).unionByName(of_kind(1, chances, text="chances")).unionByName(of_kind(2, blocks))
 
     def task(batches):
-        known, parts, model, now = {}, [], None, None
+        words, parts, known, model, now = [], [], None, None, None
         for batch in batches:
             block, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), len(block)]
@@ -422,25 +464,23 @@ def scores(docs: DataFrame) -> DataFrame:
                 if a == b:
                     continue
                 if block[a] != now:
-                    known, parts, model, now = {}, [], None, block[a]
+                    words, parts, known, model, now = [], [], None, None, block[a]
                 if kind[a] == 0:
-                    known.update(zip(batch.column(2)[a:b].to_pylist(), batch.column(3)[a:b].to_pylist()))
+                    words.append([batch.column(k)[a:b].to_numpy(zero_copy_only=False) for k in (2, 3)])
                     continue
                 if kind[a] == 1:
                     parts += batch.column(6)[a:b].to_pylist()
                     continue
                 if model is None:
-                    model, parts = BlockModel(parts), []
-                rows, texts = [], batch.column(6)[a:b].to_pylist()
-                for text in texts:
-                    counts = Counter(text.split())
-                    counts[END_TOKEN] = 1
-                    totals = [known[_hash(w)] for w in counts]
-                    uses = [*counts.values()]
-                    n = sum(uses)
-                    base = sum(k * math.log10(c + 0.5) for k, c in zip(uses, totals)) - n * scale
-                    rows.append((n, sum(k for k, c in zip(uses, totals) if c), base))
-                n, found, base = zip(*rows)
+                    keys, totals = (np.concatenate(x).astype(np.int64) for x in zip(*words))
+                    known, model, words, parts = HashTable(keys.view(np.uint64), totals, np.float64), BlockModel(parts), [], []
+                texts, columns = batch.column(6)[a:b].to_pylist(), []
+                for part in _pieces(texts):
+                    tokens, n = _token_hashes(texts[part])
+                    uses = known.get(tokens)[1]
+                    first = np.cumsum(n) - n
+                    columns.append((n, np.add.reduceat((uses > 0).astype(np.int64), first), np.add.reduceat(np.log10(uses + 0.5), first) - n * scale))
+                n, found, base = map(np.concatenate, zip(*columns))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(4)[a:b], batch.column(5)[a:b], pa.array(n, pa.int64()), pa.array(found, pa.int64()),

@@ -1,6 +1,7 @@
 """Toxicity, quality rules, language-model scores and the pipeline."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -202,6 +203,23 @@ def lowered(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
 
 
+def test_token_hashes_tell_tokens_apart():
+    rng = random.Random(1)
+    texts = [b"", b" ", b"a", b"\n\na b\x0bc ", b"x" * 65 + b" " + b"x" * 64 + b" y" * 3, "日本語 é \x1c z\x85q\x00 a\x00 a".encode()]
+    for _ in range(200):
+        parts = [b" ", b"\t", b"  ", b"ab", b"w%d" % rng.randrange(999), b"q" * rng.randrange(1, 90)]
+        texts.append(b"".join(rng.choices(parts, k=rng.randrange(60))))
+    hashes, sizes = ppm._token_hashes(texts)
+    named, at = {}, 0
+    for text, n in zip(texts, sizes.tolist()):
+        tokens = [*text.split(), None]
+        assert len(tokens) == n
+        for token, h in zip(tokens, hashes[at : at + n].tolist()):
+            assert named.setdefault(token, h) == h
+        at += n
+    assert at == len(hashes) and len(set(named.values())) == len(named)
+
+
 @pytest.mark.parametrize("block_bytes", [ppm.BLOCK_BYTES, 300])
 def test_scores(docs_of, corpus, block_bytes, monkeypatch):
     monkeypatch.setattr(ppm, "BLOCK_BYTES", block_bytes)
