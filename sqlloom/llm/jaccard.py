@@ -22,6 +22,8 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -101,8 +103,8 @@ def frequent_tokens(docs: DataFrame, texts: int = SAMPLE_TEXTS, least: int = FRE
     return np.array([t for _, t in found], np.int64)
 
 
-def token_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, mark, size, head): mark names the set, head holds its first tokens in the common order."""
+def first_tokens(frequent: np.ndarray) -> Callable[[np.ndarray], bytes]:
+    """A function from a set to its first tokens in the common order, as many as the filter asks for."""
     known, place = np.sort(frequent), np.argsort(frequent)
 
     def first(tokens):
@@ -116,6 +118,13 @@ def token_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             tokens = tokens[np.argsort(turn, kind="stable")]
         return tokens[:keep].tobytes()
 
+    return first
+
+
+def token_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(doc_id, text_hash, mark, size, head): mark names the set, head holds its first tokens in the common order."""
+    first = first_tokens(frequent)
+
     def task(batches):
         for batch in batches:
             sets = [token_set(t) for t in batch.column(2).to_pylist()]
@@ -177,8 +186,8 @@ def shared_tokens(heads: DataFrame, frequent: np.ndarray) -> DataFrame:
     return dealt.select("token", "mark").mapInArrow(repeated, "mark bigint, token bigint, held bigint")
 
 
-def families(sets: DataFrame, shared: DataFrame) -> DataFrame:
-    """(mark, size, family) for the sets that may link to another one."""
+def filter_links(sets: DataFrame, shared: DataFrame) -> DataFrame:
+    """(a, b): links that span the sets which may link to each other."""
     per_set = shared.groupBy("mark").agg(F.count("*").alias("n")).join(sets.select("mark", "size"), "mark")
     most = F.ceil(F.ceil(F.col("size") * PERCENT / 100) * EXTRA / 100)
     may = per_set.where(F.col("n") >= F.greatest(F.lit(1), most)).select("mark", "size", (F.col("n") - F.greatest(F.lit(1), most) + 1).alias("used"))
@@ -187,11 +196,15 @@ def families(sets: DataFrame, shared: DataFrame) -> DataFrame:
     lists = shared.join(may, "mark").withColumn("turn", F.row_number().over(order)).where("turn <= used").select("mark", "token")
     lists = saved(lists, "jaccard-lists")
     least = lists.groupBy("token").agg(F.min("mark").alias("first"), F.max("mark").alias("last")).where("first < last").select("token", "first")
-    links = lists.join(least, "token").select(F.col("first").alias("a"), F.col("mark").alias("b")).where("a <> b").distinct()
+    return lists.join(least, "token").select(F.col("first").alias("a"), F.col("mark").alias("b")).where("a <> b").distinct()
+
+
+def families(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """(mark, size, family) for the linked sets."""
     roots = components(links)
     named = roots.select(F.col("node").alias("mark"), F.col("root").alias("family"))
     named = named.union(roots.select("root", "root").distinct())
-    return saved(named.join(may.select("mark", "size"), "mark"), "jaccard-families")
+    return saved(named.join(sets.select("mark", "size"), "mark"), "jaccard-families")
 
 
 class ListIndex:
@@ -363,7 +376,7 @@ def similarity_groups(docs: DataFrame, tokens_at_once: int = TOKENS_AT_ONCE, piv
     sets = saved(every.groupBy("mark").agg(best, F.min("size").alias("size")), "jaccard-marks")
     heads = every.where("size > 0").select("mark", "head").dropDuplicates(["mark"])
     shared = saved(shared_tokens(heads, common), "jaccard-shared")
-    roots = components(set_links(docs, sets, families(sets, shared), tokens_at_once, pivots))
+    roots = components(set_links(docs, sets, families(sets, filter_links(sets, shared)), tokens_at_once, pivots))
     member = roots.select(F.col("node").alias("mark"), "root").union(roots.select("root", "root").distinct())
     lowest = member.join(sets, "mark").groupBy("root").agg(F.min("best.doc_id").alias("low_id"))
     named = member.join(lowest, "root").select("mark", "low_id")
